@@ -83,15 +83,16 @@ def top_cast_members(cast: DataFrame, timestamps: bool = True, distinct_shows: b
     character, not one per credit.
     """
     person = ["person_id", "cast_name", "person_country", "person_gender"]
-    per_char = cast.groupBy(*person, "character_name").agg(
+    # Raw-level aggregate: only key columns and counts, so it stays a hash
+    # aggregate (a string min/first buffer would force a sort aggregate).
+    per_char = cast.groupBy(*person, "character_name", "person_image_url").agg(
         F.count("show_id").alias("_credits"),
         F.count("character_name").alias("_named"),
-        F.min("person_image_url").alias("_img"),
     )
     per_person = per_char.groupBy(*person).agg(
         F.sum("_credits").alias("show_count"),
         repeated_list_string("character_name", "_named").alias("characters_list"),
-        F.min("_img").alias("image_url"),
+        F.min("person_image_url").alias("image_url"),
     )
     if distinct_shows:
         counts = cast.groupBy(*person).agg(F.count_distinct("show_id").alias("show_count"))

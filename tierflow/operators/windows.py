@@ -14,6 +14,9 @@ A window with no PARTITION BY (the reference's global ``dense_rank`` and
 4. add per-bucket offsets from a summary of at most ``max_buckets + 2`` rows
    (broadcast: its size is bounded by the parameter, not by the data);
 5. join the ranks back to the rows on the metric (null-safe).
+
+The distinct-value table is checkpointed (reliable checkpoint in
+``spark.checkpoint.dir``), so the input is aggregated once for all readers.
 """
 
 from __future__ import annotations
@@ -77,7 +80,10 @@ def global_rank(
     Equal to the single-partition window functions (ties share a rank, NULLs
     tie with each other and sort last when descending, first when ascending).
     """
-    vals = df.groupBy(metric).agg(F.count(F.lit(1)).alias(_N))
+    # The distinct-value table feeds three readers (cut points, local ranks,
+    # bucket offsets): checkpoint it once to the shared folder so the input is
+    # computed once and every reader sees the same rows.
+    vals = df.groupBy(metric).agg(F.count(F.lit(1)).alias(_N)).checkpoint(eager=True)
     vals = _bucketize(vals, metric, descending, rows_per_bucket, max_buckets)
 
     w = Window.partitionBy(_B).orderBy(_ordered(metric, descending))

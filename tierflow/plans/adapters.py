@@ -28,6 +28,15 @@ def _null(dtype: str):
     return F.lit(None).cast(dtype)
 
 
+def _padded_name(prefix: str, key: str, width: int = 9):
+    """``prefix`` + zero-padded key (``%09d``) without per-row String.format.
+
+    ``lpad`` alone would truncate keys longer than ``width`` digits.
+    """
+    digits = F.col(key).cast("string")
+    return F.concat(F.lit(prefix), F.when(F.length(digits) >= width, digits).otherwise(F.lpad(digits, width, "0")))
+
+
 def bronze_shows(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
@@ -104,7 +113,7 @@ def bronze_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("show_id"),
         F.struct(
             F.col("l_suppkey").alias("id"),
-            F.format_string("Supplier#%09d", F.col("l_suppkey")).alias("name"),
+            _padded_name("Supplier#", "l_suppkey").alias("name"),
             F.struct(_null("string").alias("name")).alias("country"),
             _null("string").alias("birthday"),
             F.when(F.col("l_suppkey") % 2 == 0, F.lit("Female")).otherwise(F.lit("Male")).alias("gender"),

@@ -71,7 +71,8 @@ credits AS (
     SELECT
         o.o_custkey AS show_id,
         l.l_suppkey AS person_id,
-        'Supplier#' || lpad(CAST(l.l_suppkey AS VARCHAR), 9, '0') AS cast_name,
+        'Supplier#' || CASE WHEN length(CAST(l.l_suppkey AS VARCHAR)) >= 9 THEN CAST(l.l_suppkey AS VARCHAR)
+                            ELSE lpad(CAST(l.l_suppkey AS VARCHAR), 9, '0') END AS cast_name,
         'Unknown' AS person_country,
         CAST(NULL AS VARCHAR) AS person_birthday,
         CASE WHEN l.l_suppkey % 2 = 0 THEN 'Female' ELSE 'Male' END AS person_gender,
