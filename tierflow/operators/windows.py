@@ -28,6 +28,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierflow.session import ensure_checkpoint_dir
+
 _B = "_tf_bucket"
 _N = "_tf_rows"
 _MV = "_tf_mv"
@@ -83,6 +85,7 @@ def global_rank(
     # The distinct-value table feeds three readers (cut points, local ranks,
     # bucket offsets): checkpoint it once to the shared folder so the input is
     # computed once and every reader sees the same rows.
+    ensure_checkpoint_dir(df.sparkSession)
     vals = df.groupBy(metric).agg(F.count(F.lit(1)).alias(_N)).checkpoint(eager=True)
     vals = _bucketize(vals, metric, descending, rows_per_bucket, max_buckets)
 
