@@ -123,3 +123,17 @@ def test_above_average_forms(spark, silver_layer):
     assert correlated["Epsilon"]["ep_count"] == 0 and correlated["Epsilon"]["avg_rt"] is None
     assert cte["Epsilon"]["episode_count"] == 0 and cte["Epsilon"]["avg_runtime"] == 0.0
     assert correlated["Alpha"]["cast_sz"] == 2
+
+
+def test_best_episode_distributed_equals_window_form(spark, silver_layer):
+    from tierflow.plans import adapters as A
+
+    cases = [
+        (silver_layer["episodes"], silver_layer["shows"], 2),
+        (A.episodes(spark, "/root/testdata/sf0.01"), A.shows(spark, "/root/testdata/sf0.01"), 1500),
+    ]
+    for episodes, shows, width in cases:
+        fast = reports.best_episode_per_season(episodes, shows, chunk_width=width)
+        slow = reports.best_episode_per_season_window(episodes, shows)
+        assert fast.count() == slow.count()
+        assert fast.select(*slow.columns).exceptAll(slow).count() == 0

@@ -105,3 +105,57 @@ def test_rounded_avg_is_exact_half_up(spark):
     assert got1[2] == 0.2 and got1[3] == -2.5
     got0 = {r["g"]: r["a"] for r in df.groupBy("g").agg(rounded_avg("x", 0, scale=2).alias("a")).collect()}
     assert got0[3] == -3.0 and not math.isnan(got0[1])
+
+
+def _events_with_hot_key(spark):
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    # key 0 holds every third row (a third of the table); NULL values and NULL order keys included
+    return ev.select(
+        F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id") % 7 + 1).alias("k"),
+        F.when(F.col("event_id") % 11 == 0, F.lit(None)).otherwise(F.col("event_id")).alias("num"),
+        F.col("event_id").alias("id"),
+        F.when(F.col("value") < 1, F.lit(None)).otherwise(F.floor("value")).alias("v"),
+    )
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_keyed_rank_equals_partitioned_window(spark, descending):
+    from pyspark.sql import Window
+
+    df = _events_with_hot_key(spark)
+    fast = windows.keyed_rank(
+        df, "v", ["k"], descending=descending, dense_rank_col="d", rank_col="r", percent_rank_col="p", rows_per_bucket=30
+    )
+    o = F.col("v").desc_nulls_last() if descending else F.col("v").asc_nulls_first()
+    w = Window.partitionBy("k").orderBy(o)
+    slow = df.select(
+        "*", F.dense_rank().over(w).alias("d"), F.rank().over(w).alias("r"), F.percent_rank().over(w).alias("p")
+    )
+    assert fast.count() == df.count()
+    assert fast.select(*slow.columns).exceptAll(slow).count() == 0
+
+
+def test_chunked_running_equals_window(spark):
+    from pyspark.sql import Window
+
+    df = _events_with_hot_key(spark)
+    fast = windows.chunked_running(
+        df,
+        ["k"],
+        ["num", "id"],
+        F.floor(F.col("num") / 700),
+        sums={"rs": F.col("v")},
+        counts={"rc": F.col("v")},
+        neighbours={"v": ("prev_v", "next_v")},
+    )
+    w = Window.partitionBy("k").orderBy(F.col("num").asc_nulls_first(), F.col("id"))
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    slow = df.select(
+        "*",
+        F.sum("v").over(run).alias("rs"),
+        F.count("v").over(run).alias("rc"),
+        F.lag("v", 1).over(w).alias("prev_v"),
+        F.lead("v", 1).over(w).alias("next_v"),
+    )
+    assert fast.count() == df.count()
+    assert fast.select(*slow.columns).exceptAll(slow).count() == 0

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierflow.functions.columns import rounded_avg
+from tierflow.operators import windows
 from tierflow.operators.gold import RATING_SCALE
 
 
@@ -18,8 +19,67 @@ def _scaled(c: str, scale: int) -> Column:
     return F.round(F.col(c) * F.lit(10 ** scale)).cast("long")
 
 
-def best_episode_per_season(episodes: DataFrame, shows: DataFrame) -> DataFrame:
-    """R-4 (1A): rank family, running average, neighbours, percentile; rank-1 rows.
+# Episode numbers per chunk of the segmented scan in R-4.
+EPISODE_CHUNK = 4096
+
+
+def best_episode_per_season(episodes: DataFrame, shows: DataFrame, chunk_width: int = EPISODE_CHUNK) -> DataFrame:
+    """R-4 (1A): the top-rated episode(s) of each season with their window metrics.
+
+    Only rank-1 rows are returned, so every window column has a closed form
+    that needs no window partition per (show, season):
+
+    * rank = dense_rank = 1; ``percent_rank`` (ascending) of the maximum is
+      (n - ties) / (n - 1), from (season, rating) pre-aggregates;
+    * ``row_number`` among the ties, the running average and LAG/LEAD come
+      from one segmented scan (``chunked_running``) over episode-number
+      chunks, so a season with millions of episodes is spread over many tasks.
+
+    Equal to ``best_episode_per_season_window`` (the literal window form).
+    """
+    e = episodes.filter(F.col("episode_rating") > 0).join(
+        shows.select("show_id", "show_name"), "show_id", "inner"
+    )
+    part = ["show_id", "season"]
+    per_value = e.groupBy(*part, "episode_rating").agg(F.count(F.lit(1)).alias("_tf_cnt"))
+    stats = per_value.groupBy(*part).agg(
+        F.max("episode_rating").alias("_tf_max"),
+        F.max_by("_tf_cnt", "episode_rating").alias("_tf_ties"),
+        F.sum("_tf_cnt").alias("_tf_n"),
+    ).select(*[F.col(c).alias(f"_tf_s_{c}") for c in part], "_tf_max", "_tf_ties", "_tf_n")
+    on = F.lit(True)
+    for c in part:
+        on = on & e[c].eqNullSafe(stats[f"_tf_s_{c}"])
+    flagged = e.join(stats, on, "inner").drop(*[f"_tf_s_{c}" for c in part]).withColumn(
+        "_tf_top", (F.col("episode_rating") == F.col("_tf_max")).cast("int")
+    )
+    scanned = windows.chunked_running(
+        flagged,
+        part,
+        ["episode_number", "episode_id"],
+        F.floor(F.col("episode_number") / F.lit(chunk_width)),
+        sums={"_tf_cents": _scaled("episode_rating", RATING_SCALE), "_tf_top_seen": F.col("_tf_top")},
+        counts={"_tf_rated": F.col("episode_rating")},
+        neighbours={"episode_rating": ("prev_episode_rating", "next_episode_rating")},
+    )
+    return scanned.filter(F.col("_tf_top") == 1).select(
+        "show_name", "season", "episode_number", "episode_name", "episode_rating", "episode_runtime", "airdate",
+        F.lit(1).alias("rating_rank"),
+        F.lit(1).alias("rating_dense_rank"),
+        F.col("_tf_top_seen").cast("int").alias("rating_row_num"),
+        (F.col("_tf_cents") / (F.col("_tf_rated") * F.lit(10 ** RATING_SCALE))).alias("running_avg_rating"),
+        "prev_episode_rating",
+        "next_episode_rating",
+        F.when(F.col("_tf_n") > 1, (F.col("_tf_n") - F.col("_tf_ties")) / (F.col("_tf_n") - 1))
+        .otherwise(F.lit(0.0))
+        .alias("rating_percentile"),
+        (F.col("episode_rating") - F.col("prev_episode_rating")).alias("rating_change"),
+    )
+
+
+def best_episode_per_season_window(episodes: DataFrame, shows: DataFrame) -> DataFrame:
+    """R-4 (1A) in the literal window form: rank family, running average,
+    neighbours, percentile; rank-1 rows.
 
     ``rating_row_num`` breaks rating ties by episode number and id so that the
     numbering is reproducible (the reference leaves it to arrival order). The

@@ -41,19 +41,27 @@ def _ordered(c: str | Column, descending: bool) -> Column:
     return col.desc_nulls_last() if descending else col.asc_nulls_first()
 
 
-def _bucketize(vals: DataFrame, metric: str, descending: bool, rows_per_bucket: int, max_buckets: int) -> DataFrame:
-    """Attach a bucket id to each distinct metric value; buckets follow the sort order."""
+def _bucketize(
+    vals: DataFrame, metric: str, keys: Sequence[str], descending: bool, rows_per_bucket: int, max_buckets: int
+) -> DataFrame:
+    """Attach a bucket id to each distinct (key, value); buckets follow the sort order.
+
+    One small action returns the largest number of distinct values of any key
+    and up to ``max_buckets - 1`` global quantile cut points.
+    """
     grid = [i / max_buckets for i in range(1, max_buckets)]
-    stats = vals.agg(
-        F.count(F.lit(1)).alias("d"),
-        F.percentile_approx(F.col(metric).cast("double"), grid, 10000).alias("cuts"),
-    ).first()
-    distinct_values = int(stats["d"] or 0)
-    buckets = min(max_buckets, max(1, math.ceil(distinct_values / max(1, rows_per_bucket))))
-    if buckets <= 1 or not stats["cuts"]:
+    per_key = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tf_dk")) if keys else vals.agg(
+        F.count(F.lit(1)).alias("_tf_dk")
+    )
+    widest = per_key.agg(F.max("_tf_dk").alias("d")).first()["d"] or 0
+    buckets = min(max_buckets, max(1, math.ceil(int(widest) / max(1, rows_per_bucket))))
+    if buckets <= 1:
+        return vals.withColumn(_B, F.lit(0))
+    cuts = vals.agg(F.percentile_approx(F.col(metric).cast("double"), grid, 10000).alias("c")).first()["c"]
+    if not cuts:
         return vals.withColumn(_B, F.lit(0))
     step = max_buckets / buckets
-    picked = sorted({float(stats["cuts"][min(len(stats["cuts"]) - 1, int(round(step * k)) - 1)]) for k in range(1, buckets)})
+    picked = sorted({float(cuts[min(len(cuts) - 1, int(round(step * k)) - 1)]) for k in range(1, buckets)})
     picked = [x for x in picked if not math.isnan(x) and not math.isinf(x)]
     splits = [-math.inf] + picked + [math.inf]
     top = len(splits) - 1  # index handed to NaN by handleInvalid="keep"
@@ -82,37 +90,79 @@ def global_rank(
     Equal to the single-partition window functions (ties share a rank, NULLs
     tie with each other and sort last when descending, first when ascending).
     """
+    return keyed_rank(
+        df,
+        metric,
+        (),
+        descending=descending,
+        dense_rank_col=dense_rank_col,
+        rank_col=rank_col,
+        percent_rank_col=percent_rank_col,
+        rows_per_bucket=rows_per_bucket,
+        max_buckets=max_buckets,
+    )
+
+
+def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str], right_prefix: str) -> Column:
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & left[c].eqNullSafe(right[f"{right_prefix}{c}"])
+    return cond
+
+
+def keyed_rank(
+    df: DataFrame,
+    metric: str,
+    partition_cols: Sequence[str] = (),
+    *,
+    descending: bool = True,
+    dense_rank_col: str | None = None,
+    rank_col: str | None = None,
+    percent_rank_col: str | None = None,
+    rows_per_bucket: int = 1_000_000,
+    max_buckets: int = 1024,
+) -> DataFrame:
+    """``dense_rank``/``rank``/``percent_rank`` OVER (PARTITION BY keys ORDER BY metric).
+
+    Distinct (key, value) pairs are bucketed at global cut points, so a key
+    with many distinct values is ranked by several tasks; per-key offsets come
+    from a summary of at most ``max_buckets + 2`` rows per key. With no keys
+    this is ``global_rank``.
+    """
+    keys = list(partition_cols)
     # The distinct-value table feeds three readers (cut points, local ranks,
     # bucket offsets): checkpoint it once to the shared folder so the input is
     # computed once and every reader sees the same rows.
     ensure_checkpoint_dir(df.sparkSession)
-    vals = df.groupBy(metric).agg(F.count(F.lit(1)).alias(_N)).checkpoint(eager=True)
-    vals = _bucketize(vals, metric, descending, rows_per_bucket, max_buckets)
+    vals = df.groupBy(*keys, metric).agg(F.count(F.lit(1)).alias(_N)).checkpoint(eager=True)
+    vals = _bucketize(vals, metric, keys, descending, rows_per_bucket, max_buckets)
 
-    w = Window.partitionBy(_B).orderBy(_ordered(metric, descending))
+    w = Window.partitionBy(*keys, _B).orderBy(_ordered(metric, descending))
     local = vals.select(
+        *keys,
         metric,
         _B,
-        _N,
         F.row_number().over(w).alias("_tf_local_dense"),
-        F.coalesce(
-            F.sum(_N).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_tf_local_before"),
+        F.coalesce(F.sum(_N).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_tf_local_before"),
     )
 
-    # Per-bucket offsets: one row per bucket, bounded by max_buckets + 2.
-    summary = vals.groupBy(_B).agg(F.count(F.lit(1)).alias("_tf_d"), F.sum(_N).alias("_tf_n"))
-    ws = Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    # Per-bucket offsets: at most max_buckets + 2 rows per key.
+    summary = vals.groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("_tf_d"), F.sum(_N).alias("_tf_n"))
+    ws = Window.partitionBy(*keys).orderBy(_B)
+    before = ws.rowsBetween(Window.unboundedPreceding, -1)
     offsets = summary.select(
-        _B,
-        F.coalesce(F.sum("_tf_d").over(ws), F.lit(0)).alias("_tf_d_before"),
-        F.coalesce(F.sum("_tf_n").over(ws), F.lit(0)).alias("_tf_n_before"),
-        F.sum("_tf_n").over(Window.partitionBy(F.lit(1))).alias("_tf_total"),
+        *[F.col(k).alias(f"_tf_o_{k}") for k in keys],
+        F.col(_B).alias("_tf_o_b"),
+        F.coalesce(F.sum("_tf_d").over(before), F.lit(0)).alias("_tf_d_before"),
+        F.coalesce(F.sum("_tf_n").over(before), F.lit(0)).alias("_tf_n_before"),
+        F.sum("_tf_n").over(Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))).alias("_tf_total"),
     )
-    ranked = local.join(F.broadcast(offsets), _B, "inner")
+    on = _null_safe_on(local, offsets, keys, "_tf_o_") & (local[_B] == offsets["_tf_o_b"])
+    # Without keys the summary is bounded by max_buckets + 2 rows: broadcast it.
+    ranked = local.join(F.broadcast(offsets) if not keys else offsets, on, "inner")
 
     rank_expr = F.col("_tf_n_before") + F.col("_tf_local_before") + F.lit(1)
-    outputs: list[Column] = [F.col(metric).alias("_tf_key")]
+    outputs: list[Column] = [F.col(k).alias(f"_tf_k_{k}") for k in keys] + [F.col(metric).alias("_tf_key")]
     if dense_rank_col:
         outputs.append((F.col("_tf_d_before") + F.col("_tf_local_dense")).cast("int").alias(dense_rank_col))
     if rank_col:
@@ -124,8 +174,92 @@ def global_rank(
             .alias(percent_rank_col)
         )
     ranks = ranked.select(*outputs)
-    joined = df.join(ranks, df[metric].eqNullSafe(ranks["_tf_key"]), "inner")
-    return joined.drop("_tf_key")
+    on_back = _null_safe_on(df, ranks, keys, "_tf_k_") & df[metric].eqNullSafe(ranks["_tf_key"])
+    joined = df.join(ranks, on_back, "inner")
+    return joined.drop("_tf_key", *[f"_tf_k_{k}" for k in keys])
+
+
+_CH = "_tf_chunk"
+
+
+def chunked_running(
+    df: DataFrame,
+    partition_cols: Sequence[str],
+    order_cols: Sequence[str],
+    chunk: Column,
+    *,
+    sums: dict[str, Column] | None = None,
+    counts: dict[str, Column] | None = None,
+    neighbours: dict[str, tuple[str, str]] | None = None,
+) -> DataFrame:
+    """Running aggregates and LAG/LEAD over (PARTITION BY keys ORDER BY order_cols).
+
+    A segmented scan: ``chunk`` must be non-decreasing along the order (e.g.
+    ``floor(number / width)``; NULL sorts first), so chunks are contiguous
+    ranges of each partition. Running sums/counts and neighbours are computed
+    inside (key, chunk) windows, and stitched together from a per-chunk
+    summary (totals before the chunk, last value of the previous chunk, first
+    value of the next). A hot key is thus spread over many tasks; only the
+    per-chunk summary is windowed per key.
+
+    ``sums``/``counts``: output name -> expression (running SUM / COUNT, ROWS
+    UNBOUNDED PRECEDING .. CURRENT ROW). ``neighbours``: value column ->
+    (lag output, lead output). Order columns sort ascending, NULLs first.
+    """
+    sums, counts, neighbours = dict(sums or {}), dict(counts or {}), dict(neighbours or {})
+    keys = list(partition_cols)
+    base = df.withColumn(_CH, chunk)
+    order = [F.col(c).asc_nulls_first() for c in order_cols]
+    wl = Window.partitionBy(*keys, _CH).orderBy(*order)
+    run = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local_cols: dict[str, Column] = {}
+    for i, (_, expr) in enumerate(sums.items()):
+        local_cols[f"_tf_ls{i}"] = F.sum(expr).over(run)
+    for i, (_, expr) in enumerate(counts.items()):
+        local_cols[f"_tf_lc{i}"] = F.count(expr).over(run)
+    for i, value in enumerate(neighbours):
+        local_cols[f"_tf_lp{i}"] = F.lag(value, 1).over(wl)
+        local_cols[f"_tf_ln{i}"] = F.lead(value, 1).over(wl)
+    if neighbours:
+        local_cols["_tf_first"] = F.row_number().over(wl) == 1
+        local_cols["_tf_last"] = F.lead(F.lit(1), 1).over(wl).isNull()
+    local = base.withColumns(local_cols)
+
+    key_struct = F.struct(*[F.col(c) for c in order_cols])
+    aggs: list[Column] = []
+    for i, (_, expr) in enumerate(sums.items()):
+        aggs.append(F.sum(expr).alias(f"_tf_s{i}"))
+    for i, (_, expr) in enumerate(counts.items()):
+        aggs.append(F.count(expr).alias(f"_tf_c{i}"))
+    for i, value in enumerate(neighbours):
+        aggs.append(F.max_by(F.col(value), key_struct).alias(f"_tf_lastv{i}"))
+        aggs.append(F.min_by(F.col(value), key_struct).alias(f"_tf_firstv{i}"))
+    summary = base.groupBy(*keys, _CH).agg(*aggs)
+    wc = Window.partitionBy(*keys).orderBy(F.col(_CH).asc_nulls_first())
+    before = wc.rowsBetween(Window.unboundedPreceding, -1)
+    offs: list[Column] = [F.col(k).alias(f"_tf_o_{k}") for k in keys] + [F.col(_CH).alias("_tf_o_ch")]
+    for i in range(len(sums)):
+        offs.append(F.sum(f"_tf_s{i}").over(before).alias(f"_tf_sb{i}"))
+    for i in range(len(counts)):
+        offs.append(F.coalesce(F.sum(f"_tf_c{i}").over(before), F.lit(0)).alias(f"_tf_cb{i}"))
+    for i in range(len(neighbours)):
+        offs.append(F.lag(f"_tf_lastv{i}", 1).over(wc).alias(f"_tf_pl{i}"))
+        offs.append(F.lead(f"_tf_firstv{i}", 1).over(wc).alias(f"_tf_nf{i}"))
+    offsets = summary.select(*offs)
+
+    on = _null_safe_on(local, offsets, keys, "_tf_o_") & local[_CH].eqNullSafe(offsets["_tf_o_ch"])
+    joined = local.join(offsets, on, "inner")
+    out: dict[str, Column] = {}
+    for i, name in enumerate(sums):
+        prior, here = F.col(f"_tf_sb{i}"), F.col(f"_tf_ls{i}")
+        out[name] = F.when(prior.isNull(), here).when(here.isNull(), prior).otherwise(prior + here)
+    for i, name in enumerate(counts):
+        out[name] = F.col(f"_tf_cb{i}") + F.col(f"_tf_lc{i}")
+    for i, (lag_name, lead_name) in enumerate(neighbours.values()):
+        out[lag_name] = F.when(F.col("_tf_first"), F.col(f"_tf_pl{i}")).otherwise(F.col(f"_tf_lp{i}"))
+        out[lead_name] = F.when(F.col("_tf_last"), F.col(f"_tf_nf{i}")).otherwise(F.col(f"_tf_ln{i}"))
+    result = joined.withColumns(out)
+    return result.select(*df.columns, *out.keys())
 
 
 def window_rank_reference(
@@ -158,10 +292,59 @@ def share_of_total(df: DataFrame, value_col: str, out_col: str, scale: float = 1
     return df.crossJoin(F.broadcast(total)).withColumn(out_col, share).drop("_tf_total")
 
 
+def rank_family_distributed(
+    df: DataFrame,
+    partition_cols: Sequence[str],
+    metric: str,
+    tiebreak: str,
+    *,
+    descending: bool = True,
+    prefix: str = "rating",
+    chunk_width: int = 4096,
+    rows_per_bucket: int = 1_000_000,
+) -> DataFrame:
+    """WIN-6..8 without a window partition per key.
+
+    ``rank``/``dense_rank`` come from ``keyed_rank``; ``row_number`` (ties
+    broken by ``tiebreak`` ascending) is the rows ranked before the value plus
+    the position among the value's ties, a running count over (key, value)
+    chunked by ``floor(tiebreak / chunk_width)``.
+    """
+    keys = list(partition_cols)
+    ranked = keyed_rank(
+        df, metric, keys, descending=descending, dense_rank_col=f"{prefix}_dense_rank",
+        rank_col=f"{prefix}_rank", rows_per_bucket=rows_per_bucket,
+    )
+    positioned = chunked_running(
+        ranked, keys + [metric], [tiebreak], F.floor(F.col(tiebreak) / F.lit(chunk_width)),
+        counts={"_tf_pos": F.lit(1)},
+    )
+    return positioned.withColumn(
+        f"{prefix}_row_num", (F.col(f"{prefix}_rank") - 1 + F.col("_tf_pos")).cast("int")
+    ).drop("_tf_pos")
+
+
+def first_last_by(
+    df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str], value: str, first_col: str, last_col: str
+) -> DataFrame:
+    """WIN-14/15 as an aggregate: FIRST_VALUE/LAST_VALUE over the full frame.
+
+    ``min_by``/``max_by`` on the struct of the order columns (NULL fields sort
+    first, as ASC NULLS FIRST) combine map-side, then join back on the key.
+    """
+    keys = list(partition_cols)
+    order = F.struct(*[F.col(c) for c in order_cols])
+    bounds = df.groupBy(*keys).agg(
+        F.min_by(F.col(value), order).alias(first_col), F.max_by(F.col(value), order).alias(last_col)
+    ).select(*[F.col(k).alias(f"_tf_o_{k}") for k in keys], first_col, last_col)
+    joined = df.join(bounds, _null_safe_on(df, bounds, keys, "_tf_o_"), "inner")
+    return joined.drop(*[f"_tf_o_{k}" for k in keys])
+
+
 def rank_family(
     df: DataFrame, partition_cols: Sequence[str], order: Column, prefix: str = "rating"
 ) -> DataFrame:
-    """WIN-6..8: rank, dense_rank and row_number over one window spec."""
+    """WIN-6..8: rank, dense_rank and row_number over one window spec (plain window)."""
     w = Window.partitionBy(*partition_cols).orderBy(order)
     return df.withColumns(
         {

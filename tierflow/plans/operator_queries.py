@@ -408,18 +408,9 @@ FROM episodes
     ),
 )
 def q_win_rank_family(spark, sf):
-    """WIN-6..8: rank / dense_rank / row_number (row_number tie-broken by id)."""
+    """WIN-6..8: rank / dense_rank / row_number (row_number tie-broken by id), no per-key window."""
     e = A.episodes(spark, sf).select("episode_id", "show_id", "season", "episode_rating")
-    w = Window.partitionBy("show_id", "season").orderBy(F.desc("episode_rating"))
-    return e.withColumns(
-        {
-            "rating_rank": F.rank().over(w),
-            "rating_dense_rank": F.dense_rank().over(w),
-            "rating_row_num": F.row_number().over(
-                Window.partitionBy("show_id", "season").orderBy(F.desc("episode_rating"), "episode_id")
-            ),
-        }
-    )
+    return windows.rank_family_distributed(e, ["show_id", "season"], "episode_rating", "episode_id")
 
 
 @register(
@@ -436,18 +427,20 @@ WINDOW w AS ({W_NUM} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
     ),
 )
 def q_win_running_avg(spark, sf):
-    """WIN-9: running average (exact running sum / count) and running sum."""
+    """WIN-9: running average (exact running sum / count) and running sum, as a segmented scan."""
     e = A.episodes(spark, sf).select("episode_id", "show_id", "season", "episode_rating", "episode_runtime", "episode_number")
-    w = (
-        Window.partitionBy("show_id", "season")
-        .orderBy(F.asc_nulls_first("episode_number"), "episode_id")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    scanned = windows.chunked_running(
+        e,
+        ["show_id", "season"],
+        ["episode_number", "episode_id"],
+        F.floor(F.col("episode_number") / F.lit(4096)),
+        sums={"_cents": F.round(F.col("episode_rating") * 100).cast("long"), "running_runtime": F.col("episode_runtime")},
+        counts={"_rated": F.col("episode_rating")},
     )
-    cents = F.round(F.col("episode_rating") * 100).cast("long")
-    return e.select(
+    return scanned.select(
         "episode_id", "show_id", "season", "episode_rating",
-        (F.sum(cents).over(w) / (F.count("episode_rating").over(w) * 100)).alias("running_avg_rating"),
-        F.sum("episode_runtime").over(w).alias("running_runtime"),
+        (F.col("_cents") / (F.col("_rated") * 100)).alias("running_avg_rating"),
+        "running_runtime",
     )
 
 
@@ -465,13 +458,16 @@ WINDOW w AS ({W_NUM})
     ),
 )
 def q_win_lag_lead(spark, sf):
-    """WIN-10..12: LAG, LEAD and the delta to the previous row."""
+    """WIN-10..12: LAG, LEAD and the delta to the previous row, as a segmented scan."""
     e = A.episodes(spark, sf).select("episode_id", "show_id", "season", "episode_rating", "episode_number")
-    out = windows.lag_lead_delta(
-        e, ["show_id", "season"], [F.asc_nulls_first("episode_number"), F.col("episode_id")],
-        "episode_rating", "prev_rating", "next_rating", "rating_change",
+    out = windows.chunked_running(
+        e,
+        ["show_id", "season"],
+        ["episode_number", "episode_id"],
+        F.floor(F.col("episode_number") / F.lit(4096)),
+        neighbours={"episode_rating": ("prev_rating", "next_rating")},
     )
-    return out.drop("episode_number")
+    return out.withColumn("rating_change", F.col("episode_rating") - F.col("prev_rating")).drop("episode_number")
 
 
 @register(
@@ -485,10 +481,9 @@ FROM episodes
     ),
 )
 def q_win_percent_rank(spark, sf):
-    """WIN-13: percent_rank ascending within a partition."""
+    """WIN-13: percent_rank ascending within a partition (distinct-value ranks, no per-key window)."""
     e = A.episodes(spark, sf).select("episode_id", "show_id", "season", "episode_rating")
-    w = Window.partitionBy("show_id", "season").orderBy(F.asc("episode_rating"))
-    return e.withColumn("rating_percentile", F.percent_rank().over(w))
+    return windows.keyed_rank(e, "episode_rating", ["show_id", "season"], descending=False, percent_rank_col="rating_percentile")
 
 
 @register(
@@ -504,11 +499,10 @@ WINDOW w AS ({W_NUM} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
     ),
 )
 def q_win_first_last(spark, sf):
-    """WIN-14/15: FIRST_VALUE / LAST_VALUE over the full frame."""
+    """WIN-14/15: FIRST_VALUE / LAST_VALUE over the full frame, as a min_by/max_by aggregate."""
     e = A.episodes(spark, sf).select("episode_id", "show_id", "season", "episode_rating", "episode_number")
-    out = windows.first_last(
-        e, ["show_id", "season"], [F.asc_nulls_first("episode_number"), F.col("episode_id")],
-        "episode_rating", "first_rating", "last_rating",
+    out = windows.first_last_by(
+        e, ["show_id", "season"], ["episode_number", "episode_id"], "episode_rating", "first_rating", "last_rating"
     )
     return out.drop("episode_rating", "episode_number")
 
