@@ -7,6 +7,8 @@ the size of each input, not the product of episodes x cast x genres.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,7 +25,15 @@ def _scaled(c: str, scale: int) -> Column:
 EPISODE_CHUNK = 4096
 
 
-def best_episode_per_season(episodes: DataFrame, shows: DataFrame, chunk_width: int = EPISODE_CHUNK) -> DataFrame:
+ORDER_COLS = ("episode_number", "episode_id")
+
+
+def best_episode_per_season(
+    episodes: DataFrame,
+    shows: DataFrame,
+    chunk_width: int = EPISODE_CHUNK,
+    order_cols: Sequence[str] = ORDER_COLS,
+) -> DataFrame:
     """R-4 (1A): the top-rated episode(s) of each season with their window metrics.
 
     Only rank-1 rows are returned, so every window column has a closed form
@@ -35,6 +45,8 @@ def best_episode_per_season(episodes: DataFrame, shows: DataFrame, chunk_width:
       from one segmented scan (``chunked_running``) over episode-number
       chunks, so a season with millions of episodes is spread over many tasks.
 
+    ``order_cols`` is the episode order (first column chunked); it must be
+    unique within a season for LAG/LEAD and row numbers to be deterministic.
     Equal to ``best_episode_per_season_window`` (the literal window form).
     """
     e = episodes.filter(F.col("episode_rating") > 0).join(
@@ -56,8 +68,8 @@ def best_episode_per_season(episodes: DataFrame, shows: DataFrame, chunk_width:
     scanned = windows.chunked_running(
         flagged,
         part,
-        ["episode_number", "episode_id"],
-        F.floor(F.col("episode_number") / F.lit(chunk_width)),
+        list(order_cols),
+        F.floor(F.col(order_cols[0]) / F.lit(chunk_width)),
         sums={"_tf_cents": _scaled("episode_rating", RATING_SCALE), "_tf_top_seen": F.col("_tf_top")},
         counts={"_tf_rated": F.col("episode_rating")},
         neighbours={"episode_rating": ("prev_episode_rating", "next_episode_rating")},
@@ -77,7 +89,9 @@ def best_episode_per_season(episodes: DataFrame, shows: DataFrame, chunk_width:
     )
 
 
-def best_episode_per_season_window(episodes: DataFrame, shows: DataFrame) -> DataFrame:
+def best_episode_per_season_window(
+    episodes: DataFrame, shows: DataFrame, order_cols: Sequence[str] = ORDER_COLS
+) -> DataFrame:
     """R-4 (1A) in the literal window form: rank family, running average,
     neighbours, percentile; rank-1 rows.
 
@@ -90,10 +104,9 @@ def best_episode_per_season_window(episodes: DataFrame, shows: DataFrame) -> Dat
     )
     part = ["show_id", "season"]
     by_rating = Window.partitionBy(*part).orderBy(F.desc("episode_rating"))
-    by_rating_tb = Window.partitionBy(*part).orderBy(
-        F.desc("episode_rating"), F.asc_nulls_first("episode_number"), "episode_id"
-    )
-    by_number = Window.partitionBy(*part).orderBy(F.asc_nulls_first("episode_number"), "episode_id")
+    order = [F.asc_nulls_first(c) for c in order_cols]
+    by_rating_tb = Window.partitionBy(*part).orderBy(F.desc("episode_rating"), *order)
+    by_number = Window.partitionBy(*part).orderBy(*order)
     running = by_number.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     by_rating_asc = Window.partitionBy(*part).orderBy(F.asc("episode_rating"))
     ranked = e.select(
@@ -114,7 +127,7 @@ def best_episode_per_season_window(episodes: DataFrame, shows: DataFrame) -> Dat
     ).filter(F.col("rating_rank") == 1)
 
 
-def season_trajectory(episodes: DataFrame, shows: DataFrame) -> DataFrame:
+def season_trajectory(episodes: DataFrame, shows: DataFrame, order_cols: Sequence[str] = ORDER_COLS) -> DataFrame:
     """R-5 (1B): premiere vs finale rating per season.
 
     FIRST_VALUE/LAST_VALUE over a full frame followed by DISTINCT equals
@@ -127,7 +140,7 @@ def season_trajectory(episodes: DataFrame, shows: DataFrame) -> DataFrame:
     e = episodes.filter(F.col("episode_rating") > 0).join(
         shows.select("show_id", "show_name"), "show_id", "inner"
     )
-    order_key = F.struct(F.col("episode_number"), F.col("episode_id"))
+    order_key = F.struct(*[F.col(c) for c in order_cols])
     bounds = e.groupBy("show_id", "show_name", "season").agg(
         F.min_by("episode_rating", order_key).alias("season_premiere_rating"),
         F.max_by("episode_rating", order_key).alias("season_finale_rating"),

@@ -158,15 +158,23 @@ def volume_shows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def volume_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Volume variant: line items as episodes of their supplier, season = ship year."""
+    """Volume variant: line items as episodes of their supplier, season = ship year.
+
+    (l_orderkey, l_linenumber) is not unique in this data; the episode order is
+    (episode_number = l_orderkey, episode_id = l_linenumber, l_partkey).
+    """
     li = table(spark, sf_dir, "lineitem")
     return li.select(
         F.col("l_suppkey").alias("show_id"),
         F.year("l_shipdate").alias("season"),
-        F.col("l_orderkey"),
-        F.col("l_linenumber"),
+        F.col("l_orderkey").alias("episode_number"),
+        F.col("l_linenumber").cast("bigint").alias("episode_id"),
         F.col("l_partkey"),
         F.col("l_quantity").cast("int").alias("episode_runtime"),
         F.col("l_discount").alias("episode_rating"),
         F.to_date("l_shipdate").alias("airdate"),
+        F.col("l_returnflag").alias("episode_name"),
     )
+
+
+VOLUME_ORDER = ("episode_number", "episode_id", "l_partkey")
