@@ -1,6 +1,8 @@
 """Gold KPI products (D-7 .. D-11).
 
-All global ranks use ``global_rank`` (no single-task window). Aggregates are
+All global ranks use ``global_rank`` (no single-task window); its input here
+is always a per-key aggregate, so it is checkpointed once and both the ranks
+and the returned rows read the checkpoint. Aggregates are
 computed before joining to the show dimension, so joins see one row per key.
 The reference sorts each table before writing it; that range shuffle buys
 readers nothing, so ordering is left to the queries that read the tables.
@@ -67,7 +69,7 @@ def avg_runtime_per_show(episodes: DataFrame, shows: DataFrame, timestamps: bool
         shows.select("show_id", "show_name", "language", "status", "rating_average"), "show_id", "inner"
     )
     ranked = global_rank(
-        joined, "avg_runtime_minutes", dense_rank_col="runtime_rank", percent_rank_col="_pr"
+        joined, "avg_runtime_minutes", dense_rank_col="runtime_rank", percent_rank_col="_pr", materialize_input=True
     )
     out = ranked.withColumn("runtime_percentile", F.round(F.col("_pr") * 100, 1)).drop("_pr")
     return _stamp(out, timestamps)
@@ -97,7 +99,9 @@ def top_cast_members(cast: DataFrame, timestamps: bool = True, distinct_shows: b
     if distinct_shows:
         counts = cast.groupBy(*person).agg(F.count_distinct("show_id").alias("show_count"))
         per_person = per_person.drop("show_count").join(counts, person, "inner")
-    ranked = global_rank(per_person, "show_count", dense_rank_col="cast_rank", percent_rank_col="_pr")
+    ranked = global_rank(
+        per_person, "show_count", dense_rank_col="cast_rank", percent_rank_col="_pr", materialize_input=True
+    )
     out = ranked.select(
         *person,
         "show_count",
@@ -125,7 +129,7 @@ def genre_statistics(genres: DataFrame, shows: DataFrame, timestamps: bool = Tru
             rounded_avg("rating_average", 2, scale=RATING_SCALE).alias("avg_genre_rating"),
         )
     )
-    ranked = global_rank(stats, "show_count", dense_rank_col="genre_rank")
+    ranked = global_rank(stats, "show_count", dense_rank_col="genre_rank", materialize_input=True)
     out = share_of_total(ranked, "show_count", "genre_share_pct", digits=1)
     return _stamp(out, timestamps)
 
@@ -152,5 +156,5 @@ def show_dashboard(
         F.coalesce("avg_episode_rating", F.lit(0)).alias("avg_episode_rating"),
         F.coalesce("cast_size", F.lit(0)).alias("cast_size"),
     )
-    out = global_rank(flat, "rating_average", dense_rank_col="overall_rank")
+    out = global_rank(flat, "rating_average", dense_rank_col="overall_rank", materialize_input=True)
     return _stamp(out, timestamps)

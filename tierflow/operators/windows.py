@@ -84,6 +84,7 @@ def global_rank(
     percent_rank_col: str | None = None,
     rows_per_bucket: int = 1_000_000,
     max_buckets: int = 1024,
+    materialize_input: bool = False,
 ) -> DataFrame:
     """Whole-table ``dense_rank`` / ``rank`` / ``percent_rank`` over ``metric``.
 
@@ -100,6 +101,7 @@ def global_rank(
         percent_rank_col=percent_rank_col,
         rows_per_bucket=rows_per_bucket,
         max_buckets=max_buckets,
+        materialize_input=materialize_input,
     )
 
 
@@ -121,6 +123,7 @@ def keyed_rank(
     percent_rank_col: str | None = None,
     rows_per_bucket: int = 1_000_000,
     max_buckets: int = 1024,
+    materialize_input: bool = False,
 ) -> DataFrame:
     """``dense_rank``/``rank``/``percent_rank`` OVER (PARTITION BY keys ORDER BY metric).
 
@@ -128,13 +131,21 @@ def keyed_rank(
     with many distinct values is ranked by several tasks; per-key offsets come
     from a summary of at most ``max_buckets + 2`` rows per key. With no keys
     this is ``global_rank``.
+
+    ``materialize_input=True`` checkpoints ``df`` itself (worth it when ``df``
+    is an expensive aggregate that would otherwise be computed twice: once for
+    the ranks and once for the rows they are joined back to).
     """
     keys = list(partition_cols)
-    # The distinct-value table feeds three readers (cut points, local ranks,
-    # bucket offsets): checkpoint it once to the shared folder so the input is
-    # computed once and every reader sees the same rows.
     ensure_checkpoint_dir(df.sparkSession)
-    vals = df.groupBy(*keys, metric).agg(F.count(F.lit(1)).alias(_N)).checkpoint(eager=True)
+    if materialize_input:
+        df = df.checkpoint(eager=True)
+        vals = df.groupBy(*keys, metric).agg(F.count(F.lit(1)).alias(_N))
+    else:
+        # The distinct-value table feeds three readers (cut points, local
+        # ranks, bucket offsets): checkpoint it once to the shared folder so
+        # the input is aggregated once and every reader sees the same rows.
+        vals = df.groupBy(*keys, metric).agg(F.count(F.lit(1)).alias(_N)).checkpoint(eager=True)
     vals = _bucketize(vals, metric, keys, descending, rows_per_bucket, max_buckets)
 
     w = Window.partitionBy(*keys, _B).orderBy(_ordered(metric, descending))
