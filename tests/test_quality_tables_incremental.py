@@ -141,3 +141,20 @@ def test_refresh_fact_removes_emptied_partition(spark, silver_layer):
     langs = {r[0] for r in spark.read.parquet(path).select("language").distinct().collect()}
     assert "Dutch" not in langs
     assert not os.path.exists(os.path.join(local_fs_path(path), "language=Dutch"))
+
+
+def test_run_medallion_end_to_end(spark, raw_root):
+    from tierflow.plans.medallion import MedallionConfig, run_medallion
+
+    out = shared_path(spark, "medallion")
+    res = run_medallion(spark, MedallionConfig(raw_root=raw_root, out_root=out))
+    rows_ = res.rows
+    assert rows_["bronze_shows"] == 7  # 5 ids (newest snapshot wins) + NULL id + corrupt line
+    assert rows_["silver_shows"] == 5 and rows_["silver_episodes"] == 10 and rows_["silver_cast"] == 6
+    assert rows_["silver_show_genres"] == 8 and rows_["gold_show_dashboard"] == 5
+    dash = {r["show_id"]: r for r in spark.read.parquet(res.paths["gold_show_dashboard"]).collect()}
+    assert dash[1]["show_name"] == "Alpha Renamed" and dash[1]["total_episodes"] == 6
+    dq = {(r["check"], r["table_name"]): r["violations"] for r in spark.read.parquet(res.paths["dq_report"]).collect()}
+    assert dq[("unique:show_id", "silver_shows")] == 0  # T-1 handled before Silver
+    fact = spark.read.parquet(res.paths["fact_show_data"])
+    assert "language" in fact.columns and fact.filter(F.col("show_id") == 4).count() == 3

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tierflow.operators import quality, silver
 from tierflow.plans import adapters as A
+from tierflow.plans.gold_queries import GOLD_DASHBOARD_CTE
 from tierflow.plans.oracle_base import oracle
 from tierflow.plans.registry import register
 from tierflow.schemas import BRONZE_EPISODES, BRONZE_SHOWS, REQUIRED_BRONZE_SHOW_COLUMNS, REQUIRED_SILVER_SHOW_COLUMNS
@@ -396,3 +397,44 @@ def q_refresh_fact(spark, sf):
     changed = incremental.changed_keys(episodes, "show_id", "airdate", "2024-01-15")
     incremental.refresh_fact(spark, path, changed, episodes, shows, genres, cast)
     return spark.read.parquet(path).select(*silver.FACT_COLUMNS)
+
+
+# ------------------------------------------------------------ end to end
+
+
+@register("medallion_dashboard", oracle("SELECT * FROM dashboard", GOLD_DASHBOARD_CTE))
+def q_medallion_dashboard(spark, sf):
+    """D-1..D-11 end to end: raw JSON snapshots -> Bronze -> Silver -> fact -> Gold -> DQ
+    tables in shared storage; returns the Gold dashboard read back from its table."""
+    from tierflow.plans.medallion import MedallionConfig, run_medallion
+
+    raw = shared_path(spark, "raw")
+    ingest.land_snapshot(A.bronze_shows(spark, sf), raw, "shows", snapshot="s1")
+    ingest.land_snapshot(A.bronze_episodes(spark, sf), raw, "episodes", snapshot="s1")
+    ingest.land_snapshot(A.bronze_cast(spark, sf), raw, "cast", snapshot="s1")
+    result = run_medallion(spark, MedallionConfig(raw_root=raw, out_root=shared_path(spark, "medallion")))
+    return spark.read.parquet(result.paths["gold_show_dashboard"]).drop("_gold_timestamp")
+
+
+@register(
+    "null_defaults",
+    oracle("SELECT show_id, show_name, language, status, runtime, rating_average FROM shows"),
+)
+def q_null_defaults(spark, sf):
+    """FN-1/FN-2: literal defaults and the runtime fallback chain of silver_shows."""
+    return A.shows(spark, sf).select("show_id", "show_name", "language", "status", "runtime", "rating_average")
+
+
+@register("parse_dates", oracle("SELECT show_id, premiered_date, ended_date FROM shows"))
+def q_parse_dates(spark, sf):
+    """FN-5: ANSI-safe yyyy-MM-dd parsing ('unknown' and NULL become NULL)."""
+    return A.shows(spark, sf).select("show_id", "premiered_date", "ended_date")
+
+
+@register("dq_positive", oracle("SELECT * FROM dq_report WHERE \"check\" = 'runtime_positive'", DQ_ORACLE_CTES))
+def q_dq_positive(spark, sf):
+    """DQ-4 (T-2): runtime NULL or > 0; defaulted zeros are reported, not raised."""
+    return quality.row_checks(
+        A.shows(spark, sf), "silver_shows", "silver",
+        {"runtime_positive": F.col("runtime").isNotNull() & (F.col("runtime") <= 0)},
+    )

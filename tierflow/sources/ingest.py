@@ -121,15 +121,27 @@ def limit_parents(parents: DataFrame, children: DataFrame, key: str, n: int, ord
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     """T-1: keep the newest version of each key across accumulated snapshots.
 
-    ``max_by`` over a struct of the remaining columns is an aggregate, so it
-    combines map-side: a key that appears in many snapshots costs one buffer,
-    not a window partition holding all its versions.
+    All rows of a key's newest snapshot are kept (rows sharing a key *within*
+    one snapshot are distinct records, e.g. two credits of one person in one
+    show). Rows with a NULL key part cannot be versioned and are kept as they
+    are -- this is where corrupt lines live (T-14). The newest order value per
+    key is a map-side-combined aggregate (a key present in many snapshots costs
+    one buffer per task); rows are matched to it with a LEFT join, so no
+    predicate on the key is pushed into a JSON scan (the JSON reader tests a
+    pushed ``key IS NULL`` on a partially parsed line and would skip a corrupt
+    line that starts with a valid key).
     """
     keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
     order = F.struct(*[F.col(c) for c in order_cols])
-    latest = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in rest]), order).alias("_tf_latest"))
-    return latest.select(*keys, *[F.col(f"_tf_latest.{c}").alias(c) for c in rest])
+    newest = df.groupBy(*keys).agg(F.max(order).alias("_tf_newest")).select(
+        *[F.col(k).alias(f"_tf_k_{k}") for k in keys], "_tf_newest"
+    )
+    on = F.lit(True)
+    for k in keys:
+        on = on & (df[k] == newest[f"_tf_k_{k}"])
+    joined = df.join(newest, on, "left")
+    keep = newest["_tf_newest"].isNull() | (order == newest["_tf_newest"])
+    return joined.filter(keep).select(*[df[c] for c in df.columns])
 
 
 def evolve_union(frames: Sequence[DataFrame]) -> DataFrame:
