@@ -159,3 +159,27 @@ def test_chunked_running_equals_window(spark):
     )
     assert fast.count() == df.count()
     assert fast.select(*slow.columns).exceptAll(slow).count() == 0
+
+
+def test_distributed_forms_equal_plain_window_helpers(spark):
+    df = _events_with_hot_key(spark).filter(F.col("v").isNotNull())
+    fast = windows.rank_family_distributed(df, ["k"], "v", "id", chunk_width=500, rows_per_bucket=25)
+    slow = windows.rank_family(df, ["k"], F.desc("v"), prefix="rating")
+    # the plain helper's row_number has no tie-breaker; compare rank columns, then row_number with one
+    cols = ["k", "id", "rating_rank", "rating_dense_rank"]
+    assert fast.select(*cols).exceptAll(slow.select(*cols)).count() == 0
+    from pyspark.sql import Window
+
+    rn = df.withColumn("rating_row_num", F.row_number().over(Window.partitionBy("k").orderBy(F.desc("v"), "id")))
+    assert fast.select("id", "rating_row_num").exceptAll(rn.select("id", "rating_row_num")).count() == 0
+
+    order = [F.col("num").asc_nulls_first(), F.col("id")]
+    plain_nb = windows.lag_lead_delta(df, ["k"], order, "v", "p", "n", "d")
+    seg_nb = windows.chunked_running(
+        df, ["k"], ["num", "id"], F.floor(F.col("num") / 900), neighbours={"v": ("p", "n")}
+    ).withColumn("d", F.col("v") - F.col("p"))
+    assert seg_nb.select(*plain_nb.columns).exceptAll(plain_nb).count() == 0
+
+    plain_fl = windows.first_last(df, ["k"], order, "v", "f", "l")
+    agg_fl = windows.first_last_by(df, ["k"], ["num", "id"], "v", "f", "l")
+    assert agg_fl.select(*plain_fl.columns).exceptAll(plain_fl).count() == 0
