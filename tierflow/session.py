@@ -23,6 +23,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Reliable checkpoints (global ranks) are removed once no plan references them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
