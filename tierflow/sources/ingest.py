@@ -118,30 +118,52 @@ def limit_parents(parents: DataFrame, children: DataFrame, key: str, n: int, ord
     return children.join(F.broadcast(first), key, "left_semi")
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
+# Ingestion metadata differs between copies of the same record (fixed values).
+METADATA_COLUMNS = ("_ingestion_timestamp", "_source", "_source_file")
+
+
+def latest_per_key(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_cols: Sequence[str],
+    ignore_cols: Sequence[str] = METADATA_COLUMNS,
+) -> DataFrame:
     """T-1: keep the newest version of each key across accumulated snapshots.
 
     All rows of a key's newest snapshot are kept (rows sharing a key *within*
     one snapshot are distinct records, e.g. two credits of one person in one
-    show). Rows with a NULL key part cannot be versioned and are kept as they
-    are -- this is where corrupt lines live (T-14). The newest order value per
-    key is a map-side-combined aggregate (a key present in many snapshots costs
-    one buffer per task); rows are matched to it with a LEFT join, so no
-    predicate on the key is pushed into a JSON scan (the JSON reader tests a
-    pushed ``key IS NULL`` on a partially parsed line and would skip a corrupt
-    line that starts with a valid key).
+    show). A row with a NULL key part (a corrupt line, T-14) is versioned by
+    its content instead -- every column except the order and ``ignore_cols``
+    -- so re-landing a snapshot never duplicates it.
+
+    The newest order value per identity is one map-side-combined aggregate (an
+    identity present in many snapshots costs one buffer per task); rows are
+    matched to it with a join. No predicate on the key reaches a JSON scan (the
+    JSON reader evaluates a pushed ``key IS NULL`` on a partially parsed line
+    and would skip a corrupt line that starts with a valid key).
     """
     keys = list(keys)
+    skip = set(order_cols) | set(ignore_cols) | set(keys)
+    content = [c for c in df.columns if c not in skip]
+    keyed = F.lit(True)
+    for k in keys:
+        keyed = keyed & F.col(k).isNotNull()
     order = F.struct(*[F.col(c) for c in order_cols])
-    newest = df.groupBy(*keys).agg(F.max(order).alias("_tf_newest")).select(
-        *[F.col(k).alias(f"_tf_k_{k}") for k in keys], "_tf_newest"
+    ident = df.withColumns(
+        {
+            "_tf_by_key": F.when(keyed, F.struct(*[F.col(k) for k in keys])),
+            "_tf_by_content": F.when(~keyed, F.struct(*[F.col(c) for c in keys + content])),
+        }
     )
-    on = F.lit(True)
-    for k in keys:
-        on = on & (df[k] == newest[f"_tf_k_{k}"])
-    joined = df.join(newest, on, "left")
-    keep = newest["_tf_newest"].isNull() | (order == newest["_tf_newest"])
-    return joined.filter(keep).select(*[df[c] for c in df.columns])
+    newest = ident.groupBy("_tf_by_key", "_tf_by_content").agg(F.max(order).alias("_tf_newest")).select(
+        F.col("_tf_by_key").alias("_tf_nk"), F.col("_tf_by_content").alias("_tf_nc"), "_tf_newest"
+    )
+    on = (
+        ident["_tf_by_key"].eqNullSafe(newest["_tf_nk"])
+        & ident["_tf_by_content"].eqNullSafe(newest["_tf_nc"])
+        & (order == newest["_tf_newest"])
+    )
+    return ident.join(newest, on, "left_semi").select(*df.columns)
 
 
 def evolve_union(frames: Sequence[DataFrame]) -> DataFrame:
