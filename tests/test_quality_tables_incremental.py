@@ -158,3 +158,25 @@ def test_run_medallion_end_to_end(spark, raw_root):
     assert dq[("unique:show_id", "silver_shows")] == 0  # T-1 handled before Silver
     fact = spark.read.parquet(res.paths["fact_show_data"])
     assert "language" in fact.columns and fact.filter(F.col("show_id") == 4).count() == 3
+
+
+def test_require_gate(silver_layer):
+    import pytest
+
+    s = silver_layer
+    report = quality.silver_report(s["shows"], s["episodes"], s["cast"]).cache()
+    with pytest.raises(quality.QualityError, match="rating_range_0_10"):
+        quality.require(report)
+    quality.require(
+        report, allow=["rating_range_0_10", "runtime_positive", "references:silver_shows.show_id"]
+    )
+
+
+def test_named_table_and_persistent_view(spark, silver_layer):
+    tables.ensure_schema(spark, "tierflow_t")
+    path = shared_path(spark, "t", "named_shows")
+    n = tables.write_table(silver_layer["shows"].select("show_id", "show_name"), path, name="tierflow_t.shows_tbl")
+    assert n == 5 and spark.table("tierflow_t.shows_tbl").count() == 5
+    view = tables.publish_view(spark, "tierflow_t.tv_shows", "tierflow_t.shows_tbl", temporary=False)
+    assert view.count() == 5
+    assert "shows_tbl" in {r["tableName"] for r in tables.list_tables(spark, "tierflow_t").collect()}

@@ -3,8 +3,8 @@
 Columns: ``check, layer, table_name, violations, total, passed``. Row-level
 checks on one table are evaluated together in a single aggregate (one scan per
 table, not one per check); uniqueness and referential checks are aggregates
-and a left join, so nothing is collected to the driver. Schema checks read
-only DataFrame schemas.
+and a left join. Only ``require`` collects anything: the failed report rows,
+at most one per check. Schema checks read only DataFrame schemas.
 """
 
 from __future__ import annotations
@@ -173,3 +173,20 @@ def summary(report: DataFrame) -> DataFrame:
 def inject_nulls(df: DataFrame, column: str, when: Column) -> DataFrame:
     """DQ-7: failure injection -- NULL out ``column`` where ``when`` holds."""
     return df.withColumn(column, F.when(when, F.lit(None)).otherwise(F.col(column)))
+
+
+class QualityError(AssertionError):
+    """Raised by ``require`` when checks fail."""
+
+
+def require(report: DataFrame, allow: Iterable[str] = ()) -> None:
+    """Fail the job when a check fails (the reference's pytest asserts as a gate).
+
+    The report holds one row per check, so collecting its failures is bounded
+    by the number of checks, not by the data.
+    """
+    allowed = set(allow)
+    failed = [r for r in report.filter(F.col("passed") == "fail").collect() if r["check"] not in allowed]
+    if failed:
+        detail = "; ".join(f"{r['table_name']}.{r['check']}: {r['violations']} of {r['total']}" for r in failed)
+        raise QualityError(f"{len(failed)} data-quality check(s) failed: {detail}")
