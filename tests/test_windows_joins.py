@@ -183,3 +183,13 @@ def test_distributed_forms_equal_plain_window_helpers(spark):
     plain_fl = windows.first_last(df, ["k"], order, "v", "f", "l")
     agg_fl = windows.first_last_by(df, ["k"], ["num", "id"], "v", "f", "l")
     assert agg_fl.select(*plain_fl.columns).exceptAll(plain_fl).count() == 0
+
+
+def test_global_rank_on_dates_and_strings(spark):
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet").select(
+        "event_id", F.to_date("ts").alias("day"), F.col("event_type").alias("kind")
+    )
+    for metric in ("day", "kind"):
+        fast = windows.global_rank(ev, metric, dense_rank_col="d", rank_col="r", rows_per_bucket=3)
+        slow = windows.window_rank_reference(ev, metric, dense_rank_col="d", rank_col="r")
+        assert fast.select(*slow.columns).exceptAll(slow).count() == 0

@@ -74,6 +74,23 @@ def repeated_list_string(value: ColumnOrName, count: ColumnOrName, sep: str = ",
     return F.concat_ws(sep, expanded)
 
 
+def order_preserving_double(dtype: str, c: ColumnOrName) -> Column | None:
+    """A double that sorts like ``c`` (for quantile cut points), or None.
+
+    Numbers cast to double (monotone; ties may merge, which only coarsens
+    buckets), dates map to days and timestamps to microseconds since the epoch.
+    Other types (strings, structs) have no such view.
+    """
+    col = _c(c)
+    if dtype in {"tinyint", "smallint", "int", "bigint", "float", "double"} or dtype.startswith("decimal"):
+        return col.cast("double")
+    if dtype == "date":
+        return F.unix_date(col).cast("double")
+    if dtype in {"timestamp", "timestamp_ntz"}:
+        return F.unix_micros(col.cast("timestamp")).cast("double")
+    return None
+
+
 def hash_salt(cols: Iterable[ColumnOrName], buckets: int) -> Column:
     """Deterministic salt in [0, buckets): stable under task retries.
 

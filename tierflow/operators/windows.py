@@ -28,6 +28,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierflow.functions.columns import order_preserving_double
 from tierflow.session import ensure_checkpoint_dir
 
 _B = "_tf_bucket"
@@ -53,11 +54,14 @@ def _bucketize(
     per_key = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tf_dk")) if keys else vals.agg(
         F.count(F.lit(1)).alias("_tf_dk")
     )
+    as_num = order_preserving_double(dict(vals.dtypes)[metric], metric)
+    if as_num is None:  # no order-preserving numeric view (e.g. strings): one bucket per key
+        return vals.withColumn(_B, F.lit(0))
     widest = per_key.agg(F.max("_tf_dk").alias("d")).first()["d"] or 0
     buckets = min(max_buckets, max(1, math.ceil(int(widest) / max(1, rows_per_bucket))))
     if buckets <= 1:
         return vals.withColumn(_B, F.lit(0))
-    cuts = vals.agg(F.percentile_approx(F.col(metric).cast("double"), grid, 10000).alias("c")).first()["c"]
+    cuts = vals.agg(F.percentile_approx(as_num, grid, 10000).alias("c")).first()["c"]
     if not cuts:
         return vals.withColumn(_B, F.lit(0))
     step = max_buckets / buckets
@@ -66,7 +70,7 @@ def _bucketize(
     splits = [-math.inf] + picked + [math.inf]
     top = len(splits) - 1  # index handed to NaN by handleInvalid="keep"
     bucketed = Bucketizer(splits=splits, inputCol=_MV, outputCol=_B, handleInvalid="keep").transform(
-        vals.withColumn(_MV, F.coalesce(F.col(metric).cast("double"), F.lit(0.0)))
+        vals.withColumn(_MV, F.coalesce(as_num, F.lit(0.0)))
     )
     b = F.col(_B).cast("int")
     ordered_b = (F.lit(top) - b) if descending else b

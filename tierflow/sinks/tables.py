@@ -16,7 +16,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.functions.columns import hash_salt, interleave_bits
+from tierflow.functions.columns import hash_salt, interleave_bits, order_preserving_double
 
 
 def ensure_schema(spark: SparkSession, schema: str) -> None:
@@ -88,19 +88,6 @@ def layer_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _numeric_view(df: DataFrame, column: str) -> Column | None:
-    """An order-preserving double view of ``column``, or None for non-orderable types."""
-    dtype = dict(df.dtypes)[column]
-    c = F.col(column)
-    if dtype in {"tinyint", "smallint", "int", "bigint", "float", "double"} or dtype.startswith("decimal"):
-        return c.cast("double")
-    if dtype == "date":
-        return F.unix_date(c).cast("double")
-    if dtype in {"timestamp", "timestamp_ntz"}:
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    return None
-
-
 def _rank_codes(df: DataFrame, column: str, bits: int) -> tuple[Column, list[float] | None]:
     """Order-preserving bucket code in [0, 2**bits) from approximate quantile cut points.
 
@@ -108,7 +95,7 @@ def _rank_codes(df: DataFrame, column: str, bits: int) -> tuple[Column, list[flo
     other types fall back to a hash code, which still co-locates equal values.
     """
     levels = 2 ** bits
-    as_num = _numeric_view(df, column)
+    as_num = order_preserving_double(dict(df.dtypes)[column], column)
     if as_num is None:
         return F.pmod(F.xxhash64(F.col(column)), F.lit(levels)), None
     grid = [i / levels for i in range(1, levels)]
