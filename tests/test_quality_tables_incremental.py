@@ -180,3 +180,14 @@ def test_named_table_and_persistent_view(spark, silver_layer):
     view = tables.publish_view(spark, "tierflow_t.tv_shows", "tierflow_t.shows_tbl", temporary=False)
     assert view.count() == 5
     assert "shows_tbl" in {r["tableName"] for r in tables.list_tables(spark, "tierflow_t").collect()}
+
+
+def test_medallion_clustering_keeps_rows(spark, raw_root):
+    from tierflow.plans.medallion import CLUSTER_BY, MedallionConfig, run_medallion
+
+    res = run_medallion(spark, MedallionConfig(raw_root=raw_root, out_root=shared_path(spark, "medallion_c"), cluster_files=2))
+    for table in CLUSTER_BY:
+        assert res.paths[table].endswith("_clustered")
+        assert res.rows[f"{table}_clustered"] == res.rows[table]
+    fact = spark.read.parquet(res.paths["fact_show_data"])
+    assert "language" in fact.columns and fact.count() == res.rows["fact_show_data"]

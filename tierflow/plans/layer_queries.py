@@ -412,7 +412,10 @@ def q_medallion_dashboard(spark, sf):
     ingest.land_snapshot(A.bronze_shows(spark, sf), raw, "shows", snapshot="s1")
     ingest.land_snapshot(A.bronze_episodes(spark, sf), raw, "episodes", snapshot="s1")
     ingest.land_snapshot(A.bronze_cast(spark, sf), raw, "cast", snapshot="s1")
-    result = run_medallion(spark, MedallionConfig(raw_root=raw, out_root=shared_path(spark, "medallion")))
+    # Clustering rewrites rows without changing them (covered by cluster_table_roundtrip
+    # and the fixture tests); it is left out here to keep this check's runtime bounded.
+    cfg = MedallionConfig(raw_root=raw, out_root=shared_path(spark, "medallion"), cluster=False)
+    result = run_medallion(spark, cfg)
     return spark.read.parquet(result.paths["gold_show_dashboard"]).drop("_gold_timestamp")
 
 
