@@ -80,6 +80,7 @@ def test_enrich_policies(spark):
     for policy in ("auto", "always", "checked"):
         assert joins.enrich(fact, dim, "k", "inner", broadcast=policy).count() == 100
     assert joins.fits_broadcast(dim, 10) and not joins.fits_broadcast(dim, 9)
+    assert not joins.fits_broadcast(dim, 10, max_bytes=50)  # 10 rows of {"k":..,"v":..} exceed 50 bytes
     plan = joins.enrich(fact, dim, "k", broadcast="always")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
 

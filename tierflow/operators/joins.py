@@ -2,8 +2,9 @@
 
 Broadcast policy: a side is broadcast only when its size is bounded.
 ``broadcast="always"`` is for dimensions whose size does not grow with the
-data (nation, region, a one-row aggregate); ``"checked"`` counts at most
-``max_rows + 1`` rows of the side first and broadcasts only below the bound;
+data (nation, region, a one-row aggregate); ``"checked"`` reads at most
+``max_rows + 1`` rows of the side first and broadcasts only below both the
+row bound and a byte bound;
 ``"auto"`` adds no hint and lets AQE decide from the runtime size of the
 shuffled side (``spark.sql.adaptive.autoBroadcastJoinThreshold``).
 """
@@ -18,11 +19,21 @@ from pyspark.sql import functions as F
 from tierflow.functions.columns import hash_salt, salt_range
 
 BROADCAST_ROW_LIMIT = 2_000_000
+BROADCAST_BYTE_LIMIT = 64 * 1024 * 1024
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> bool:
-    """Bounded size check: stops reading after ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT, max_bytes: int = BROADCAST_BYTE_LIMIT) -> bool:
+    """Bounded size check on rows *and* bytes; reads at most ``max_rows + 1`` rows.
+
+    Bytes are measured as the JSON-encoded length of those rows (a proxy that
+    counts every string, array and nested field), so a few very wide rows
+    cannot slip under a row-count bound.
+    """
+    probe = df.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))).alias("bytes"),
+    ).first()
+    return probe["rows"] <= max_rows and (probe["bytes"] or 0) <= max_bytes
 
 
 def enrich(
@@ -32,11 +43,12 @@ def enrich(
     how: str = "inner",
     broadcast: str = "auto",
     max_rows: int = BROADCAST_ROW_LIMIT,
+    max_bytes: int = BROADCAST_BYTE_LIMIT,
 ) -> DataFrame:
     """J-1/J-2/J-3: equi-join a fact to a dimension with an explicit broadcast policy."""
     if broadcast not in {"auto", "always", "checked"}:
         raise ValueError(f"unknown broadcast policy {broadcast}")
-    if broadcast == "always" or (broadcast == "checked" and fits_broadcast(right, max_rows)):
+    if broadcast == "always" or (broadcast == "checked" and fits_broadcast(right, max_rows, max_bytes)):
         right = F.broadcast(right)
     return left.join(right, on, how)
 
