@@ -57,7 +57,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Unset: a local/test session. A cluster always names a shared folder.
+        if not sc.master.startswith("local"):
+            # A machine-local folder is invisible to other executors and lost with them.
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder when running on a cluster")
+        # Unset in a local (test) session: the one place we pick a folder ourselves.
         configured = tempfile.mkdtemp(prefix="tierflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
