@@ -2,7 +2,7 @@
 
 Broadcast policy: a side is broadcast only when its size is bounded.
 ``broadcast="always"`` is for dimensions whose size does not grow with the
-data (nation, region, a one-row aggregate); ``"checked"`` reads at most
+data (nation, region); ``"checked"`` reads at most
 ``max_rows + 1`` rows of the side first and broadcasts only below both the
 row bound and a byte bound;
 ``"auto"`` adds no hint and lets AQE decide from the runtime size of the
@@ -95,9 +95,11 @@ def orphans(child: DataFrame, parent: DataFrame, key: str | Sequence[str]) -> Da
 
 
 def above_scalar(df: DataFrame, value_col: str, scalar: DataFrame, scalar_col: str) -> DataFrame:
-    """J-6: keep rows whose value exceeds a one-row aggregate.
+    """J-6/FLT-9: keep rows whose value exceeds a one-row aggregate.
 
-    The one-row side is broadcast (fixed size) and the theta condition is the
-    join condition of a broadcast nested-loop join that streams ``df`` once.
+    The aggregate is an uncorrelated scalar subquery (``DataFrame.scalar()``),
+    computed once and inlined into the filter: no cross or nested-loop join.
+    The threshold is kept as a column, like the reference's CROSS JOIN output.
     """
-    return df.join(F.broadcast(scalar), F.col(value_col) > F.col(scalar_col), "inner")
+    threshold = scalar.select(scalar_col).scalar()
+    return df.filter(F.col(value_col) > threshold).withColumn(scalar_col, threshold)

@@ -263,17 +263,17 @@ def above_average_correlated(spark: SparkSession, shows: DataFrame, episodes: Da
 def above_average_cte(shows: DataFrame, episodes: DataFrame, cast: DataFrame) -> DataFrame:
     """R-9 (3B): pre-aggregated form; the average is over *rated* shows only.
 
-    The one-row average is broadcast (its size is fixed at one row) and the
-    comparison becomes a filter after a broadcast nested-loop join with it.
+    The overall average is an uncorrelated scalar subquery, computed once and
+    inlined into the filter (the reference's CROSS JOIN with a one-row CTE).
     """
-    overall = shows.filter(F.col("rating_average") > 0).agg(F.avg("rating_average").alias("overall_avg"))
+    overall = shows.filter(F.col("rating_average") > 0).agg(F.avg("rating_average")).scalar()
     es = episodes.groupBy("show_id").agg(
         F.count(F.lit(1)).alias("episode_count"), rounded_avg("episode_runtime", 1).alias("avg_runtime")
     )
     cs = cast.groupBy("show_id").agg(F.count_distinct("person_id").alias("cast_size"))
     return (
         shows.select("show_id", "show_name", "rating_average")
-        .join(F.broadcast(overall), F.col("rating_average") > F.col("overall_avg"), "inner")
+        .filter(F.col("rating_average") > overall)
         .join(es, "show_id", "left")
         .join(cs, "show_id", "left")
         .select(

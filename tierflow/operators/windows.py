@@ -299,12 +299,17 @@ def window_rank_reference(
 
 
 def share_of_total(df: DataFrame, value_col: str, out_col: str, scale: float = 100.0, digits: int | None = 1) -> DataFrame:
-    """WIN-5: ``value / sum(value) over () * scale`` via a one-row broadcast total."""
-    total = df.agg(F.sum(value_col).alias("_tf_total"))
-    share = F.col(value_col) / F.col("_tf_total") * F.lit(scale)
+    """WIN-5: ``value / sum(value) over () * scale`` without a window or a join.
+
+    The grand total is an uncorrelated scalar subquery (``DataFrame.scalar()``):
+    one partially aggregated job whose single value is inlined into the
+    projection, instead of an empty-partition window over the whole table.
+    """
+    total = df.agg(F.sum(value_col)).scalar()
+    share = F.col(value_col) / total * F.lit(scale)
     if digits is not None:
         share = F.round(share, digits)
-    return df.crossJoin(F.broadcast(total)).withColumn(out_col, share).drop("_tf_total")
+    return df.withColumn(out_col, share)
 
 
 def rank_family_distributed(
