@@ -54,16 +54,17 @@ def _bucketize(
     per_key = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tf_dk")) if keys else vals.agg(
         F.count(F.lit(1)).alias("_tf_dk")
     )
+    single = vals.withColumns({_B: F.lit(0), "_tf_single": F.lit(True)})
     as_num = order_preserving_double(dict(vals.dtypes)[metric], metric)
     if as_num is None:  # no order-preserving numeric view (e.g. strings): one bucket per key
-        return vals.withColumn(_B, F.lit(0))
+        return single
     widest = per_key.agg(F.max("_tf_dk").alias("d")).first()["d"] or 0
     buckets = min(max_buckets, max(1, math.ceil(int(widest) / max(1, rows_per_bucket))))
     if buckets <= 1:
-        return vals.withColumn(_B, F.lit(0))
+        return single
     cuts = vals.agg(F.percentile_approx(as_num, grid, 10000).alias("c")).first()["c"]
     if not cuts:
-        return vals.withColumn(_B, F.lit(0))
+        return single
     step = max_buckets / buckets
     picked = sorted({float(cuts[min(len(cuts) - 1, int(round(step * k)) - 1)]) for k in range(1, buckets)})
     picked = [x for x in picked if not math.isnan(x) and not math.isinf(x)]
@@ -172,9 +173,20 @@ def keyed_rank(
         F.coalesce(F.sum("_tf_n").over(before), F.lit(0)).alias("_tf_n_before"),
         F.sum("_tf_n").over(Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))).alias("_tf_total"),
     )
-    on = _null_safe_on(local, offsets, keys, "_tf_o_") & (local[_B] == offsets["_tf_o_b"])
-    # Without keys the summary is bounded by max_buckets + 2 rows: broadcast it.
-    ranked = local.join(F.broadcast(offsets) if not keys else offsets, on, "inner")
+    single_bucket = "_tf_single" in vals.columns
+    if single_bucket and not keys:
+        # One bucket, no keys: nothing precedes it; the row total is a scalar subquery.
+        ranked = local.withColumns(
+            {
+                "_tf_d_before": F.lit(0),
+                "_tf_n_before": F.lit(0),
+                "_tf_total": vals.agg(F.sum(_N)).scalar(),
+            }
+        )
+    else:
+        on = _null_safe_on(local, offsets, keys, "_tf_o_") & (local[_B] == offsets["_tf_o_b"])
+        # Without keys the summary is bounded by max_buckets + 2 rows: broadcast it.
+        ranked = local.join(F.broadcast(offsets) if not keys else offsets, on, "inner")
 
     rank_expr = F.col("_tf_n_before") + F.col("_tf_local_before") + F.lit(1)
     outputs: list[Column] = [F.col(k).alias(f"_tf_k_{k}") for k in keys] + [F.col(metric).alias("_tf_key")]
