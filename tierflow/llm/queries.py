@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm import decontaminate, lang_id, packing, simhash, substrings
+from tierflow.llm import decontaminate, html_wrappers, lang_id, licenses, packing, simhash, substrings, token_counts, top_k, url_filter
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -22,6 +22,23 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url, text, n_chars of every page."""
+    return html_wrappers.extract(_table(spark, sf_dir, "pages"))
+
+
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """query_id, rank, vec_id, score: the ten best of all vectors for each vec_id divisible by 100."""
+    vectors = top_k.scaled(_table(spark, sf_dir, "embeddings"))
+    return top_k.top_k(vectors, vectors.where("id % 100 = 0"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_words, n_tokens, n_unknown of every document."""
+    pieces = token_counts.vocabulary(tokenizer_path("word_bpe_49k.json"))
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"), pieces, carry=["doc_id"])
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, lang_pred, score, ambiguous of every document."""
     remainder = F.crc32(F.col("doc_id").cast("string")) % 4
@@ -35,6 +52,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_groups(_table(spark, sf_dir, "documents"))
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, host, path, rule, verdict, score of every page."""
+    return url_filter.judge(_table(spark, sf_dir, "pages"), url_filter.fit(spark))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every document."""
     return substrings.dedup_substrings(_table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -54,12 +76,29 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every document."""
+    return licenses.scan(_table(spark, sf_dir, "documents")).drop("detections")
+
+
 def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece."""
     return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_language_id, op5_simhash, op7_substring_dedup, op8_decontaminate, op10_best_fit)
+    f.__name__: f
+    for f in (
+        op1_html_extraction,
+        op2_top_k,
+        op3_token_counts,
+        op4_language_id,
+        op5_simhash,
+        op6_url_filter,
+        op7_substring_dedup,
+        op8_decontaminate,
+        op9_license_scan,
+        op10_best_fit,
+    )
 }
 ORACLES: dict[str, str] = {}
