@@ -176,7 +176,7 @@ def contamination(
     if second is None:
         return passed(held, head, out).select(*carry, "n_words", *filled)
     # More than one block: rows get a number, each block adds its hits, and hits are gathered by number.
-    numbered = written(held.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    numbered = written(held.select(*carry, F.monotonically_increasing_id().alias("__row"), "__text"), "numbered")
     narrow = T.StructType([T.StructField("__row", T.LongType()), *out.fields[-3:]])
     narrow_rows = numbered.select("__row", "__text")
     parts = []

@@ -32,10 +32,11 @@ KEPT_CHUNKS = 300_000
 SLICE_BYTES = 4 << 20
 
 # The byte-level splitting pattern of the tokenizer file, ASCII white
-# space, and the last bytes that UTF-8 forms of other white space can have.
+# space, and the last and first bytes that UTF-8 forms of other white space can have.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _SPACE = bytes([9, 10, 11, 12, 13, 32])
 _SPACE_ENDS = bytes([*range(0x80, 0x8B), 0x9F, 0xA0, 0xA8, 0xA9, 0xAF])
+_SPACE_LEADS = bytes([0xC2, 0xE1, 0xE2, 0xE3])
 
 
 def _flags(which: bytes) -> np.ndarray:
@@ -63,7 +64,7 @@ class Tokens:
         self.special = [t["content"].encode() for t in spec["added_tokens"]]
         self.ranked = self._ranked(spec)
         self.powers, self.values = Powers(0xD1342543DE82EF95), mix(np.arange(1, 257, dtype=np.uint64))
-        self.space, self.space_end = _flags(_SPACE), _flags(_SPACE_ENDS)
+        self.space, self.space_end, self.space_lead = map(_flags, (_SPACE, _SPACE_ENDS, _SPACE_LEADS))
         self._forget()
 
     def _forget(self):
@@ -107,12 +108,15 @@ class Tokens:
     def _learn(self, keys: np.ndarray, raw: np.ndarray, begin: np.ndarray, end: np.ndarray):
         """Encode new chunks and keep their ids under their hashes."""
         # A chunk that begins without white space gets a line break, whose id is left out,
-        # so that it doesn't run on from the one before; one that ends in white space goes alone.
+        # so that it doesn't run on from the one before. One that ends in white space, or may
+        # begin with white space beyond ASCII, goes alone: these stand at the ends of a text.
         data = raw.tobytes()
         chunks = [data[x:y] for x, y in zip(begin.tolist(), end.tolist(), strict=True)]
         last = raw[end - 1]
         ends = self.space[last] | (self.space_end[last] & (raw[np.maximum(end - 2, 0)] != 0xC3))
-        bare = ~self.space[raw[begin]]
+        head = raw[begin]
+        bare = ~self.space[head]
+        ends |= self.space_lead[head]
         groups = [(np.flatnonzero(~ends & ~bare), 0), (np.flatnonzero(~ends & bare), 1), *((np.array([i]), 0) for i in np.flatnonzero(ends))]
         start, size, ids, held = [self.start], [self.size], [self.ids], len(self.ids)
         order = [group for group, _ in groups]
