@@ -3,7 +3,7 @@
 A shard holds one list per dimension, its vectors sorted by that component. For a
 query a dimension's list is read from the end that scores best. What has been read
 of a vector bounds its score: the unread parts are at most the list's frontier and
-at least its worst entry. Lists are read in ever deeper blocks until no vector
+at least its worst entry. Lists are read block by block until no vector
 outside a small set can reach the k-th lower bound; the scores of that set are then
 resolved exactly and ranked. Shards answer for themselves and their answers, k per
 query, are merged. Queries go to the tasks in blocks of bounded size, one pass each.
@@ -26,8 +26,9 @@ SCALE = 1024
 SHARD_ROWS = 8192
 # Components of the queries that one pass broadcasts.
 QUERY_BLOCK = 1 << 21
-# Lists are read this deep first; then twice as deep each time.
-FIRST_DEPTH = 32
+# A list is read in this many blocks; bounds are compared after each one from the
+# middle on: before it the unread parts leave everything open.
+BLOCKS = 8
 
 
 def scaled(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = SCALE) -> DataFrame:
@@ -49,46 +50,42 @@ def _matrix(col: pa.Array, width: int) -> np.ndarray:
 
 
 class Shard:
-    """Vectors of a shard and, for each dimension, their order by that component."""
+    """Vectors of a shard and, for each dimension, its list: the components in order."""
 
     def __init__(self, ids: np.ndarray, x: np.ndarray):
-        self.ids, self.x = ids, x
-        self.columns = np.ascontiguousarray(x.T).astype(float)
-        self.order = np.argsort(self.columns, axis=1, kind="stable")
-        self.reach = np.abs(self.columns).max(axis=1, initial=0.0)
+        self.ids, self.x, self.parts = ids, x, x.astype(float)
+        self.lists = np.sort(self.parts, axis=0)
 
     def top(self, own: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(row, score) of the k best vectors but the query's own, best first, ties to smaller ids."""
-        n = len(self.ids)
-        used = np.flatnonzero(q)
-        weight = q[used].astype(float)
-        up = weight > 0
-        lists = self.order[used]
-        lists[up] = lists[up][:, ::-1]  # best end first
-        columns = self.columns[used]
-        worst = columns[np.arange(len(used)), lists[:, -1]] * weight if n else weight
+        """(row, score) of the k best vectors but the query's own, best first, ties to smaller ids.
+
+        A list read down to some depth has given every component that scores at
+        least its frontier: those are known, all others lie between the list's worst
+        entry and the frontier.
+        """
+        n, weight = len(self.ids), q.astype(float)
+        ahead = weight > 0
+        worst = weight * np.where(ahead, self.lists[0], self.lists[-1])
+        best = weight * np.where(ahead, self.lists[-1], self.lists[0])
         # Sums of doubles are exact below 2**53; beyond it bounds get room for rounding.
-        total = float((self.reach[used] * np.abs(weight)).sum())
+        total = float(np.maximum(np.abs(worst), np.abs(best)).sum())
         slack = 0.0 if total < 2.0**52 else total * 1e-12
-        others = self.ids != own
-        known, unread = np.zeros(n), np.ones((n, len(used)))
-        rest = np.flatnonzero(others)
-        depth, read = FIRST_DEPTH, 0
-        while len(used) and read < n and len(rest) > 4 * k:
-            depth = min(depth, n)
-            entries = lists[:, read:depth]
-            dims = np.broadcast_to(np.arange(len(used))[:, None], entries.shape)
-            gained = columns[dims, entries] * weight[:, None]
-            known += np.bincount(entries.ravel(), gained.ravel(), n)
-            unread[entries, dims] = 0
-            upper = known + unread @ gained[:, -1] + slack
-            lower = known + unread @ worst - slack
-            bar = np.partition(lower[rest], len(rest) - k)[len(rest) - k]
-            rest = rest[upper[rest] >= bar]  # outsiders cannot qualify any more
-            read, depth = depth, depth * 2
+        rest = np.flatnonzero(self.ids != own)
+        gain = self.parts[rest] * weight
+        for depth in (n * part // BLOCKS for part in range(BLOCKS // 2, BLOCKS)):
+            if len(rest) <= 4 * k or depth < 1:
+                break
+            frontier = weight * np.where(ahead, self.lists[n - depth], self.lists[depth - 1])
+            upper = np.maximum(gain, frontier).sum(axis=1) + slack
+            # No lower bound is above the upper one: only vectors with good upper bounds set the bar.
+            most = np.argpartition(upper, len(rest) - 4 * k)[len(rest) - 4 * k :]
+            lower = np.where(gain[most] >= frontier, gain[most], worst).sum(axis=1) - slack
+            bar = np.partition(lower, len(lower) - k)[len(lower) - k]
+            stay = upper >= bar  # outsiders cannot qualify any more
+            rest, gain = rest[stay], gain[stay]
         score = self.x[rest] @ q
-        best = np.lexsort((self.ids[rest], -score))[:k]
-        return rest[best], score[best]
+        order = np.lexsort((self.ids[rest], -score))[:k]
+        return rest[order], score[order]
 
 
 def _search(batches, ids: np.ndarray, queries: np.ndarray, k: int):
