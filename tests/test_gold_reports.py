@@ -97,7 +97,16 @@ def test_season_trajectory_matches_window_form(spark, silver_layer):
 def test_show_report_pre_aggregated_equals_literal(spark, silver_layer):
     s = silver_layer
     fast = reports.show_report(s["shows"], s["episodes"], s["cast"], s["genres"], top_n=None)
-    literal = reports.show_report_literal(spark, s["shows"], s["episodes"], s["cast"], s["genres"])
+    wide = s["shows"].join(s["episodes"].drop("show_name"), "show_id").join(s["cast"].select("show_id", "person_id"), "show_id", "left")
+    wide = wide.join(s["genres"].select("show_id", "genre"), "show_id", "left")
+    literal = wide.groupBy("show_id", "show_name").agg(
+        F.count_distinct("episode_id").alias("total_episodes"),
+        F.count_distinct("season").alias("total_seasons"),
+        F.min("airdate").alias("first_aired"),
+        F.max("airdate").alias("last_aired"),
+        F.count_distinct("person_id").alias("cast_size"),
+        F.concat_ws(", ", F.array_sort(F.collect_set("genre"))).alias("genres"),
+    )
     cols = ["show_name", "total_episodes", "total_seasons", "first_aired", "last_aired", "cast_size", "genres"]
     assert rows(fast, *cols) == rows(literal, *cols)
     assert fast.filter(F.col("show_name") == "Alpha").first()["avg_runtime_min"] == 49.5  # 297 / 6: zero runtimes count (T-4)
@@ -115,7 +124,7 @@ def test_network_comparison(silver_layer):
 
 def test_above_average_forms(spark, silver_layer):
     s = silver_layer
-    correlated = {x["show_name"]: x for x in reports.above_average_correlated(spark, s["shows"], s["episodes"], s["cast"]).collect()}
+    correlated = {x["show_name"]: x for x in reports.above_average_all(s["shows"], s["episodes"], s["cast"]).collect()}
     cte = {x["show_name"]: x for x in reports.above_average_cte(s["shows"], s["episodes"], s["cast"]).collect()}
     # all-shows average = (8.5+0+6+8.5+12.5)/5 = 7.1; rated-only = 35.5/4 = 8.875 (T-6)
     assert set(correlated) == {"Alpha", "Delta", "Epsilon"}
@@ -125,15 +134,18 @@ def test_above_average_forms(spark, silver_layer):
     assert correlated["Alpha"]["cast_sz"] == 2
 
 
-def test_best_episode_distributed_equals_window_form(spark, silver_layer):
-    from tierflow.plans import adapters as A
-
-    cases = [
-        (silver_layer["episodes"], silver_layer["shows"], 2),
-        (A.episodes(spark, "/root/testdata/sf0.01"), A.shows(spark, "/root/testdata/sf0.01"), 1500),
-    ]
-    for episodes, shows, width in cases:
-        fast = reports.best_episode_per_season(episodes, shows, chunk_width=width)
-        slow = reports.best_episode_per_season_window(episodes, shows)
-        assert fast.count() == slow.count()
-        assert fast.select(*slow.columns).exceptAll(slow).count() == 0
+def test_reports_come_sorted(silver_layer):
+    s = silver_layer
+    for out, names in (
+        (reports.best_episode_per_season(s["episodes"], s["shows"]), ("show_name", "season", "rating_row_num")),
+        (reports.season_trajectory(s["episodes"], s["shows"]), ("show_name", "season")),
+    ):
+        got = [tuple(r[n] for n in names) for r in out.collect()]
+        assert got == sorted(got)
+    for out, value, name in (
+        (reports.network_comparison(s["shows"], s["episodes"], s["cast"], 1), "avg_show_rating", "network"),
+        (reports.above_average_all(s["shows"], s["episodes"], s["cast"]), "rating_average", "show_name"),
+        (reports.above_average_cte(s["shows"], s["episodes"], s["cast"]), "rating_average", "show_name"),
+    ):
+        got = [(-r[value], r[name]) for r in out.collect()]
+        assert got == sorted(got)

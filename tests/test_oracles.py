@@ -21,7 +21,7 @@ from check_oracles import TABLES, digest  # noqa: E402
 from tierflow.plans.catalog import QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-NO_ORACLE = {"corrupt_records", "list_tables", "describe_table", "dq_schema"}
+NO_ORACLE = {"corrupt_records"}
 
 
 @pytest.fixture(scope="module")

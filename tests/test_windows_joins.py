@@ -79,8 +79,7 @@ def test_enrich_policies(spark):
     dim = spark.range(0, 10).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     for policy in ("auto", "always", "checked"):
         assert joins.enrich(fact, dim, "k", "inner", broadcast=policy).count() == 100
-    assert joins.fits_broadcast(dim, 10) and not joins.fits_broadcast(dim, 9)
-    assert not joins.fits_broadcast(dim, 10, max_bytes=50)  # 10 rows of {"k":..,"v":..} exceed 50 bytes
+    assert joins.fits_broadcast(dim, 1000) and not joins.fits_broadcast(dim, 50)  # 10 rows of two longs
     plan = joins.enrich(fact, dim, "k", broadcast="always")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
 

@@ -2,9 +2,8 @@
 
 Broadcast policy: a side is broadcast only when its size is bounded.
 ``broadcast="always"`` is for dimensions whose size does not grow with the
-data (nation, region); ``"checked"`` reads at most
-``max_rows + 1`` rows of the side first and broadcasts only below both the
-row bound and a byte bound;
+data (nation, region); ``"checked"`` broadcasts only when the
+optimizer's size bound of the side is within ``max_bytes``;
 ``"auto"`` adds no hint and lets AQE decide from the runtime size of the
 shuffled side (``spark.sql.adaptive.autoBroadcastJoinThreshold``).
 """
@@ -18,22 +17,17 @@ from pyspark.sql import functions as F
 
 from tierflow.functions.columns import hash_salt, salt_range
 
-BROADCAST_ROW_LIMIT = 2_000_000
 BROADCAST_BYTE_LIMIT = 64 * 1024 * 1024
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT, max_bytes: int = BROADCAST_BYTE_LIMIT) -> bool:
-    """Bounded size check on rows *and* bytes; reads at most ``max_rows + 1`` rows.
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTE_LIMIT) -> bool:
+    """Whether the optimizer's size bound of ``df`` is within ``max_bytes``; runs no job.
 
-    Bytes are measured as the JSON-encoded length of those rows (a proxy that
-    counts every string, array and nested field), so a few very wide rows
-    cannot slip under a row-count bound.
+    The bound comes from file sizes and grows with joins, so a side whose size
+    Spark cannot bound is never broadcast here and is left to AQE.
     """
-    probe = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum(F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))).alias("bytes"),
-    ).first()
-    return probe["rows"] <= max_rows and (probe["bytes"] or 0) <= max_bytes
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= max_bytes
 
 
 def enrich(
@@ -42,13 +36,12 @@ def enrich(
     on: str | Sequence[str] | Column,
     how: str = "inner",
     broadcast: str = "auto",
-    max_rows: int = BROADCAST_ROW_LIMIT,
     max_bytes: int = BROADCAST_BYTE_LIMIT,
 ) -> DataFrame:
     """J-1/J-2/J-3: equi-join a fact to a dimension with an explicit broadcast policy."""
     if broadcast not in {"auto", "always", "checked"}:
         raise ValueError(f"unknown broadcast policy {broadcast}")
-    if broadcast == "always" or (broadcast == "checked" and fits_broadcast(right, max_rows, max_bytes)):
+    if broadcast == "always" or (broadcast == "checked" and fits_broadcast(right, max_bytes)):
         right = F.broadcast(right)
     return left.join(right, on, how)
 
@@ -91,7 +84,7 @@ def salted_join(
 def orphans(child: DataFrame, parent: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """J-16: child rows whose key has no parent (LEFT ANTI JOIN)."""
     keys = [key] if isinstance(key, str) else list(key)
-    return child.join(parent.select(*keys).distinct(), keys, "left_anti")
+    return child.join(parent.select(*keys), keys, "left_anti")
 
 
 def above_scalar(df: DataFrame, value_col: str, scalar: DataFrame, scalar_col: str) -> DataFrame:

@@ -171,7 +171,7 @@ def q_fact_table(spark, sf):
     """D-6/SNK-3/PRJ-8: denormalised fact, written partitioned by language, read back."""
     fact = silver.build_fact(A.episodes(spark, sf), A.shows(spark, sf), A.genres(spark, sf), A.cast(spark, sf), timestamps=False)
     path = shared_path(spark, "tables", "fact_show_data")
-    tables.write_table(fact, path, partition_by=["language"], files_per_partition=4)
+    tables.write_table(fact, path, partition_by=["language"], rebalance=True)
     return spark.read.parquet(path).select(*silver.FACT_COLUMNS)
 
 
@@ -187,7 +187,7 @@ def q_partition_pruned(spark, sf):
 def q_cluster_roundtrip(spark, sf):
     """SNK-8: Z-ordered rewrite on (show_id, season) keeps the row set unchanged."""
     path = shared_path(spark, "tables", "episodes_clustered")
-    tables.cluster_table(A.episodes(spark, sf), ["show_id", "season"], path, files=4, bits=8)
+    tables.cluster_table(A.episodes(spark, sf), ["show_id", "season"], path, bits=8)
     return spark.read.parquet(path).select(*EP_SELECT)
 
 
@@ -222,21 +222,6 @@ def q_layer_counts(spark, sf):
     )
 
 
-@register("list_tables")
-def q_list_tables(spark, sf):
-    """SNK-6/SNK-7: namespace setup and table listing (rows-only check)."""
-    tables.ensure_schema(spark, "tierflow_silver")
-    tables.publish_view(spark, "silver_shows_v", A.shows(spark, sf))
-    return tables.list_tables(spark)
-
-
-@register("describe_table")
-def q_describe_table(spark, sf):
-    """SNK-11: DESCRIBE EXTENDED of a published view (rows-only check)."""
-    tables.publish_view(spark, "silver_episodes_v", A.episodes(spark, sf))
-    return tables.describe_table(spark, "silver_episodes_v")
-
-
 # ------------------------------------------------------------ data quality
 
 DQ_ORACLE_CTES = """
@@ -344,28 +329,6 @@ def q_dq_summary(spark, sf):
     return quality.summary(quality.silver_report(*_silver(spark, sf)))
 
 
-@register("dq_schema")
-def q_dq_schema(spark, sf):
-    """DQ-8..DQ-13: readability, required columns, types, scalar genre (schema only)."""
-    bronze_root = shared_path(spark, "raw")
-    ingest.land_snapshot(A.bronze_shows(spark, sf), bronze_root, "shows", snapshot="s1")
-    bronze = ingest.with_ingest_metadata(
-        ingest.scan_json_permissive(spark, f"{bronze_root}/shows", BRONZE_SHOWS), "driver_tables"
-    )
-    shows = silver.silver_shows(bronze)
-    return quality.schema_checks(
-        spark,
-        {
-            "bronze_shows": ("bronze", bronze),
-            "silver_shows": ("silver", shows),
-            "silver_show_genres": ("silver", silver.bridge_explode(shows)),
-        },
-        required={"bronze_shows": REQUIRED_BRONZE_SHOW_COLUMNS, "silver_shows": REQUIRED_SILVER_SHOW_COLUMNS},
-        types=quality.SILVER_TYPES,
-        scalar_columns={"silver_show_genres": ["genre"]},
-    )
-
-
 # -------------------------------------------------------------- incremental
 
 
@@ -387,14 +350,14 @@ def q_stream_ingest(spark, sf):
 
 @register("refresh_fact", FACT_ORACLE)
 def q_refresh_fact(spark, sf):
-    """STR-2: fact built from the first half of the month, then refreshed for shows with newer episodes."""
+    """STR-2: fact built from the first half of the episodes by air date, then refreshed for shows with newer episodes."""
     shows, genres, cast = A.shows(spark, sf), A.genres(spark, sf), A.cast(spark, sf)
     episodes = A.episodes(spark, sf)
-    cutoff = F.lit("2024-01-16").cast("date")
-    initial = silver.build_fact(episodes.filter(F.col("airdate") < cutoff), shows, genres, cast, timestamps=False)
+    middle = episodes.agg(F.percentile_approx("airdate", F.lit(0.5)).alias("d")).first()["d"]
+    initial = silver.build_fact(episodes.filter(F.col("airdate") <= F.lit(middle)), shows, genres, cast, timestamps=False)
     path = shared_path(spark, "tables", "fact_refresh")
     tables.write_table(initial, path, partition_by=["language"])
-    changed = incremental.changed_keys(episodes, "show_id", "airdate", "2024-01-15")
+    changed = incremental.changed_keys(episodes, "show_id", "airdate", middle)
     incremental.refresh_fact(spark, path, changed, episodes, shows, genres, cast)
     return spark.read.parquet(path).select(*silver.FACT_COLUMNS)
 
@@ -405,16 +368,16 @@ def q_refresh_fact(spark, sf):
 @register("medallion_dashboard", oracle("SELECT * FROM dashboard", GOLD_DASHBOARD_CTE))
 def q_medallion_dashboard(spark, sf):
     """D-1..D-11 end to end: raw JSON snapshots -> Bronze -> Silver -> fact -> Gold -> DQ
-    tables in shared storage; returns the Gold dashboard read back from its table."""
+    tables in shared storage, gated by the DQ report and clustered; returns the Gold
+    dashboard read back from its clustered table."""
     from tierflow.plans.medallion import MedallionConfig, run_medallion
 
     raw = shared_path(spark, "raw")
     ingest.land_snapshot(A.bronze_shows(spark, sf), raw, "shows", snapshot="s1")
     ingest.land_snapshot(A.bronze_episodes(spark, sf), raw, "episodes", snapshot="s1")
     ingest.land_snapshot(A.bronze_cast(spark, sf), raw, "cast", snapshot="s1")
-    # Clustering rewrites rows without changing them (covered by cluster_table_roundtrip
-    # and the fixture tests); it is left out here to keep this check's runtime bounded.
-    cfg = MedallionConfig(raw_root=raw, out_root=shared_path(spark, "medallion"), cluster=False)
+    # The adapter data has ratings above 10 and zero runtimes: these checks fail by design.
+    cfg = MedallionConfig(raw_root=raw, out_root=shared_path(spark, "medallion"), allow_failed=("rating_range_0_10", "runtime_positive"))
     result = run_medallion(spark, cfg)
     return spark.read.parquet(result.paths["gold_show_dashboard"]).drop("_gold_timestamp")
 

@@ -27,10 +27,11 @@ class MedallionConfig:
     raw_root: str  # <raw_root>/<entity>/snapshot=<ts>/*.json
     out_root: str  # tables are written to <out_root>/<layer>/<table>
     source: str = "raw_json"
-    fact_files_per_partition: int = 4
     dedupe_snapshots: bool = True  # T-1: keep the newest version of each key
     cluster: bool = True  # rewrite Silver/Gold tables clustered (OPTIMIZE ... ZORDER BY)
-    cluster_files: int = 8
+    cluster_files: int | None = None  # default: the session's shuffle partitions
+    # Checks that may fail; None: report only, () : every failed check stops the run.
+    allow_failed: tuple[str, ...] | None = None
 
 
 @dataclass
@@ -94,7 +95,7 @@ def run_medallion(spark: SparkSession, cfg: MedallionConfig) -> MedallionResult:
     cast = _write(spark, result, "silver", "silver_cast", silver.silver_cast(bronze["cast"]), cfg)
     _write(
         spark, result, "silver", "fact_show_data", silver.build_fact(episodes, shows, genres, cast), cfg,
-        partition_by=["language"], files_per_partition=cfg.fact_files_per_partition,
+        partition_by=["language"], rebalance=True,
     )
 
     _write(spark, result, "gold", "gold_episodes_per_season", gold.episodes_per_season(episodes, shows), cfg)
@@ -105,6 +106,9 @@ def run_medallion(spark: SparkSession, cfg: MedallionConfig) -> MedallionResult:
 
     _write(spark, result, "quality", "dq_report", quality.silver_report(shows, episodes, cast), cfg)
 
+    if cfg.allow_failed is not None:
+        quality.require(spark.read.parquet(result.paths["dq_report"]), cfg.allow_failed)
+
     if cfg.cluster:
         for table, columns in CLUSTER_BY.items():
             source = spark.read.parquet(result.paths[table])

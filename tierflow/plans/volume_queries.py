@@ -97,9 +97,9 @@ SELECT * FROM (
 """,
 )
 def q_volume_best(spark, sf):
-    """R-4 over line items (season = ship year), segmented scan over order-key chunks."""
+    """R-4 over line items (season = ship year)."""
     return reports.best_episode_per_season(
-        A.volume_episodes(spark, sf), A.volume_shows(spark, sf), chunk_width=4096, order_cols=A.VOLUME_ORDER
+        A.volume_episodes(spark, sf), A.volume_shows(spark, sf), order_cols=A.VOLUME_ORDER
     )
 
 

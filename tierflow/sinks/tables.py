@@ -16,7 +16,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.functions.columns import hash_salt, interleave_bits, order_preserving_double
+from tierflow.functions.columns import interleave_bits, order_preserving_double
 
 
 def ensure_schema(spark: SparkSession, schema: str) -> None:
@@ -31,21 +31,20 @@ def write_table(
     name: str | None = None,
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
-    files_per_partition: int | None = None,
+    rebalance: bool = False,
     dynamic_overwrite: bool = False,
 ) -> int:
     """SNK-1/2/3: write Parquet (optionally partitioned); return the rows written.
 
-    ``files_per_partition`` shuffles rows by (partition columns, hash salt) so a
-    big partition value is written by several tasks and a small one by few,
-    instead of every task writing a small file for every value.
+    ``rebalance`` shuffles rows by the partition columns and lets AQE split large
+    values and join small ones to its advisory size: the number of files follows
+    the bytes of a value, and no value is bound to a fixed number of tasks.
     ``dynamic_overwrite`` replaces only the partitions present in ``df``.
     """
     obs = Observation("tierflow_write")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if partition_by and files_per_partition:
-        salt = hash_salt(observed.columns, files_per_partition)
-        observed = observed.repartition(*[F.col(c) for c in partition_by], salt)
+    if partition_by and rebalance:
+        observed = observed.hint("rebalance", *partition_by)
     writer = observed.write.mode(mode).format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -128,7 +127,7 @@ def cluster_table(
     df: DataFrame,
     columns: Sequence[str],
     path: str,
-    files: int = 8,
+    files: int | None = None,
     bits: int = 10,
     name: str | None = None,
     partition_by: Sequence[str] = (),
@@ -144,5 +143,6 @@ def cluster_table(
     """
     keyed = z_order_key(df, columns, bits)
     order = [*partition_by, "_tf_z"]
-    laid_out = keyed.repartitionByRange(files, *order).sortWithinPartitions(*order).drop("_tf_z")
+    count = [] if files is None else [files]  # by default as many as the session's shuffle partitions
+    laid_out = keyed.repartitionByRange(*count, *order).sortWithinPartitions(*order).drop("_tf_z")
     return write_table(laid_out, path, name=name, partition_by=partition_by)

@@ -64,12 +64,19 @@ def changed_keys(df: DataFrame, key: str, ts_col: str, since) -> DataFrame:
     return df.filter(F.col(ts_col) > F.lit(since)).select(key).distinct()
 
 
-def _delete_paths(spark: SparkSession, paths: list[str]) -> None:
+def _delete_files(spark: SparkSession, files: list[str]) -> None:
+    """Delete files by their (escaped) metadata paths, and the folders that become empty."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        hp.getFileSystem(conf).delete(hp, True)
+    folders = {}
+    for f in files:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f))
+        fs = path.getFileSystem(conf)
+        fs.delete(path, False)
+        folders[path.getParent().toString()] = (fs, path.getParent())
+    for fs, folder in folders.values():
+        if not any(s.getPath().getName().startswith("part-") for s in fs.listStatus(folder)):
+            fs.delete(folder, True)
 
 
 def refresh_fact(
@@ -86,8 +93,9 @@ def refresh_fact(
     """Refresh the fact rows of ``changed`` keys in place; return rows staged.
 
     Affected keys may leave a partition (their ``language`` changed): both the
-    old and the new partitions are rewritten, and a partition left empty is
-    removed.
+    old and the new partitions are rewritten (NULL is a partition like any
+    other), and the files of a partition left empty are removed afterwards, so a
+    failure in between never leaves rows out.
     """
     keys = changed.select(key).distinct()
 
@@ -95,21 +103,27 @@ def refresh_fact(
         return df.join(keys, key, "left_semi")
 
     fresh = build_fact(only(episodes), only(shows), only(genres), only(cast), timestamps=False)
-    current = spark.read.parquet(fact_path)
-    old_parts = current.join(keys, key, "left_semi").select(partition_col)
-    touched = fresh.select(partition_col).union(old_parts).distinct()
-    kept = current.join(touched, partition_col, "left_semi").join(keys, key, "left_anti")
-    staged_rows = kept.unionByName(fresh.select(*current.columns))
+    # With the declared schema the partition column keeps its type whatever its values look like.
+    current = spark.read.schema(fresh.schema).parquet(fact_path)
+    old = current.join(keys, key, "left_semi").select(partition_col)
+    new = only(shows).select(F.col(partition_col).alias(partition_col))
+    touched = old.union(new).distinct().withColumnRenamed(partition_col, "_tf_part")
+    in_touched = F.col(partition_col).eqNullSafe(F.col("_tf_part"))
+    kept = current.join(touched, in_touched, "left_semi").join(keys, key, "left_anti")
+    staged_rows = kept.select(*current.columns).unionByName(fresh.select(*current.columns))
 
     stage = shared_path(spark, "staging", "fact_refresh")
     staged = write_table(staged_rows, stage, partition_by=[partition_col])
-    staged_df = spark.read.parquet(stage)
-
-    # Partitions touched but left without rows would keep stale files: drop them.
-    survivors = staged_df.select(partition_col).distinct()
-    emptied = [r[0] for r in touched.join(survivors, partition_col, "left_anti").collect()]
-    if emptied:
-        _delete_paths(spark, [f"{fact_path.rstrip('/')}/{partition_col}={v}" for v in emptied])
-    if staged:
+    staged_df = spark.read.schema(fresh.schema).parquet(stage) if staged else None
+
+    # Files of touched partitions that are left without rows: dynamic overwrite keeps
+    # them, so they go after the replacement stands. Paths come from the files themselves.
+    emptied = current.select(partition_col, F.col("_metadata.file_path").alias("_tf_file")).join(touched, in_touched, "left_semi")
+    if staged_df is not None:
+        left = staged_df.select(F.col(partition_col).alias("_tf_part")).distinct()
+        emptied = emptied.join(left, in_touched, "left_anti")
+    files = [r[0] for r in emptied.select("_tf_file").distinct().collect()]
+    if staged_df is not None:
         write_table(staged_df, fact_path, mode="overwrite", partition_by=[partition_col], dynamic_overwrite=True)
+    _delete_files(spark, files)
     return staged
