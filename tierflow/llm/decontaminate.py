@@ -27,7 +27,7 @@ from tierflow.llm.words import PUNCTUATION, Scanner, byte_table, text_slices
 
 WINDOW_WORDS = 10
 BLOCK_WORDS = 2_000_000
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 
 _PAD, _BREAK, _OTHER, _FIRST = 0, 1, 2, 3
 

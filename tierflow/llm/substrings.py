@@ -13,8 +13,8 @@ no repeat is lost, and about one suffix in seven is kept. Suffixes are
 partitioned by their prefix, the anchor. The prefix of a suffix is then extended
 only as far as a group needs it:
 
-1. ``runs``: consecutive windows of one anchor form a run. Equal runs inside a
-   batch are settled there; only their earliest goes on (pre-aggregation, so a
+1. ``runs``: consecutive windows of one anchor form a run. Equal runs inside some
+   megabytes of text are settled there; only their earliest goes on (pre-aggregation, so a
    passage in a third of all documents is no hot group).
 2. ``classes``: per anchor, sorted by the words of the whole run. Later runs of a
    class repeat its first one. An anchor with a single class is done: its prefix
@@ -45,6 +45,11 @@ ANCHOR_WORDS = 8
 # Rows without an id share this place, after all others.
 NO_ID = (1 << 63) - 1
 
+# Bytes of texts whose runs are settled among themselves before the shuffle, and rows
+# whose kept texts are held at once.
+SETTLED_BYTES = 8 << 20
+CUT_ROWS = 500
+
 RUN = "key long, words long, id long, start long, n long, settled boolean"
 
 
@@ -91,33 +96,41 @@ def _runs(batches, depth: int, anchor: int):
     windows = _Windows(depth, anchor)
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
-        parts = [(*windows.runs(raw, off), row) for row, raw, off in text_slices(batch.column(1))]
-        if not parts:
-            continue
-        key, words = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
-        doc = np.concatenate([ids[p[2] + p[5]] for p in parts])
-        start, n = (np.concatenate([p[i] for p in parts]) for i in (3, 4))
-        # Equal runs of this batch: the earliest stays open, later places are settled.
-        both = mix(key ^ mix(words))
-        order = np.lexsort((start, doc, both))
-        b, d, s = both[order], doc[order], start[order]
-        head = np.concatenate([[True], b[1:] != b[:-1]]) if len(b) else np.zeros(0, bool)
-        lead = np.maximum.accumulate(np.where(head, np.arange(len(b)), 0))
-        later = ~head & ((d != d[lead]) | (s != s[lead]))
-        twin = ~head & ~later  # the same place again: a repeated row
-        order, later = order[~twin], later[~twin]
-        spread = mix(doc[order].astype(np.uint64) ^ mix(start[order].astype(np.uint64)))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.where(later, spread, key[order]).view(np.int64)),
-                pa.array(words[order].view(np.int64)),
-                pa.array(doc[order]),
-                pa.array(start[order]),
-                pa.array(n[order]),
-                pa.array(later),
-            ],
-            ["key", "words", "id", "start", "n", "settled"],
-        )
+        parts, held = [], 0
+        for row, raw, off in text_slices(batch.column(1)):
+            key, words, text, start, n = windows.runs(raw, off)
+            parts.append((key, words, ids[row + text], start, n))
+            held += len(raw)
+            if held >= SETTLED_BYTES:
+                yield _settle(parts)
+                parts, held = [], 0
+        if parts:
+            yield _settle(parts)
+
+
+def _settle(parts: list[tuple]) -> pa.RecordBatch:
+    """Equal runs among these: the earliest stays open, later places are settled."""
+    key, words, doc, start, n = (np.concatenate(c) for c in zip(*parts, strict=True))
+    both = mix(key ^ mix(words))
+    order = np.lexsort((start, doc, both))
+    b, d, s = both[order], doc[order], start[order]
+    head = np.concatenate([[True], b[1:] != b[:-1]]) if len(b) else np.zeros(0, bool)
+    lead = np.maximum.accumulate(np.where(head, np.arange(len(b)), 0))
+    later = ~head & ((d != d[lead]) | (s != s[lead]))
+    twin = ~head & ~later  # the same place again: a repeated row
+    order, later = order[~twin], later[~twin]
+    spread = mix(doc[order].astype(np.uint64) ^ mix(start[order].astype(np.uint64)))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.where(later, spread, key[order]).view(np.int64)),
+            pa.array(words[order].view(np.int64)),
+            pa.array(doc[order]),
+            pa.array(start[order]),
+            pa.array(n[order]),
+            pa.array(later),
+        ],
+        ["key", "words", "id", "start", "n", "settled"],
+    )
 
 
 class _Stream:
@@ -214,7 +227,7 @@ def repeated_windows(texts: DataFrame, depth: int, anchor: int) -> DataFrame:
 
 
 def _cut(batches, depth: int, carry: list[str]):
-    for batch in batches:
+    for batch in (b.slice(at, CUT_ROWS) for b in batches for at in range(0, b.num_rows, CUT_ROWS)):
         names = [*carry, "n_words", "n_removed", "kept_text", "kept_sha256"]
         spans = batch.column(2)
         n_words, n_removed, kept, digest = [], [], [], []

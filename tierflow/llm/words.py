@@ -16,7 +16,7 @@ _MULT = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
 # Bytes of texts that are held as numpy arrays at once (a longer single text is held alone).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def _splitmix(n: int, seed: int) -> np.ndarray:
