@@ -32,12 +32,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return known.select(*COLUMNS).union(docs.select(*COLUMNS).where("doc_id is null"))
 
 
-def _with_text(df: DataFrame, text: str, changed) -> DataFrame:
-    """The documents columns with another text and its length; emptied documents go."""
-    left = df.where(~changed | (F.trim(text) != ""))
-    return left.select(
+OTHERS = [c for c in COLUMNS if c != "text"]
+
+
+def _with_text(df: DataFrame, text, changed) -> DataFrame:
+    """The documents columns with another text and, where it changed, its length; emptied documents go."""
+    return df.where(~changed | (F.trim(text) != "")).select(
         "doc_id",
-        F.when(changed, F.col(text)).otherwise(F.col("text")).alias("text"),
+        text.alias("text"),
         "lang",
         "source",
         F.when(changed, F.length(text).cast(df.schema["n_chars"].dataType)).otherwise(F.col("n_chars")).alias("n_chars"),
@@ -46,15 +48,16 @@ def _with_text(df: DataFrame, text: str, changed) -> DataFrame:
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages of 20 words or more that occur earlier in the corpus."""
-    found = substrings.dedup_substrings(docs, carry=COLUMNS)
-    return _with_text(found, "kept_text", F.col("n_removed") > 0)
+    given = docs.withColumn("no_text", F.col("text").isNull())
+    found = substrings.dedup_substrings(given, carry=[*OTHERS, "no_text"])
+    return _with_text(found, F.when(~F.col("no_text"), F.col("kept_text")), F.col("n_removed") > 0)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts every word inside an occurrence of a benchmark window."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.contamination(docs, items, carry=COLUMNS).withColumn("hit", F.size("spans") > 0).withColumn("whole", F.col("text"))
-    return _with_text(decontaminate.remove_spans(found, "whole", "spans"), "whole", F.col("hit"))
+    found = decontaminate.decontaminated(docs, items, carry=OTHERS)
+    return _with_text(found, F.col("clean_text"), F.col("n_hit") > 0)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -172,6 +172,21 @@ def test_decontamination_cases(spark, odd, none):
     assert {r.text for r in clean.where("doc_id = 3").collect()} == {"."}
 
 
+@pytest.mark.parametrize("block_words", [decontaminate.BLOCK_WORDS, 3])
+def test_one_pass_cut_equals_spans_removed(odd, none, block_words):
+    items = odd.sparkSession.createDataFrame([(1, "two three"), (2, "plage 12 mit"), (3, None), (4, "word699 the")], "item_id long, text string")
+    carry = ["doc_id", "lang", "source"]
+    found = decontaminate.with_hits(decontaminate.contamination(odd, items, carry=[*carry, "text"]))
+    want = decontaminate.remove_spans(found, "text", "spans").select(*carry, "text", "n_hit")
+    got = decontaminate.decontaminated(odd, items, carry=carry, block_words=block_words)
+    assert got.columns == [*carry, "clean_text", "n_hit"]
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, want.collect())))
+    assert {r.doc_id: r.n_hit for r in got.where("n_hit > 0").collect()} == {3: 2, 4: 3, 5: 170}
+    assert decontaminate.decontaminated(none, items).count() == 0
+    untouched = decontaminate.decontaminated(odd, items.limit(0), carry=carry)
+    assert untouched.where("n_hit > 0").isEmpty() and untouched.count() == odd.count()
+
+
 def test_fm_index_counts_and_locates():
     rng = np.random.default_rng(2)
     text = np.concatenate([rng.integers(1, 6, 400), np.full(120, 3), rng.integers(1, 6, 50)])

@@ -211,6 +211,17 @@ def with_hits(found: DataFrame) -> DataFrame:
     return found.withColumn("n_hit", F.aggregate("spans", F.struct(zero.alias("reach"), zero.alias("hit")), step)["hit"])
 
 
+def _without(raw: bytes, starts: np.ndarray, ends: np.ndarray, hit: np.ndarray) -> bytes:
+    """A text without its hit words; what stands between them is trimmed and joined by one space."""
+    edge = np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))
+    pieces, at = [], 0
+    for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True):
+        pieces.append(raw[at : starts[a]])
+        at = ends[b - 1]
+    pieces.append(raw[at:])
+    return b" ".join(p.strip() for p in pieces if p.strip())
+
+
 def _remove(batches):
     """Rows end in (text, spans): the text with the words of its spans cut out."""
     scanner = Scanner(byte_table(PUNCTUATION, lower=True))
@@ -222,18 +233,33 @@ def _remove(batches):
             if n and text is not None:
                 raw = text.encode()
                 _, starts, ends, _ = scanner.scan(np.frombuffer(raw, np.uint8), np.array([0, len(raw)], np.int64))
-                hit = covered(np.array(spans[i].as_py(), np.int64), len(starts))
-                edge = np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))
-                pieces, at = [], 0
-                for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True):
-                    pieces.append(raw[at : starts[a]])
-                    at = ends[b - 1]
-                pieces.append(raw[at:])
-                text = b" ".join(p.strip() for p in pieces if p.strip()).decode()
+                text = _without(raw, starts, ends, covered(np.array(spans[i].as_py(), np.int64), len(starts))).decode()
             kept.append(text)
         yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(kept, pa.string())], [*batch.schema.names[:-2], "__clean"])
 
 
+def _clean(batches, windows: TestWindows):
+    """Rows end in the text: it is replaced by clean_text and n_hit."""
+    scanner = Scanner(byte_table(PUNCTUATION, lower=True))
+    for batch in batches:
+        texts = batch.column(batch.num_columns - 1)
+        n_hit, cut = np.zeros(batch.num_rows, np.int64), []
+        for row, raw, off in text_slices(texts, SHARD_BYTES):
+            h, starts, ends, first = scanner.scan(raw, off)
+            doc, start, length, _ = _shard_hits(h, first, windows)
+            order = np.argsort(doc, kind="stable")
+            doc, spans = doc[order], (start << 8 | length)[order]
+            for i in np.unique(doc).tolist():
+                mine = spans[np.searchsorted(doc, i) : np.searchsorted(doc, i, side="right")]
+                a, b = first[i], first[i + 1]
+                hit = covered(mine, b - a)
+                n_hit[row + i] = hit.sum()
+                cut.append(_without(raw[off[i] : off[i + 1]].tobytes(), starts[a:b] - off[i], ends[a:b] - off[i], hit))
+        if cut:
+            texts = pa.compute.replace_with_mask(texts, pa.array(n_hit > 0), pa.array(cut, pa.binary()).cast(texts.type))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], texts, pa.array(n_hit)], [*batch.schema.names[:-1], "clean_text", "n_hit"])
+
+
 def remove_spans(df: DataFrame, text_col: str = "text", spans_col: str = "spans") -> DataFrame:
     """The text column with merged spans removed; rows without spans keep their text unchanged.
 
@@ -244,3 +270,39 @@ def remove_spans(df: DataFrame, text_col: str = "text", spans_col: str = "spans"
     held = df.select(*others, F.col(text_col).cast("string").alias("__text"), F.col(spans_col).alias("__spans"))
     schema = T.StructType([*held.select(*others).schema.fields, T.StructField("__clean", T.StringType())])
     return held.mapInArrow(_remove, schema).select(*[F.col("__clean").alias(c) if c == text_col else F.col(c) for c in others])
+
+
+def decontaminated(
+    documents: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    window_words: int = WINDOW_WORDS,
+    block_words: int = BLOCK_WORDS,
+    carry: list[str] | None = None,
+) -> DataFrame:
+    """Per row: the `carry` columns (none by default), clean_text, n_hit.
+
+    clean_text is the text without the n_hit words that stand inside an occurrence
+    of a window (see `contamination`, `remove_spans`); without one it is the text
+    itself, null included. Windows of one block are searched and cut in one pass
+    over the texts, those of more blocks through `contamination`.
+    """
+    if not 1 <= window_words <= 255:
+        raise ValueError("window_words must be 1 to 255")
+    carry = list(carry or [])
+    clash = {"clean_text", "n_hit", "n_words", "spans", "items"} & set(carry)
+    if clash:
+        raise ValueError(f"carried columns clash with output columns: {sorted(clash)}")
+    held = documents.select(*carry, F.col(text_col).cast("string").alias("clean_text"))
+    blocks = _blocks(benchmark, item_col, item_text_col, window_words, block_words)
+    head, second = next(blocks, None), next(blocks, None)
+    if head is None:
+        return held.withColumn("n_hit", F.lit(0).cast("long"))
+    if second is None:
+        sent = documents.sparkSession.sparkContext.broadcast(head)
+        schema = T.StructType([*held.schema.fields, T.StructField("n_hit", T.LongType())])
+        return held.mapInArrow(lambda it: _clean(it, sent.value), schema)
+    found = contamination(held, benchmark, text_col="clean_text", item_col=item_col, item_text_col=item_text_col, window_words=window_words, block_words=block_words, carry=held.columns)
+    return remove_spans(with_hits(found), "clean_text", "spans").select(*held.columns, "n_hit")
