@@ -99,12 +99,16 @@ def test_rounded_avg_is_exact_half_up(spark):
     from tierflow.functions.columns import rounded_avg
 
     df = spark.createDataFrame([(1, 1.01), (1, 1.02), (2, 0.15), (2, 0.15), (3, -2.5), (3, -2.5)], "g int, x double")
-    got = {r["g"]: r["a"] for r in df.groupBy("g").agg(rounded_avg("x", 2, scale=2).alias("a")).collect()}
+    got = {r["g"]: r["a"] for r in df.groupBy("g").agg(rounded_avg("x", 2, fractional=True).alias("a")).collect()}
     assert got[1] == 1.02  # 1.015 -> HALF_UP
-    got1 = {r["g"]: r["a"] for r in df.groupBy("g").agg(rounded_avg("x", 1, scale=2).alias("a")).collect()}
+    got1 = {r["g"]: r["a"] for r in df.groupBy("g").agg(rounded_avg("x", 1, fractional=True).alias("a")).collect()}
     assert got1[2] == 0.2 and got1[3] == -2.5
-    got0 = {r["g"]: r["a"] for r in df.groupBy("g").agg(rounded_avg("x", 0, scale=2).alias("a")).collect()}
+    got0 = {r["g"]: r["a"] for r in df.groupBy("g").agg(rounded_avg("x", 0, fractional=True).alias("a")).collect()}
     assert got0[3] == -3.0 and not math.isnan(got0[1])
+    fine = spark.createDataFrame([(8.125,), (8.126,), (None,)], "x double")
+    assert fine.agg(rounded_avg("x", 3, fractional=True)).first()[0] == 8.126  # 8.1255, not 8.13
+    assert fine.agg(rounded_avg("x", 2, fractional=True)).first()[0] == 8.13
+    assert fine.limit(0).agg(rounded_avg("x", 2, fractional=True)).first()[0] is None
 
 
 def _events_with_hot_key(spark):

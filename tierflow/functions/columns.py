@@ -34,21 +34,29 @@ def default(c: ColumnOrName, *fallbacks) -> Column:
     return F.coalesce(*parts)
 
 
-def rounded_avg(c: ColumnOrName, digits: int, scale: int = 0) -> Column:
+EXACT = "decimal(28,10)"
+
+
+def exact(c: ColumnOrName) -> Column:
+    """A fractional value as a decimal of ten places, so that sums do not depend on their order."""
+    return _c(c).try_cast(EXACT)
+
+
+def rounded_avg(c: ColumnOrName, digits: int, fractional: bool = False) -> Column:
     """Aggregate: ``round(avg(c), digits)`` that is reproducible at any partitioning.
 
     A double ``avg`` sums in shuffle-arrival order, so its last bits (and thus
     a HALF_UP rounding at an exact .5 boundary) change with the number of
-    tasks. Here the values are summed as exact 64-bit integers in units of
-    ``10**-scale`` (``scale`` = decimals carried by the input), the quotient is
-    a single IEEE division, and it is rounded HALF_UP once: the same bits on
-    one task or a thousand. NULLs are ignored as in ``avg``.
+    tasks. Here whole numbers are summed as 64-bit integers and ``fractional``
+    values as decimals of ten places; the quotient is rounded HALF_UP, so it has
+    the same bits on one task or a thousand. NULLs are ignored as in ``avg``.
     """
-    col = _c(c)
-    units = F.round(col * F.lit(10 ** scale)).cast("long") if scale else col.cast("long")
-    num = F.sum(units) * F.lit(10 ** max(digits - scale, 0))
-    den = F.count(col) * F.lit(10 ** max(scale - digits, 0))
-    quotient = F.try_divide(num.cast("double"), den.cast("double"))
+    col = exact(c) if fractional else _c(c)
+    if fractional:
+        quotient = F.try_divide(F.sum(col), F.count(col).cast("decimal(19,0)"))
+        return F.round(quotient, digits).cast("double")
+    num = F.sum(col.cast("long")) * F.lit(10 ** digits)
+    quotient = F.try_divide(num.cast("double"), F.count(col).cast("double"))
     return F.round(quotient, 0) / F.lit(float(10 ** digits))
 
 

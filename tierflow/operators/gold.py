@@ -17,8 +17,6 @@ from tierflow.functions.columns import repeated_list_string, rounded_avg, sorted
 from tierflow.operators.windows import global_rank, share_of_total
 
 GOLD_TS = "_gold_timestamp"
-# Decimals carried by rating values (fixed value: ratings are given to 2 decimals).
-RATING_SCALE = 2
 
 
 def _stamp(df: DataFrame, timestamps: bool) -> DataFrame:
@@ -37,7 +35,7 @@ def episodes_per_season(episodes: DataFrame, shows: DataFrame, timestamps: bool
         rounded_avg("episode_runtime", 1).alias("avg_episode_runtime"),
         F.min("airdate").alias("season_start_date"),
         F.max("airdate").alias("season_end_date"),
-        rounded_avg("episode_rating", 2, scale=RATING_SCALE).alias("avg_season_rating"),
+        rounded_avg("episode_rating", 2, fractional=True).alias("avg_season_rating"),
     )
     joined = per_season.join(shows.select("show_id", "show_name"), "show_id", "inner")
     by_show = Window.partitionBy("show_id")
@@ -62,7 +60,7 @@ def avg_runtime_per_show(episodes: DataFrame, shows: DataFrame, timestamps: bool
             F.min("episode_runtime").alias("min_runtime_minutes"),
             F.max("episode_runtime").alias("max_runtime_minutes"),
             F.count("episode_id").alias("total_episodes"),
-            rounded_avg("episode_rating", 2, scale=RATING_SCALE).alias("avg_episode_rating"),
+            rounded_avg("episode_rating", 2, fractional=True).alias("avg_episode_rating"),
         )
     )
     joined = per_show.join(
@@ -126,7 +124,7 @@ def genre_statistics(genres: DataFrame, shows: DataFrame, timestamps: bool = Tru
         .groupBy("genre")
         .agg(
             F.count("show_id").alias("show_count"),
-            rounded_avg("rating_average", 2, scale=RATING_SCALE).alias("avg_genre_rating"),
+            rounded_avg("rating_average", 2, fractional=True).alias("avg_genre_rating"),
         )
     )
     ranked = global_rank(stats, "show_count", dense_rank_col="genre_rank", materialize_input=True)
@@ -142,7 +140,7 @@ def show_dashboard(
         F.count(F.lit(1)).alias("total_episodes"),
         F.max("season").alias("total_seasons"),
         rounded_avg("episode_runtime", 1).alias("avg_episode_runtime"),
-        rounded_avg("episode_rating", 2, scale=RATING_SCALE).alias("avg_episode_rating"),
+        rounded_avg("episode_rating", 2, fractional=True).alias("avg_episode_rating"),
     )
     ca = cast.groupBy("show_id").agg(F.count("person_id").alias("cast_size"))
     ge = genres.groupBy("show_id").agg(sorted_list_string("genre").alias("genre_list"))

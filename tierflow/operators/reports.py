@@ -12,12 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierflow.functions.columns import rounded_avg
-from tierflow.operators.gold import RATING_SCALE
-
-
-def _scaled(c: str, scale: int) -> Column:
-    return F.round(F.col(c) * F.lit(10 ** scale)).cast("long")
+from tierflow.functions.columns import exact, rounded_avg
 
 
 ORDER_COLS = ("episode_number", "episode_id")
@@ -52,8 +47,7 @@ def best_episode_per_season(
         F.dense_rank().over(by_rating).alias("rating_dense_rank"),
         F.row_number().over(by_rating_tb).alias("rating_row_num"),
         (
-            F.sum(_scaled("episode_rating", RATING_SCALE)).over(running)
-            / (F.count("episode_rating").over(running) * F.lit(10 ** RATING_SCALE))
+            F.sum(exact("episode_rating")).over(running).cast("double") / F.count("episode_rating").over(running)
         ).alias("running_avg_rating"),
         F.lag("episode_rating", 1).over(by_number).alias("prev_episode_rating"),
         F.lead("episode_rating", 1).over(by_number).alias("next_episode_rating"),
@@ -106,7 +100,7 @@ def show_report(
         F.count_distinct("episode_id").alias("total_episodes"),
         F.count_distinct("season").alias("total_seasons"),
         rounded_avg("episode_runtime", 1).alias("avg_runtime_min"),
-        rounded_avg("episode_rating", 2, scale=RATING_SCALE).alias("avg_episode_rating"),
+        rounded_avg("episode_rating", 2, fractional=True).alias("avg_episode_rating"),
         F.min("airdate").alias("first_aired"),
         F.max("airdate").alias("last_aired"),
     )
@@ -144,7 +138,7 @@ def network_comparison(shows: DataFrame, episodes: DataFrame, cast: DataFrame, m
     joined = shows.select(network, "show_id", "rating_average").join(ep, "show_id", "left").join(ca, "show_id", "left")
     per_network = joined.groupBy("network").agg(
         F.count_distinct("show_id").alias("total_shows"),
-        rounded_avg("rating_average", 2, scale=RATING_SCALE).alias("avg_show_rating"),
+        rounded_avg("rating_average", 2, fractional=True).alias("avg_show_rating"),
         F.sum("total_episodes").alias("total_episodes_produced"),
         F.round(F.avg("avg_runtime"), 1).alias("avg_episode_runtime"),
         rounded_avg("cast_size", 0).alias("avg_cast_size"),

@@ -49,7 +49,7 @@ FROM (
     SELECT show_id, season, count(episode_id) AS episode_count,
            {ravg("episode_runtime", 1)} AS avg_episode_runtime,
            min(airdate) AS season_start_date, max(airdate) AS season_end_date,
-           {ravg("episode_rating", 2, 2)} AS avg_season_rating
+           {ravg("episode_rating", 2)} AS avg_season_rating
     FROM episodes GROUP BY show_id, season
 ) e JOIN shows s ON e.show_id = s.show_id
 """
@@ -66,7 +66,7 @@ SELECT a.*, s.show_name, s.language, s.status, s.rating_average,
 FROM (
     SELECT show_id, {ravg("episode_runtime", 1)} AS avg_runtime_minutes,
            min(episode_runtime) AS min_runtime_minutes, max(episode_runtime) AS max_runtime_minutes,
-           count(episode_id) AS total_episodes, {ravg("episode_rating", 2, 2)} AS avg_episode_rating
+           count(episode_id) AS total_episodes, {ravg("episode_rating", 2)} AS avg_episode_rating
     FROM episodes WHERE episode_runtime > 0 GROUP BY show_id
 ) a JOIN shows s ON a.show_id = s.show_id
 """
@@ -104,7 +104,7 @@ genre_stats AS (
            round(show_count / (SELECT sum(show_count) FROM (
                SELECT count(show_id) AS show_count FROM genres GROUP BY genre)) * 100, 1) AS genre_share_pct
     FROM (
-        SELECT g.genre, count(g.show_id) AS show_count, {ravg("s.rating_average", 2, 2)} AS avg_genre_rating
+        SELECT g.genre, count(g.show_id) AS show_count, {ravg("s.rating_average", 2)} AS avg_genre_rating
         FROM genres g LEFT JOIN shows s ON g.show_id = s.show_id
         GROUP BY g.genre
     ) x
@@ -132,7 +132,7 @@ dashboard AS (
         LEFT JOIN (
             SELECT show_id, count(*) AS total_episodes, max(season) AS total_seasons,
                    {ravg("episode_runtime", 1)} AS avg_episode_runtime,
-                   {ravg("episode_rating", 2, 2)} AS avg_episode_rating
+                   {ravg("episode_rating", 2)} AS avg_episode_rating
             FROM episodes GROUP BY show_id) ep ON s.show_id = ep.show_id
         LEFT JOIN (SELECT show_id, count(person_id) AS cast_size FROM credits GROUP BY show_id) ca
             ON s.show_id = ca.show_id

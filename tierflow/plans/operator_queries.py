@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tierflow.functions.columns import rounded_avg, sorted_list_string
+from tierflow.functions.columns import exact, rounded_avg, sorted_list_string
 from tierflow.operators import joins, windows
-from tierflow.operators.gold import RATING_SCALE
 from tierflow.plans import adapters as A
 from tierflow.plans.oracle_base import oracle, ravg
 from tierflow.plans.registry import register
@@ -167,7 +166,7 @@ def q_correlated_scalar(spark, sf):
     oracle(
         f"""
 SELECT show_id, count(episode_id) AS episodes, count(*) AS row_count,
-       {ravg("episode_rating", 2, 2)} AS avg_rating, CAST(sum(episode_runtime) AS BIGINT) AS total_runtime,
+       {ravg("episode_rating", 2)} AS avg_rating, CAST(sum(episode_runtime) AS BIGINT) AS total_runtime,
        min(airdate) AS first_aired, max(airdate) AS last_aired, min(episode_runtime) AS min_runtime,
        max(episode_runtime) AS max_runtime
 FROM episodes GROUP BY show_id
@@ -179,7 +178,7 @@ def q_agg_by_key(spark, sf):
     return A.episodes(spark, sf).groupBy("show_id").agg(
         F.count("episode_id").alias("episodes"),
         F.count(F.lit(1)).alias("row_count"),
-        rounded_avg("episode_rating", 2, scale=RATING_SCALE).alias("avg_rating"),
+        rounded_avg("episode_rating", 2, fractional=True).alias("avg_rating"),
         F.sum("episode_runtime").alias("total_runtime"),
         F.min("airdate").alias("first_aired"),
         F.max("airdate").alias("last_aired"),
@@ -193,7 +192,7 @@ def q_agg_by_key(spark, sf):
     oracle(
         f"""
 SELECT show_id, season, count(*) AS episodes, {ravg("episode_runtime", 1)} AS avg_runtime,
-       {ravg("episode_rating", 0, 2)} AS avg_rating_0dp
+       {ravg("episode_rating", 0)} AS avg_rating_0dp
 FROM episodes GROUP BY show_id, season
 """
     ),
@@ -203,7 +202,7 @@ def q_agg_composite(spark, sf):
     return A.episodes(spark, sf).groupBy("show_id", "season").agg(
         F.count(F.lit(1)).alias("episodes"),
         rounded_avg("episode_runtime", 1).alias("avg_runtime"),
-        rounded_avg("episode_rating", 0, scale=RATING_SCALE).alias("avg_rating_0dp"),
+        rounded_avg("episode_rating", 0, fractional=True).alias("avg_rating_0dp"),
     )
 
 
@@ -261,7 +260,7 @@ def q_agg_collect_set(spark, sf):
     oracle(
         f"""
 SELECT count(*) AS shows, count(*) FILTER (WHERE rating_average > 0) AS rated_shows,
-       {ravg("CASE WHEN rating_average > 0 THEN rating_average END", 2, 2)} AS avg_rated,
+       {ravg("CASE WHEN rating_average > 0 THEN rating_average END", 2)} AS avg_rated,
        min(rating_average) AS min_rating, max(rating_average) AS max_rating
 FROM shows
 """
@@ -273,7 +272,7 @@ def q_agg_global(spark, sf):
     return A.shows(spark, sf).agg(
         F.count(F.lit(1)).alias("shows"),
         F.count(rated).alias("rated_shows"),
-        rounded_avg(rated, 2, scale=RATING_SCALE).alias("avg_rated"),
+        rounded_avg(rated, 2, fractional=True).alias("avg_rated"),
         F.min("rating_average").alias("min_rating"),
         F.max("rating_average").alias("max_rating"),
     )
@@ -418,7 +417,7 @@ def q_win_rank_family(spark, sf):
     oracle(
         f"""
 SELECT episode_id, show_id, season, episode_rating,
-       CAST(sum(CAST(round(episode_rating * 100) AS BIGINT)) OVER w AS DOUBLE) / (count(episode_rating) OVER w * 100)
+       CAST(sum(CAST(episode_rating AS DECIMAL(28,10))) OVER w AS DOUBLE) / count(episode_rating) OVER w
            AS running_avg_rating,
        CAST(sum(episode_runtime) OVER w AS BIGINT) AS running_runtime
 FROM episodes
@@ -434,12 +433,12 @@ def q_win_running_avg(spark, sf):
         ["show_id", "season"],
         ["episode_number", "episode_id"],
         F.floor(F.col("episode_number") / F.lit(4096)),
-        sums={"_cents": F.round(F.col("episode_rating") * 100).cast("long"), "running_runtime": F.col("episode_runtime")},
+        sums={"_total": exact("episode_rating"), "running_runtime": F.col("episode_runtime")},
         counts={"_rated": F.col("episode_rating")},
     )
     return scanned.select(
         "episode_id", "show_id", "season", "episode_rating",
-        (F.col("_cents") / (F.col("_rated") * 100)).alias("running_avg_rating"),
+        (F.col("_total").cast("double") / F.col("_rated")).alias("running_avg_rating"),
         "running_runtime",
     )
 

@@ -104,9 +104,9 @@ def oracle(body: str, extra_ctes: str = "") -> str:
     return f"WITH {ctes}\n{body.strip()}"
 
 
-def ravg(expr: str, digits: int, scale: int = 0) -> str:
-    """DuckDB twin of ``functions.columns.rounded_avg``."""
-    units = f"CAST(round(({expr}) * {10 ** scale}) AS BIGINT)" if scale else f"CAST({expr} AS BIGINT)"
-    num = f"CAST(sum({units}) AS DOUBLE) * {10 ** max(digits - scale, 0)}"
-    den = f"CAST(count({expr}) AS DOUBLE) * {10 ** max(scale - digits, 0)}"
-    return f"(round(({num}) / NULLIF({den}, 0), 0) / {float(10 ** digits)})"
+def ravg(expr: str, digits: int) -> str:
+    """The average of the raw values, rounded half away from zero by whole-number division."""
+    total = f"sum(CAST(round(CAST({expr} AS DOUBLE) * 1e10) AS HUGEINT))"
+    rows = f"(CAST(count({expr}) AS HUGEINT) * 10000000000)"
+    rounded = f"((abs({total}) * {2 * 10 ** digits} + {rows}) // NULLIF(2 * {rows}, 0))"
+    return f"(sign({total}) * CAST({rounded} AS DOUBLE) / {10 ** digits})"

@@ -39,7 +39,7 @@ SELECT e.show_id, e.season, e.episode_count, e.avg_episode_runtime, e.season_sta
 FROM (
     SELECT show_id, season, count(episode_id) AS episode_count, {ravg("episode_runtime", 1)} AS avg_episode_runtime,
            min(airdate) AS season_start_date, max(airdate) AS season_end_date,
-           {ravg("episode_rating", 2, 2)} AS avg_season_rating
+           {ravg("episode_rating", 2)} AS avg_season_rating
     FROM veps GROUP BY show_id, season
 ) e JOIN vshows s ON e.show_id = s.show_id
 """,
@@ -59,7 +59,7 @@ SELECT a.*, s.show_name, s.language, s.rating_average,
 FROM (
     SELECT show_id, {ravg("episode_runtime", 1)} AS avg_runtime_minutes,
            min(episode_runtime) AS min_runtime_minutes, max(episode_runtime) AS max_runtime_minutes,
-           count(episode_id) AS total_episodes, {ravg("episode_rating", 2, 2)} AS avg_episode_rating
+           count(episode_id) AS total_episodes, {ravg("episode_rating", 2)} AS avg_episode_rating
     FROM veps WHERE episode_runtime > 0 GROUP BY show_id
 ) a JOIN vshows s ON a.show_id = s.show_id
 """,
@@ -81,8 +81,7 @@ SELECT * FROM (
            CAST(dense_rank() OVER w_rating AS INTEGER) AS rating_dense_rank,
            CAST(row_number() OVER (PARTITION BY e.show_id, e.season ORDER BY e.episode_rating DESC,
                 e.episode_number, e.episode_id, e.l_partkey) AS INTEGER) AS rating_row_num,
-           CAST(sum(CAST(round(e.episode_rating * 100) AS BIGINT)) OVER w_run AS DOUBLE)
-               / (count(e.episode_rating) OVER w_run * 100) AS running_avg_rating,
+           CAST(sum(CAST(e.episode_rating AS DECIMAL(28,10))) OVER w_run AS DOUBLE) / count(e.episode_rating) OVER w_run AS running_avg_rating,
            lag(e.episode_rating, 1) OVER w_num AS prev_episode_rating,
            lead(e.episode_rating, 1) OVER w_num AS next_episode_rating,
            e.episode_rating - lag(e.episode_rating, 1) OVER w_num AS rating_change,
