@@ -197,3 +197,18 @@ def test_global_rank_on_dates_and_strings(spark):
         fast = windows.global_rank(ev, metric, dense_rank_col="d", rank_col="r", rows_per_bucket=3)
         slow = windows.window_rank_reference(ev, metric, dense_rank_col="d", rank_col="r")
         assert fast.select(*slow.columns).exceptAll(slow).count() == 0
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_global_rank_splits_strings(spark, descending):
+    names = [f"show#{i:05d}" for i in range(60)] + ["show#", "show#é", "show#\U0001f600", "show#00007", None, None]
+    df = spark.createDataFrame(list(enumerate(names)), "id long, m string")
+    kw = dict(descending=descending, dense_rank_col="d", rank_col="r")
+    fast = windows.global_rank(df, "m", rows_per_bucket=5, **kw)
+    slow = windows.window_rank_reference(df, "m", **kw)
+    assert sorted(map(tuple, fast.collect()), key=lambda r: r[0]) == sorted(map(tuple, slow.select(*fast.columns).collect()), key=lambda r: r[0])
+    vals = df.groupBy("m").agg(F.count("*").alias("_tf_rows"))
+    assert windows._bucketize(vals, "m", [], descending, 5, 1024).select("_tf_bucket").distinct().count() > 5
+    for odd in ([(0, None)], [(0, "")], []):
+        few = spark.createDataFrame(odd, "id long, m string")
+        assert windows.global_rank(few, "m", rows_per_bucket=1, **kw).count() == len(odd)

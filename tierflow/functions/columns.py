@@ -87,7 +87,7 @@ def order_preserving_double(dtype: str, c: ColumnOrName) -> Column | None:
 
     Numbers cast to double (monotone; ties may merge, which only coarsens
     buckets), dates map to days and timestamps to microseconds since the epoch.
-    Other types (strings, structs) have no such view.
+    Strings have their own view (``text_order_double``); structs have none.
     """
     col = _c(c)
     if dtype in {"tinyint", "smallint", "int", "bigint", "float", "double"} or dtype.startswith("decimal"):
@@ -99,6 +99,16 @@ def order_preserving_double(dtype: str, c: ColumnOrName) -> Column | None:
     return None
 
 
+def text_order_double(c: ColumnOrName, shared: int = 0) -> Column:
+    """A double that sorts like a string (binary order) of which the first ``shared`` bytes are common to all.
+
+    It reads the six bytes after them (48 bits are exact in a double); strings that
+    agree on those tie, which only coarsens buckets.
+    """
+    six = F.substring(F.encode(_c(c), "UTF-8"), shared + 1, 6)
+    return F.conv(F.rpad(F.hex(six), 12, "0"), 16, 10).cast("double")
+
+
 def hash_salt(cols: Iterable[ColumnOrName], buckets: int) -> Column:
     """Deterministic salt in [0, buckets): stable under task retries.
 

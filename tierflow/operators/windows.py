@@ -23,12 +23,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from os.path import commonprefix
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierflow.functions.columns import order_preserving_double
+from tierflow.functions.columns import order_preserving_double, text_order_double
 from tierflow.session import ensure_checkpoint_dir
 
 _B = "_tf_bucket"
@@ -55,8 +56,15 @@ def _bucketize(
         F.count(F.lit(1)).alias("_tf_dk")
     )
     single = vals.withColumns({_B: F.lit(0), "_tf_single": F.lit(True)})
-    as_num = order_preserving_double(dict(vals.dtypes)[metric], metric)
-    if as_num is None:  # no order-preserving numeric view (e.g. strings): one bucket per key
+    dtype = dict(vals.dtypes)[metric]
+    if dtype == "string":
+        low, high = vals.agg(F.min(metric), F.max(metric)).first()
+        # Whatever lies between the smallest and the largest string begins as both do.
+        shared = len(commonprefix([low.encode(), high.encode()])) if low is not None else 0
+        as_num = text_order_double(metric, shared)
+    else:
+        as_num = order_preserving_double(dtype, metric)
+    if as_num is None:  # no order-preserving numeric view (e.g. structs): one bucket per key
         return single
     widest = per_key.agg(F.max("_tf_dk").alias("d")).first()["d"] or 0
     buckets = min(max_buckets, max(1, math.ceil(int(widest) / max(1, rows_per_bucket))))

@@ -378,6 +378,29 @@ def q_win_global_rank_runtime(spark, sf):
     )
 
 
+@register(
+    "win_global_rank_text",
+    oracle(
+        """
+SELECT show_id, show_name,
+       CAST(dense_rank() OVER (ORDER BY show_name ASC NULLS FIRST) AS INTEGER) AS dense_rank,
+       CAST(rank() OVER (ORDER BY show_name ASC NULLS FIRST) AS INTEGER) AS rank
+FROM shows
+"""
+    ),
+)
+def q_win_global_rank_text(spark, sf):
+    """WIN-3/WIN-4 over a string metric: names that share a long prefix."""
+    return windows.global_rank(
+        A.shows(spark, sf).select("show_id", "show_name"),
+        "show_name",
+        descending=False,
+        dense_rank_col="dense_rank",
+        rank_col="rank",
+        rows_per_bucket=100,
+    )
+
+
 @register(
     "win_share_of_total",
     oracle(
