@@ -64,12 +64,13 @@ def q_scan_permissive(spark, sf):
     return silver.silver_episodes(scanned, timestamps=False).select(*EP_SELECT)
 
 
-@register("corrupt_records")
+@register("corrupt_records", oracle("SELECT episode_id, 's1' AS snapshot FROM episodes WHERE episode_rating < 1"))
 def q_corrupt_records(spark, sf):
-    """SRC-5: the malformed lines (rows-only check: the text is Spark's own JSON)."""
+    """SRC-5: the malformed lines, told apart by the parsed id or else by the id their text begins with."""
     root = _land_corrupt_episodes(spark, sf)
     scanned = ingest.scan_json_permissive(spark, f"{root}/episodes", BRONZE_EPISODES)
-    return ingest.corrupt_records(scanned).select("id", "_corrupt_record", "snapshot")
+    begun = F.regexp_extract("_corrupt_record", r'^\{"id":([0-9]+)', 1).try_cast("bigint")
+    return ingest.corrupt_records(scanned).select(F.coalesce("id", begun).alias("episode_id"), "snapshot")
 
 
 @register(
