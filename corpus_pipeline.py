@@ -25,11 +25,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of smallest doc_id of each SimHash group; rows without doc_id stay."""
-    groups = simhash.near_duplicate_groups(docs)
-    first = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id")
-    known = docs.select(*COLUMNS).where("doc_id is not null").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return known.select(*COLUMNS).union(docs.select(*COLUMNS).where("doc_id is null"))
+    """Keeps the document of smallest doc_id of each SimHash group; rows without doc_id come last, ties go to the earlier row."""
+    rows = written(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")), "rows")
+    groups = simhash.near_duplicate_groups(rows, id_col="row").select("row", "component_id")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
+    first = rows.select("row", "doc_id").join(groups, "row").groupBy("component_id").agg(F.min(place).alias("first")).select("first.row")
+    return rows.join(first, "row", "left_semi").select(*COLUMNS)
 
 
 OTHERS = [c for c in COLUMNS if c != "text"]

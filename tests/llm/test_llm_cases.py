@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tierflow.llm import (
     components,
     decontaminate,
@@ -141,6 +142,34 @@ def test_substring_windows_against_brute_force(spark, depth, anchor):
     assert got == want
 
 
+def test_substring_rows_without_id_or_with_one_id_stay_apart(spark):
+    shared = " ".join(f"s{i}" for i in range(30))
+    own = [" ".join(f"{c}{i}" for i in range(n)) for c, n in (("a", 100), ("b", 40), ("c", 25))]
+    rows = [
+        (None, own[0] + " " + shared),  # the shared words begin beyond the end of the shorter texts
+        (None, own[1]),
+        (None, own[2] + " " + shared),
+        (None, own[1]),  # a copy without an id
+        (7, shared),
+        (7, own[2]),
+        (7, own[2]),
+        (9, "x y z"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = sorted(((r.doc_id is None, r.doc_id or 0, r.kept_text) for r in substrings.dedup_substrings(df, carry=["doc_id"]).collect()))
+    want = [(7, shared), (7, own[2]), (7, ""), (9, "x y z"), (None, own[0]), (None, own[1]), (None, ""), (None, "")]
+    assert got == sorted((i is None, i or 0, t) for i, t in want)
+
+
+def test_near_duplicates_without_id_go_and_rows_of_one_id_stay(spark):
+    rng = random.Random(8)
+    a, b, c = (" ".join(rng.choice("abcdefgh") + str(rng.randrange(500)) for _ in range(200)) for _ in range(3))
+    rows = [(None, a), (None, a), (None, b), (4, b), (2, b), (5, c), (5, a + " " + c)]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = sorted(((r.doc_id or 0, r.text) for r in corpus_pipeline.near_duplicates(spark, df, "").collect()))
+    assert got == sorted([(0, a), (2, b), (5, c), (5, a + " " + c)])
+
+
 def test_stream_state_survives_any_batch_size(spark):
     rng = np.random.default_rng(3)
     a = np.stack([rng.integers(0, 6, 300), rng.integers(0, 3, 300), rng.integers(0, 9, 300), rng.integers(0, 4, 300), np.ones(300, int)], axis=1)

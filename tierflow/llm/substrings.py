@@ -1,7 +1,9 @@
 """Exact substring dedup through a sparse, prefix-partitioned suffix tree.
 
 A window of ``min_words`` consecutive words is removed when the same words start
-earlier (smaller id, or the same document and an earlier start). In a suffix
+earlier (smaller id, then earlier row of the table, or the same row and an earlier
+start). Every row has a number of its own, written once with the texts; a place is a
+row number and a start, so rows without an id and rows that share one stay apart. In a suffix
 tree of the corpus, cut at depth ``min_words``, the windows with equal words are
 the leaves below one node of that depth; all but the earliest leaf are repeats,
 and consecutive repeated windows merge into the maximal repeats that are removed.
@@ -42,15 +44,15 @@ from tierflow.llm.words import WHITE, Powers, Rolling, Scanner, byte_table, mix,
 
 MIN_WORDS = 20
 ANCHOR_WORDS = 8
-# Rows without an id share this place, after all others.
-NO_ID = (1 << 63) - 1
+# Rows without an id come after all others: this id, and numbers from NO_ID_ROWS on.
+NO_ID, NO_ID_ROWS = (1 << 63) - 1, 1 << 62
 
 # Bytes of texts whose runs are settled among themselves before the shuffle, and rows
 # whose kept texts are held at once.
 SETTLED_BYTES = 8 << 20
 CUT_ROWS = 500
 
-RUN = "key long, words long, id long, start long, n long, settled boolean"
+RUN = "key long, words long, id long, row long, start long, n long, settled boolean"
 
 
 class _Windows:
@@ -95,11 +97,11 @@ class _Windows:
 def _runs(batches, depth: int, anchor: int):
     windows = _Windows(depth, anchor)
     for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        ids, numbers = (c.to_numpy(zero_copy_only=False) for c in batch.columns[:2])
         parts, held = [], 0
-        for row, raw, off in text_slices(batch.column(1)):
+        for row, raw, off in text_slices(batch.column(2)):
             key, words, text, start, n = windows.runs(raw, off)
-            parts.append((key, words, ids[row + text], start, n))
+            parts.append((key, words, ids[row + text], numbers[row + text], start, n))
             held += len(raw)
             if held >= SETTLED_BYTES:
                 yield _settle(parts)
@@ -110,45 +112,43 @@ def _runs(batches, depth: int, anchor: int):
 
 def _settle(parts: list[tuple]) -> pa.RecordBatch:
     """Equal runs among these: the earliest stays open, later places are settled."""
-    key, words, doc, start, n = (np.concatenate(c) for c in zip(*parts, strict=True))
+    key, words, doc, number, start, n = (np.concatenate(c) for c in zip(*parts, strict=True))
     both = mix(key ^ mix(words))
-    order = np.lexsort((start, doc, both))
-    b, d, s = both[order], doc[order], start[order]
-    head = np.concatenate([[True], b[1:] != b[:-1]]) if len(b) else np.zeros(0, bool)
-    lead = np.maximum.accumulate(np.where(head, np.arange(len(b)), 0))
-    later = ~head & ((d != d[lead]) | (s != s[lead]))
-    twin = ~head & ~later  # the same place again: a repeated row
-    order, later = order[~twin], later[~twin]
-    spread = mix(doc[order].astype(np.uint64) ^ mix(start[order].astype(np.uint64)))
+    order = np.lexsort((start, number, doc, both))
+    b = both[order]
+    later = np.concatenate([[False], b[1:] == b[:-1]]) if len(b) else np.zeros(0, bool)
+    spread = mix(number[order].astype(np.uint64) ^ mix(start[order].astype(np.uint64)))
     return pa.RecordBatch.from_arrays(
         [
             pa.array(np.where(later, spread, key[order]).view(np.int64)),
             pa.array(words[order].view(np.int64)),
             pa.array(doc[order]),
+            pa.array(number[order]),
             pa.array(start[order]),
             pa.array(n[order]),
             pa.array(later),
         ],
-        ["key", "words", "id", "start", "n", "settled"],
+        ["key", "words", "id", "row", "start", "n", "settled"],
     )
 
 
 class _Stream:
-    """Walks rows sorted by (key, words, id, start); state is two rows at most."""
+    """Walks rows sorted by (key, words, place); state is two rows at most. place: the columns of a place."""
 
-    def __init__(self):
+    def __init__(self, place: slice = slice(2, 4)):
+        self.place = place
         self.group = self.leader = self.waiting = None
 
     def take(self, a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """a: key, words, id, start, n. (repeats, first rows of classes of groups that have several)."""
+        """a: key, words, place, n. (repeats, first rows of classes of groups that have several)."""
         key, words = a[:, 0], a[:, 1]
         new_group = np.concatenate([[self.group is None or self.group[0] != key[0]], key[1:] != key[:-1]])
         new_class = new_group | np.concatenate([[self.group is None or self.group[1] != words[0]], words[1:] != words[:-1]])
         lead = np.maximum.accumulate(np.where(new_class, np.arange(len(a)), -1))
-        place = a[:, 2:4][np.maximum(lead, 0)]
+        place = a[:, self.place][np.maximum(lead, 0)]
         if self.leader is not None:
             place = np.where((lead < 0)[:, None], self.leader, place)
-        repeats = a[~new_class & np.any(a[:, 2:4] != place, axis=1)]
+        repeats = a[~new_class & np.any(a[:, self.place] != place, axis=1)]
         heads = np.flatnonzero(new_class)
         several = ~new_group[heads]  # a class after the group's first
         mixed = several.copy()
@@ -163,30 +163,34 @@ class _Stream:
         return repeats, open_rows
 
 
+# The columns id, row and start of runs and of leaves.
+PLACE = slice(2, 5)
+
+
 def _classes(batches):
-    stream = _Stream()
+    stream = _Stream(PLACE)
     for batch in batches:
         if not batch.num_rows:
             continue
-        a = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[:5]])
-        settled = batch.column(5).to_numpy(zero_copy_only=False)
+        a = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[:6]])
+        settled = batch.column(6).to_numpy(zero_copy_only=False)
         done, rest = a[settled], a[~settled]
         repeats, open_rows = stream.take(rest) if len(rest) else (rest, rest)
         out = np.concatenate([done, repeats, open_rows])
         flag = np.zeros(len(out), bool)
         flag[len(out) - len(open_rows) :] = True
-        yield pa.RecordBatch.from_arrays([pa.array(out[:, 2]), pa.array(out[:, 3]), pa.array(out[:, 4]), pa.array(flag)], ["id", "start", "n", "several"])
+        yield pa.RecordBatch.from_arrays([pa.array(out[:, 3]), pa.array(out[:, 4]), pa.array(out[:, 5]), pa.array(flag)], ["row", "start", "n", "several"])
 
 
 def _leaves(batches, depth: int, anchor: int):
-    """Rows (id, text, runs): a row for each window of the runs, with all of its words hashed."""
+    """Rows (id, row, text, runs): a row for each window of the runs, with all of its words hashed."""
     windows = _Windows(depth, anchor)
     for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
-        runs = batch.column(2)
+        ids, numbers = (c.to_numpy(zero_copy_only=False) for c in batch.columns[:2])
+        runs = batch.column(3)
         bounds = np.frombuffer(runs.buffers()[1], np.int32)[runs.offset : runs.offset + len(runs) + 1]
         packed = runs.values.to_numpy(zero_copy_only=False)
-        for row, raw, off in text_slices(batch.column(1)):
+        for row, raw, off in text_slices(batch.column(2)):
             h, _, _, first = windows.scanner.scan(raw, off)
             lo, hi = bounds[row], bounds[row + len(off) - 1]
             text = np.repeat(np.arange(len(off) - 1), np.diff(bounds[row : row + len(off)]))
@@ -198,32 +202,32 @@ def _leaves(batches, depth: int, anchor: int):
             near = Rolling(h, windows.short).of(at, at_end)
             whole = windows.full(h, at, at_end)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(near.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(ids[text + row]), pa.array(begin)],
-                ["key", "words", "id", "start"],
+                [pa.array(near.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(ids[text + row]), pa.array(numbers[text + row]), pa.array(begin)],
+                ["key", "words", "id", "row", "start"],
             )
 
 
 def _repeated_leaves(batches):
-    stream = _Stream()
+    stream = _Stream(PLACE)
     for batch in batches:
         if batch.num_rows:
             a = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
             out, _ = stream.take(a)
-            yield pa.RecordBatch.from_arrays([pa.array(out[:, 2]), pa.array(out[:, 3]), pa.array(np.ones(len(out), np.int64))], ["id", "start", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(out[:, 3]), pa.array(out[:, 4]), pa.array(np.ones(len(out), np.int64))], ["row", "start", "n"])
 
 
 def repeated_windows(texts: DataFrame, depth: int, anchor: int) -> DataFrame:
-    """(id, start, n): n windows from word `start` on that occur earlier. texts: (id, text), id not null."""
+    """(row, start, n): n windows from word `start` on that occur earlier. texts: (id, row, text), id not null, each row once."""
     runs = texts.mapInArrow(lambda it: _runs(it, depth, anchor), RUN)
-    sorted_runs = runs.repartition("key").sortWithinPartitions("key", "words", "id", "start")
-    classes = written(sorted_runs.mapInArrow(_classes, "id long, start long, n long, several boolean"), "classes")
+    sorted_runs = runs.repartition("key").sortWithinPartitions("key", "words", "id", "row", "start")
+    classes = written(sorted_runs.mapInArrow(_classes, "row long, start long, n long, several boolean"), "classes")
     packed = F.collect_list(F.shiftleft("start", 8).bitwiseOR(F.col("n"))).alias("runs")
-    several = classes.where("several").groupBy("id").agg(packed)
-    leaves = texts.join(several, "id").select("id", "text", "runs").mapInArrow(lambda it: _leaves(it, depth, anchor), "key long, words long, id long, start long")
-    # Equal windows at one place are one leaf; a window in many documents is reduced before the shuffle by its run.
-    sorted_leaves = leaves.repartition("key").sortWithinPartitions("key", "words", "id", "start")
-    late = sorted_leaves.mapInArrow(_repeated_leaves, "id long, start long, n long")
-    return classes.where("not several").select("id", "start", "n").union(late)
+    several = classes.where("several").groupBy("row").agg(packed)
+    leaves = texts.join(several, "row").select("id", "row", "text", "runs").mapInArrow(lambda it: _leaves(it, depth, anchor), "key long, words long, id long, row long, start long")
+    # A window in many documents is reduced before the shuffle by its run.
+    sorted_leaves = leaves.repartition("key").sortWithinPartitions("key", "words", "id", "row", "start")
+    late = sorted_leaves.mapInArrow(_repeated_leaves, "row long, start long, n long")
+    return classes.where("not several").select("row", "start", "n").union(late)
 
 
 def _cut(batches, depth: int, carry: list[str]):
@@ -265,24 +269,26 @@ def dedup_substrings(
     kept_text is the text itself when nothing is removed, else the kept words
     joined by one space; kept_sha256 is of the joined words in either case. Words
     are runs of bytes other than ASCII white space. Null and empty texts have no
-    words. Repeated rows of one id are one document: their places are the same
-    places, and what is removed goes from each of them. Rows without an id come
-    after all others and count as one document. An empty table gives an empty
-    result. A clash of a carried name with an output name is an error.
+    words. Every row is a document of its own: rows of one id follow each other in
+    the order of the rows read, and rows without an id come after all others in
+    that order. An empty table gives an empty result. A clash of a carried name with an output name is an error.
     """
     if not 1 <= min_words <= 128 or anchor_words < 1:
         raise ValueError("min_words must be 1 to 128, anchor_words at least 1")
     carry = [id_col] if carry is None else list(carry)
     ident = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    texts = df.select(ident.alias("id"), text.alias("text"), F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)]).alias("kept"))
-    windows = repeated_windows(texts.select("id", "text"), min_words, anchor_words)
-    spans = windows.groupBy("id").agg(F.collect_list(F.shiftleft("start", 8).bitwiseOR(F.col("n"))).alias("spans"))
-    joined = texts.join(spans, "id", "left").select("id", "text", "spans", *[F.col("kept")[f"c{i}"].alias(f"c{i}") for i in range(len(carry))])
-    added = [("n_words", T.LongType()), ("n_removed", T.LongType()), ("kept_text", T.StringType()), ("kept_sha256", T.StringType())]
-    clash = {n for n, _ in added} & set(carry)
+    clash = {"n_words", "n_removed", "kept_text", "kept_sha256"} & set(carry)
     if clash:
         raise ValueError(f"carried columns clash with output columns: {sorted(clash)}")
+    kept = [F.col(c).alias(f"c{i}") for i, c in enumerate(carry)]
+    number = F.monotonically_increasing_id() + F.when(F.col(id_col).cast("long").isNull(), F.lit(NO_ID_ROWS)).otherwise(F.lit(0))
+    # Written, so that every reader and every retry sees the same numbers.
+    texts = written(df.select(ident.alias("id"), number.alias("row"), text.alias("text"), F.struct(*kept).alias("kept")), "texts")
+    windows = repeated_windows(texts.select("id", "row", "text"), min_words, anchor_words)
+    spans = windows.groupBy("row").agg(F.collect_list(F.shiftleft("start", 8).bitwiseOR(F.col("n"))).alias("spans"))
+    joined = texts.join(spans, "row", "left").select("row", "text", "spans", *[F.col("kept")[f"c{i}"].alias(f"c{i}") for i in range(len(carry))])
+    added = [("n_words", T.LongType()), ("n_removed", T.LongType()), ("kept_text", T.StringType()), ("kept_sha256", T.StringType())]
     schema = T.StructType([*df.select(*carry).schema.fields, *[T.StructField(n, t) for n, t in added]])
     return joined.mapInArrow(lambda it: _cut(it, min_words, carry), schema)
 
