@@ -19,9 +19,9 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: null texts and texts without a letter."""
-    kept = lang_id.predict(docs.select(*COLUMNS), lang_id.fit(docs))
-    return kept.where(F.col("lang_pred") != lang_id.UNKNOWN).select(*COLUMNS)
+    """Drops null texts and texts without a letter, whatever language was learned or found."""
+    kept = lang_id.predict(docs.select(*COLUMNS), lang_id.fit(docs), letter_col="has_letter")
+    return kept.where("has_letter").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

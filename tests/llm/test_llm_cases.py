@@ -281,6 +281,14 @@ def test_language_cases(odd, none):
         lang_id.predict(odd.withColumn("score", F.lit(1)), model)
 
 
+def test_documents_with_a_letter_stay_whatever_the_labels(spark, odd, none):
+    for label in (F.lit(None).cast("string"), F.lit(lang_id.UNKNOWN), F.col("lang")):
+        docs = odd.withColumn("lang", label).withColumn("n_chars", F.length("text").cast("long"))
+        kept = corpus_pipeline.language(spark, docs, "").collect()
+        assert sorted(str(r.doc_id) for r in kept) == ["3", "3", "4", "5", "None"]
+    assert corpus_pipeline.language(spark, none.withColumn("n_chars", F.lit(1)), "").count() == 0
+
+
 def test_codewords_are_apart():
     for n in (2, 3, 4, 7, 12):
         code = lang_id.codewords(n)

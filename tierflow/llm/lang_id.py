@@ -127,13 +127,13 @@ def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mode
     return Model(counts)
 
 
-def _predict(batches, model: Model):
-    """Rows end in the text; it is replaced by lang_pred, score, ambiguous."""
+def _predict(batches, model: Model, letters: list[str]):
+    """Rows end in the text; it is replaced by lang_pred, score, ambiguous, and whether it has a letter if `letters` has a name for that."""
     table = _letters()
     ascii_letter = np.zeros(256, bool)
     ascii_letter[65:91] = ascii_letter[97:123] = True
     for batch in batches:
-        pred, score, unsure = [], [], []
+        pred, score, unsure, with_letter = [], [], [], []
         col = batch.column(batch.num_columns - 1)
         for row, raw, off in text_slices(col):
             docs = len(off) - 1
@@ -144,8 +144,9 @@ def _predict(batches, model: Model):
             lettered = seen[off[1:]] > seen[off[:-1]]
             for i in np.flatnonzero(~lettered & (off[1:] > off[:-1])):
                 lettered[i] = any(map(str.isalpha, col[row + int(i)].as_py()))
+            with_letter.append(lettered)
             if not model.languages:
-                lettered[:] = False
+                lettered = np.zeros(docs, bool)
                 p = np.ones((docs, 1))
             else:
                 p = model.probabilities(sums, n)
@@ -158,22 +159,25 @@ def _predict(batches, model: Model):
             names = [*model.languages, UNKNOWN]
             pred += [names[k] for k in np.where(lettered, best, len(names) - 1).tolist()]
         values = [pa.array(pred, pa.string()), pa.array(np.concatenate(score or [np.zeros(0)])), pa.array(np.concatenate(unsure or [np.zeros(0, bool)]))]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *values], [*batch.schema.names[:-1], "lang_pred", "score", "ambiguous"])
+        values += [pa.array(np.concatenate(with_letter or [np.zeros(0, bool)])) for _ in letters]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *values], [*batch.schema.names[:-1], "lang_pred", "score", "ambiguous", *letters])
 
 
-def predict(df: DataFrame, model: Model, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+def predict(df: DataFrame, model: Model, text_col: str = "text", carry: list[str] | None = None, letter_col: str | None = None) -> DataFrame:
     """Per row: the `carry` columns (all by default), lang_pred, score (0 to 1), ambiguous.
 
     lang_pred is a learned language, or `und` with score 0 (and flagged) when the
     text is null or has no letter, or when nothing was learned. Every row is judged
     for itself by its text alone. Equal losses go to the first language in sort
-    order. Carried columns of the names of the output are an error.
+    order. A `letter_col` adds whether the text has a letter, whatever was learned.
+    Carried columns of the names of the output are an error.
     """
     carry = df.columns if carry is None else list(carry)
-    clash = {"lang_pred", "score", "ambiguous"} & set(carry)
+    letters = [] if letter_col is None else [letter_col]
+    clash = {"lang_pred", "score", "ambiguous", *letters} & set(carry)
     if clash:
         raise ValueError(f"carried columns clash with output columns: {sorted(clash)}")
-    added = [("lang_pred", T.StringType()), ("score", T.DoubleType()), ("ambiguous", T.BooleanType())]
+    added = [("lang_pred", T.StringType()), ("score", T.DoubleType()), ("ambiguous", T.BooleanType()), *((c, T.BooleanType()) for c in letters)]
     schema = T.StructType([*df.select(*carry).schema.fields, *[T.StructField(n, t) for n, t in added]])
     sent = df.sparkSession.sparkContext.broadcast(model)
-    return df.select(*carry, F.col(text_col).cast("string").alias("__text")).mapInArrow(lambda it: _predict(it, sent.value), schema)
+    return df.select(*carry, F.col(text_col).cast("string").alias("__text")).mapInArrow(lambda it: _predict(it, sent.value, letters), schema)
