@@ -240,6 +240,17 @@ def test_packing_cases(odd, none):
     assert packing.pack_documents(none, tokenizer_path()).count() == 0
 
 
+def test_shards_follow_the_pieces_and_full_ones_stand_alone(spark):
+    docs = spark.createDataFrame([(i, f"{i} the word " * 200) for i in range(40)], "doc_id long, text string")
+    got = packing.pack_documents(docs, tokenizer_path(), most=16, shard_pieces=20).toPandas()
+    full = got[got.length == 16]
+    assert len(full) > 1000 and full.sequence_id.is_unique and (full.sequence_id >= packing.FULL).all() and (full.offset == 0).all()
+    short = got[got.length < 16]
+    assert len(got) - len(full) == len(short) <= 40 and not set(short.sequence_id) & set(full.sequence_id)
+    assert (got.groupby(got.sequence_id // 2**40).length.count()[lambda n: n.index < packing.FULL // 2**40] <= 40).all()
+    assert (short.groupby("sequence_id").length.sum() <= 16).all()
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_best_fit_keeps_every_capacity(rule):
     rng = np.random.default_rng(4)

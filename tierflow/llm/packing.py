@@ -2,8 +2,9 @@
 
 Documents are tokenised in the tasks that read them. A document longer than a
 sequence is cut so that its first piece may be short and all later ones are
-full. Full pieces are sequences of their own. The others are dealt evenly into
-shards of about ``SHARD_PIECES`` and each shard is packed by vector best fit,
+full. Pieces are written once; full ones are sequences of their own in the tasks
+that read them. The others are counted and dealt evenly into as many shards of
+about ``SHARD_PIECES`` as that count asks for, and each shard is packed by vector best fit,
 longest pieces first: a bin has residual capacities of tokens, documents and
 attention cost (the sum of squared lengths); among the bins that can take the
 piece under every constraint, the one whose weighted residual vector has the
@@ -22,10 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierflow.llm.storage import written
 from tierflow.llm.words import Powers, Rolling, mix, text_slices
 
 SEQUENCE_TOKENS = 1024
 SHARD_PIECES = 120_000
+# Sequences of one full piece are numbered from here on, those of shard n from n * 2**40 on.
+FULL = 1 << 62
 END_ID = 2
 # Distinct chunks whose ids a task keeps.
 KEPT_CHUNKS = 300_000
@@ -277,7 +281,6 @@ def _pack(batches, capacity: tuple[int, int, int], weights: tuple[float, float,
 
 def pack(
     parts: DataFrame,
-    rows: int,
     most: int = SEQUENCE_TOKENS,
     documents: int | None = None,
     attention: int | None = None,
@@ -285,7 +288,7 @@ def pack(
     rule: str = "norm",
     shard_pieces: int = SHARD_PIECES,
 ) -> DataFrame:
-    """Adds sequence_id and offset to pieces. rows: about how many pieces there are.
+    """Writes the pieces and adds sequence_id and offset to them.
 
     Capacities of a sequence: `most` tokens, `documents` pieces (default: as many
     as tokens) and `attention`, the sum of squared lengths (default: that of one
@@ -296,10 +299,13 @@ def pack(
     attention = most * most if attention is None else attention
     if documents < 1 or attention < most * most or rule not in ("norm", "dot"):
         raise ValueError("a sequence must be able to hold one full piece; rule is norm or dot")
-    shards = max(1, -(-rows // shard_pieces))
-    dealt = parts.repartition(shards, F.xxhash64("doc_id", "piece", "ids_crc32", "length"))
+    parts = written(parts, "pieces")
+    short, full = parts.where(F.col("length") < most), parts.where(F.col("length") >= most)
+    shards = max(1, -(-short.count() // shard_pieces))
+    dealt = short.repartition(shards, F.xxhash64("doc_id", "piece", "ids_crc32", "length"))
     capacity = (most, documents, attention)
-    return dealt.mapInArrow(lambda it: _pack(it, capacity, weights, rule), PIECES + ", sequence_id long, offset long")
+    packed = dealt.mapInArrow(lambda it: _pack(it, capacity, weights, rule), PIECES + ", sequence_id long, offset long")
+    return packed.union(full.select("*", F.monotonically_increasing_id() + F.lit(FULL), F.lit(0).cast("long")))
 
 
 def pack_documents(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", most: int = SEQUENCE_TOKENS, **limits) -> DataFrame:
@@ -308,4 +314,4 @@ def pack_documents(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     Repeated rows are packed one by one; rows without an id keep a null doc_id.
     An empty table gives an empty result. Other columns are not read.
     """
-    return pack(pieces(df, tokenizer_path, id_col, text_col, most), df.count(), most, **limits)
+    return pack(pieces(df, tokenizer_path, id_col, text_col, most), most, **limits)
