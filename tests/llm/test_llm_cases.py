@@ -351,6 +351,20 @@ def test_html_cases(spark):
     assert html_wrappers.extract(df.limit(0)).count() == 0
 
 
+def test_copies_of_an_article_make_no_fixed_text(spark):
+    page = "<body><nav>menu</nav><article><div>share this</div><h1>T {0}</h1><p>Words of {0}.</p>{1}</article></body>"
+    block = "<section>Only this article has it.</section>"
+    rows = [(i, f"http://h.example/{i}", page.format(i, "")) for i in range(20)]
+    rows += [(100 + i, f"http://h.example/copy/{i}", page.format("copy", block)) for i in range(300)]
+    # A text that is fixed elsewhere on the page is kept where it is not.
+    rows.append((500, "http://h.example/500", page.format(500, "<section>share this</section>")))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in html_wrappers.extract(df).collect()}
+    assert all(got[i] == f"T {i}\nWords of {i}." for i in range(20))
+    assert {got[100 + i] for i in range(300)} == {"T copy\nWords of copy.\nOnly this article has it."}
+    assert got[500] == "T 500\nWords of 500.\nshare this"
+
+
 def test_wrapper_alignment_is_union_free():
     a = html_wrappers.lift(html_wrappers.parse("<ul><li>a<li>b</ul><p>same</p>"))
     b = html_wrappers.lift(html_wrappers.parse("<ul><li>c</ul><blockquote>q</blockquote><p>same</p>"))

@@ -6,12 +6,13 @@ in turn. Where streams differ the mismatch is resolved in one of three ways: tex
 against text becomes a slot; a tag that stands again right after itself (alone or
 as a group of up to four) becomes a repeated item; any other tag becomes an
 optional item. Alternatives (unions) are never formed. Two wrappers are aligned in
-the same way, so pages are folded in the tasks that read them, one wrapper per
-host and task, and wrappers are folded afterwards: a hot host is no hot group.
+the same way, so a host's distinct pages are dealt over the tasks by their content,
+folded to one wrapper per host and task, and wrappers are folded afterwards: a hot
+host is no hot group, and copies of a page count once.
 
 From a wrapper follows its rule: the path to the item that holds the varying text
 (an article, a main item, or where most slot text outside menus and links stands)
-and the fixed texts that stand in it on every page. The rule is then applied to
+and the fixed texts that stand at one place in it on nearly all pages. The rule is then applied to
 every page. A page that does not match its host's rule is judged by its own stream.
 """
 
@@ -28,12 +29,12 @@ from pyspark.sql import functions as F
 
 from tierflow.llm.storage import written
 
-# Hosts a task folds at once before it hands their wrappers on.
-HELD_HOSTS = 500
+# Rules a task keeps, and page wrappers it hands on at once.
+HELD_HOSTS, HELD_PAGES = 500, 500
 # Rules up to this many characters in all are broadcast; beyond it they are joined.
 BROADCAST_CHARS = 8_000_000
-# Pages that must agree before a text counts as fixed.
-FIXED_PAGES = 3
+# A text counts as fixed when so many distinct pages of a host agree, and this share of them.
+FIXED_PAGES, FIXED_SHARE = 3, 0.9
 SALTS = 64
 
 # Roles of tags and of words in class, id and role attributes.
@@ -311,16 +312,27 @@ def _left_out(item: list, inside: str) -> bool:
     return kind == "boilerplate" and not _holds_main(item)
 
 
-def _weight(item: list) -> float:
-    """Varying text outside links; text that every page repeats counts little."""
+def _is_fixed(item: list, pages: int) -> bool:
+    """Whether a text item is the same text on nearly all of the pages of its host."""
+    return item[3][0] is not None and item[2] >= max(FIXED_PAGES, FIXED_SHARE * pages)
+
+
+def _place(place: str, label: str) -> str:
+    """The place of an item of this label below a place; the main item's is empty."""
+    return digest(f"{place} {label}")
+
+
+def _weight(item: list, pages: int) -> float:
+    """Varying text outside links; text that nearly every page repeats counts little."""
     if item[0] == "#":
-        fixed, n, links = item[3]
-        return (n - links) * (0.1 if fixed is not None and item[2] >= FIXED_PAGES else 1.0)
-    return 0.0 if item[0] != "+" and _left_out(item, "") else sum(map(_weight, item[3]))
+        _, n, links = item[3]
+        return (n - links) * (0.1 if _is_fixed(item, pages) else 1.0)
+    return 0.0 if item[0] != "+" and _left_out(item, "") else sum(_weight(x, pages) for x in item[3])
 
 
 def rule(wrapper: list) -> dict:
-    """{"path": labels from the root to the main item, "fixed": digests of texts to leave out}."""
+    """{"path": labels from the root to the main item, "fixed": places in it and digests of texts to leave out}."""
+    pages = wrapper[2]
     found: list[tuple[int, float, list[str], list]] = []
 
     def visit(item: list, path: list[str]):
@@ -333,11 +345,11 @@ def rule(wrapper: list) -> dict:
                 here = [*path, x[0]]
                 order = {"article": 2, "main": 1}.get(_tag(x), 1 if _kind(x) == "main" else 0)
                 if _kind(x) in ("main", "part"):
-                    found.append((order, _weight(x), here, x))
+                    found.append((order, _weight(x, pages), here, x))
                 visit(x, here)
 
     visit(wrapper, [])
-    total = _weight(wrapper)
+    total = _weight(wrapper, pages)
     path, main = [], wrapper
     named = [f for f in found if f[1] > 0 and f[0] == 2] or [f for f in found if f[1] >= 0.3 * total and f[1] > 0]
     explicit = bool(named)
@@ -347,26 +359,25 @@ def rule(wrapper: list) -> dict:
     else:
         while True:  # the innermost item that holds most of the text
             inner = [(x, path) for x in _inside(main) if not _left_out(x, "")]
-            heavy = max(inner, key=lambda p: _weight(p[0]), default=None)
-            if heavy is None or _tag(heavy[0]) in PARAGRAPHS or heavy[0][1] & 2 or _weight(heavy[0]) < 0.7 * _weight(main) or not _weight(main):
+            heavy = max(inner, key=lambda p: _weight(p[0], pages), default=None)
+            if heavy is None or _tag(heavy[0]) in PARAGRAPHS or heavy[0][1] & 2 or _weight(heavy[0], pages) < 0.7 * _weight(main, pages) or not _weight(main, pages):
                 break
             main = heavy[0]
             path = [*path, main[0]]
     fixed: list[str] = []
 
-    def collect(item: list):
+    def collect(item: list, place: str):
         for x in item[3]:
             if x[0] == "#":
-                said = x[3][0]
                 plain = _tag(item) not in PARAGRAPHS if explicit else not re.fullmatch("h[1-6]", _tag(item))
-                if said is not None and x[2] >= FIXED_PAGES and plain:
-                    fixed.append(said)
+                if plain and _is_fixed(x, pages):
+                    fixed.append(f"{place} {x[3][0]}")
             else:
-                collect(x)
+                collect(x, place if x[0] == "+" else _place(place, x[0]))
 
     varied = any(x[3][0] is None for x in _texts(main))
     if varied:  # pages that are all alike tell nothing about what is fixed
-        collect(main)
+        collect(main, "")
     return {"path": path, "fixed": sorted(set(fixed))}
 
 
@@ -403,38 +414,53 @@ def main_text(page: str | None, found: dict | None) -> str:
     def holds_main(node: Node) -> bool:
         return any(isinstance(k, Node) and (k.kind == "main" or holds_main(k)) for k in node.kids)
 
-    def visit(node: Node, inside: str):
+    def visit(node: Node, inside: str, place: str):
         for kid in node.kids:
             if isinstance(kid, tuple):
-                if not fixed or digest(kid[0]) not in fixed or node.tag in ("p", "li"):
+                if not fixed or f"{place} {digest(kid[0])}" not in fixed or node.tag in ("p", "li"):
                     blocks.append(kid[0])
             elif kid.kind == "hidden" or (kid.kind == "boilerplate" and not holds_main(kid)):
                 continue
             elif (kid.tag == "header" or "header" in kid.label.split(".")[1:]) and inside != "article" and not holds_main(kid):
                 continue
             else:
-                visit(kid, "article" if kid.tag == "article" else inside)
+                visit(kid, "article" if kid.tag == "article" else inside, _place(place, _keyed(kid)) if fixed else "")
 
     for node in places:
-        visit(node, "article" if node.tag == "article" else "")
+        visit(node, "article" if node.tag == "article" else "", "")
     return "\n".join(blocks)
 
 
 def _infer(batches):
-    held: dict[str, list] = {}
+    """(host, page, wrapper) of the pages of a task: page is a hash of the wrapper, copies in a row of pages are gone."""
+    for batch in (b.slice(at, HELD_PAGES) for b in batches for at in range(0, b.num_rows, HELD_PAGES)):
+        held: dict[tuple[str, str], str] = {}
+        for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            text = json.dumps(lift(parse(page)))
+            held.setdefault((host, digest(text)), text)
+        cols = [[h for h, _ in held], [p for _, p in held], list(held.values())]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], ["host", "page", "wrapper"])
 
-    def out():
-        return pa.RecordBatch.from_arrays([pa.array(list(held)), pa.array([json.dumps(w) for w in held.values()])], ["host", "wrapper"])
 
+def _distinct(batches):
+    """Rows sorted by host, page: (host, wrapper) with one wrapper of each host over its distinct pages."""
+    last, wrapper = (None, None), None
     for batch in batches:
-        for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            one = lift(parse(page))
-            held[host] = align(held[host], one) if host in held else one
-            if len(held) > HELD_HOSTS:
-                yield out()
-                held.clear()
-    if held:
-        yield out()
+        done = []
+        for host, page, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (host, page) == last:
+                continue
+            one = json.loads(text)
+            if host == last[0]:
+                wrapper = align(wrapper, one)
+            else:
+                if wrapper is not None:
+                    done.append((last[0], json.dumps(wrapper)))
+                wrapper = one
+            last = host, page
+        yield _rows(done)
+    if wrapper is not None:
+        yield _rows([(last[0], json.dumps(wrapper))])
 
 
 def _merge(batches):
@@ -466,9 +492,10 @@ def host_of(url):
 
 
 def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, wrapper as JSON) over all pages with html; folded in tasks, then by salted host, then by host."""
+    """(host, wrapper as JSON) over all distinct pages with html; folded in tasks, then by salted host, then by host."""
     rows = pages.where(F.col(html_col).isNotNull()).select(host_of(F.col(url_col)).alias("host"), F.col(html_col).cast("string").alias("html"))
-    parts = rows.mapInArrow(_infer, "host string, wrapper string")
+    one = rows.mapInArrow(_infer, "host string, page string, wrapper string").repartition("host", "page").sortWithinPartitions("host", "page")
+    parts = one.mapInArrow(_distinct, "host string, wrapper string")
 
     def merged(df: DataFrame, salt) -> DataFrame:
         keyed = df.select(salt.alias("salt"), "host", "wrapper").repartition("salt", "host").sortWithinPartitions("salt", "host", "wrapper")
