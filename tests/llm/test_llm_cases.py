@@ -365,6 +365,16 @@ def test_copies_of_an_article_make_no_fixed_text(spark):
     assert got[500] == "T 500\nWords of 500.\nshare this"
 
 
+def test_pages_nested_thousands_deep(spark):
+    deep = lambda i, n: "<div>" * n + f"<p>Words of {i}.</p>" + "</div>" * (n if i % 2 else 0)
+    rows = [(i, "http://deep.example/", deep(i, 5000)) for i in range(4)] + [(9, "http://deep.example/9", deep(9, 3000))]
+    rows += [(20 + i, "http://kinds.example/", "<section><nav>" * 3000 + f"<article><p>Words of {20 + i}.") for i in range(2)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    assert {r.page_id: r.text for r in html_wrappers.extract(df).collect()} == {i: f"Words of {i}." for i, _, _ in rows}
+    item = html_wrappers.lift(html_wrappers.parse("<ul><li>a<li>b</ul><p>same</p><h1></h1><div><div>x</div>y</div>"))
+    assert html_wrappers.from_json(html_wrappers.to_json(item)) == item
+
+
 def test_wrapper_alignment_is_union_free():
     a = html_wrappers.lift(html_wrappers.parse("<ul><li>a<li>b</ul><p>same</p>"))
     b = html_wrappers.lift(html_wrappers.parse("<ul><li>c</ul><blockquote>q</blockquote><p>same</p>"))

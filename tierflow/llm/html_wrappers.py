@@ -205,14 +205,64 @@ def parse(page: str) -> Node:
 # of "+" (a repeated group) and of elements: the list of items inside.
 
 
+def _run(step):
+    """Result of a generator that yields generators whose results it needs: recursion of any depth on a list."""
+    stack, value = [step], None
+    while stack:
+        try:
+            call = stack[-1].send(value)
+        except StopIteration as done:
+            stack.pop()
+            value = done.value
+        else:
+            stack.append(call)
+            value = None
+    return value
+
+
 def lift(node: Node) -> list:
+    return _run(_lift(node))
+
+
+def _lift(node: Node):
     items = []
     for kid in node.kids:
         if isinstance(kid, tuple):
             items.append(["#", 0, 1, [digest(kid[0]), len(kid[0]), kid[1]]])
         elif kid.kind != "hidden":
-            items.append(lift(kid))
-    return [_keyed(node), 0, 1, fold(items)]
+            items.append((yield _lift(kid)))
+    return [_keyed(node), 0, 1, (yield _fold(items))]
+
+
+def _preorder(item: list) -> list:
+    """(item, parent's index) of an item and all items inside, an item before those inside it, these in order."""
+    out, todo = [], [(item, -1)]
+    while todo:
+        x, parent = todo.pop()
+        out.append((x, parent))
+        if x[0] != "#":
+            at = len(out) - 1
+            todo += [(y, at) for y in reversed(x[3])]
+    return out
+
+
+def to_json(item: list) -> str:
+    """A wrapper as a flat list: label, flags, pages and text body, or number of items inside, of all items in preorder."""
+    return json.dumps([v for x, _ in _preorder(item) for v in (x[0], x[1], x[2], x[3] if x[0] == "#" else len(x[3]))])
+
+
+def from_json(text: str) -> list:
+    flat, top = json.loads(text), []
+    open_items = [(top, 1)]
+    for i in range(0, len(flat), 4):
+        while len(open_items[-1][0]) == open_items[-1][1]:
+            open_items.pop()
+        label, flags, pages, body = flat[i : i + 4]
+        item = [label, flags, pages, body if label == "#" else []]
+        open_items[-1][0].append(item)
+        if label != "#":
+            open_items.append((item[3], body))
+    return top[0]
 
 
 def _keyed(node: Node) -> str:
@@ -227,7 +277,7 @@ def _shape(item: list):
     return ("+", *map(_shape, item[3])) if item[0] == "+" else item[0]
 
 
-def fold(items: list) -> list:
+def _fold(items: list):
     """Repeats of one item, then of groups of two to four items, become repeated items."""
     for period in range(1, 5):
         i = 0
@@ -236,7 +286,10 @@ def fold(items: list) -> list:
             names = [_shape(x) for x in head]
             j, body = i + period, head
             while [_shape(x) for x in items[j : j + period]] == names:
-                body = [same(a, b) for a, b in zip(body, items[j : j + period], strict=True)]
+                more = []
+                for a, b in zip(body, items[j : j + period], strict=True):
+                    more.append((yield _same(a, b)))
+                body = more
                 j += period
             if j == i + period:
                 i += 1
@@ -251,26 +304,33 @@ def fold(items: list) -> list:
     return items
 
 
-def same(a: list, b: list) -> list:
+def _same(a: list, b: list):
     """Two occurrences in one page: text becomes a slot unless equal; pages are not added."""
-    out = align(a, b)
+    out = yield _align(a, b)
     out[2] = max(a[2], b[2])
     return out
 
 
 def align(a: list, b: list) -> list:
+    return _run(_align(a, b))
+
+
+def _align(a: list, b: list):
     """The item that covers both: slots, optional and repeated items where they differ."""
     flags, pages = a[1] | b[1], a[2] + b[2]
     if a[0] == "#":
         (x, n, links), (y, m, more) = a[3], b[3]
         return ["#", flags, pages, [x if x == y else None, n + m, links + more]]
-    return [a[0], flags, pages, align_lists(a[3], b[3])]
+    return [a[0], flags, pages, (yield _align_lists(a[3], b[3]))]
 
 
-def align_lists(a: list, b: list) -> list:
+def _align_lists(a: list, b: list):
     x, y = [_shape(i) for i in a], [_shape(i) for i in b]
     if x == y:
-        return [align(i, j) for i, j in zip(a, b, strict=True)]
+        out = []
+        for i, j in zip(a, b, strict=True):
+            out.append((yield _align(i, j)))
+        return out
     best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
     for i in range(len(x) - 1, -1, -1):
         row, below = best[i], best[i + 1]
@@ -279,7 +339,7 @@ def align_lists(a: list, b: list) -> list:
     out, i, j = [], 0, 0
     while i < len(x) or j < len(y):
         if i < len(x) and j < len(y) and x[i] == y[j]:
-            out.append(align(a[i], b[j]))
+            out.append((yield _align(a[i], b[j])))
             i, j = i + 1, j + 1
         elif j == len(y) or (i < len(x) and best[i + 1][j] >= best[i][j + 1]):
             out.append([a[i][0], a[i][1] | 1, *a[i][2:]])
@@ -287,7 +347,7 @@ def align_lists(a: list, b: list) -> list:
         else:
             out.append([b[j][0], b[j][1] | 1, *b[j][2:]])
             j += 1
-    return fold(out)
+    return (yield _fold(out))
 
 
 def _kind(item: list) -> str:
@@ -298,18 +358,13 @@ def _tag(item: list) -> str:
     return item[0].partition(" ")[0].partition(".")[0]
 
 
-def _holds_main(item: list) -> bool:
-    return any(x[0] != "#" and (_kind(x) == "main" or _holds_main(x)) for x in item[3])
-
-
-def _left_out(item: list, inside: str) -> bool:
-    """inside: the tag of the main item the item stands in, or nothing."""
+def _left_out(item: list, holds_main: bool) -> bool:
     kind = _kind(item)
     if kind == "hidden":
         return True
     if _tag(item) == "header" or "header" in item[0].partition(" ")[0].split(".")[1:]:
-        return inside != "article" and not _holds_main(item)
-    return kind == "boilerplate" and not _holds_main(item)
+        return not holds_main
+    return kind == "boilerplate" and not holds_main
 
 
 def _is_fixed(item: list, pages: int) -> bool:
@@ -322,77 +377,69 @@ def _place(place: str, label: str) -> str:
     return digest(f"{place} {label}")
 
 
-def _weight(item: list, pages: int) -> float:
-    """Varying text outside links; text that nearly every page repeats counts little."""
-    if item[0] == "#":
-        _, n, links = item[3]
-        return (n - links) * (0.1 if _is_fixed(item, pages) else 1.0)
-    return 0.0 if item[0] != "+" and _left_out(item, "") else sum(_weight(x, pages) for x in item[3])
-
-
 def rule(wrapper: list) -> dict:
     """{"path": labels from the root to the main item, "fixed": places in it and digests of texts to leave out}."""
-    pages = wrapper[2]
-    found: list[tuple[int, float, list[str], list]] = []
-
-    def visit(item: list, path: list[str]):
-        for x in item[3]:
-            if x[0] == "#":
-                continue
-            if x[0] == "+":
-                visit(x, path)
-            elif not _left_out(x, ""):
-                here = [*path, x[0]]
-                order = {"article": 2, "main": 1}.get(_tag(x), 1 if _kind(x) == "main" else 0)
-                if _kind(x) in ("main", "part"):
-                    found.append((order, _weight(x, pages), here, x))
-                visit(x, here)
-
-    visit(wrapper, [])
-    total = _weight(wrapper, pages)
-    path, main = [], wrapper
+    pages, items = wrapper[2], _preorder(wrapper)
+    # Of each item, from the innermost out: whether a main item is inside, whether it is left out, and its
+    # weight: varying text outside links; text that nearly every page repeats counts little.
+    holds, out, weight = [False] * len(items), [False] * len(items), [0.0] * len(items)
+    for at in range(len(items) - 1, -1, -1):
+        x, parent = items[at]
+        if x[0] == "#":
+            weight[at] = (x[3][1] - x[3][2]) * (0.1 if _is_fixed(x, pages) else 1.0)
+        elif x[0] != "+" and _left_out(x, holds[at]):
+            out[at], weight[at] = True, 0.0
+        if parent >= 0:
+            weight[parent] += weight[at]
+            holds[parent] |= holds[at] or (x[0] != "#" and _kind(x) == "main")
+    shown, depth = [True] * len(items), [0] * len(items)
+    found: list[tuple[int, float, int, int]] = []
+    for at, (x, parent) in enumerate(items[1:], 1):
+        shown[at] = shown[parent] and not out[at]
+        depth[at] = depth[parent] + (x[0] not in "#+")
+        if shown[at] and x[0] not in "#+" and _kind(x) in ("main", "part"):
+            order = {"article": 2, "main": 1}.get(_tag(x), 1 if _kind(x) == "main" else 0)
+            found.append((order, weight[at], depth[at], at))
+
+    total, main = weight[0], 0
     named = [f for f in found if f[1] > 0 and f[0] == 2] or [f for f in found if f[1] >= 0.3 * total and f[1] > 0]
     explicit = bool(named)
     if named:
         # The most telling name, then the most text, then the innermost.
-        _, _, path, main = max(named, key=lambda f: (f[0], round(f[1], 3), len(f[2])))
+        main = max(named, key=lambda f: (f[0], round(f[1], 3), f[2]))[3]
     else:
+        number = {id(x): at for at, (x, _) in enumerate(items)}
         while True:  # the innermost item that holds most of the text
-            inner = [(x, path) for x in _inside(main) if not _left_out(x, "")]
-            heavy = max(inner, key=lambda p: _weight(p[0], pages), default=None)
-            if heavy is None or _tag(heavy[0]) in PARAGRAPHS or heavy[0][1] & 2 or _weight(heavy[0], pages) < 0.7 * _weight(main, pages) or not _weight(main, pages):
+            inner = [number[id(x)] for x in _inside(items[main][0])]
+            heavy = max((at for at in inner if not out[at]), key=weight.__getitem__, default=None)
+            if heavy is None or _tag(items[heavy][0]) in PARAGRAPHS or items[heavy][0][1] & 2 or weight[heavy] < 0.7 * weight[main] or not weight[main]:
                 break
-            main = heavy[0]
-            path = [*path, main[0]]
-    fixed: list[str] = []
-
-    def collect(item: list, place: str):
-        for x in item[3]:
+            main = heavy
+    path, at = [], main
+    while at > 0:
+        if items[at][0][0] != "+":
+            path.append(items[at][0][0])
+        at = items[at][1]
+    path.reverse()
+    fixed: set[str] = set()
+    within = _preorder(items[main][0])
+    if any(x[0] == "#" and x[3][0] is None for x, _ in within):  # pages that are all alike tell nothing about what is fixed
+        place = [""] * len(within)
+        for at, (x, parent) in enumerate(within[1:], 1):
             if x[0] == "#":
-                plain = _tag(item) not in PARAGRAPHS if explicit else not re.fullmatch("h[1-6]", _tag(item))
+                holder = _tag(within[parent][0])
+                plain = holder not in PARAGRAPHS if explicit else not re.fullmatch("h[1-6]", holder)
                 if plain and _is_fixed(x, pages):
-                    fixed.append(f"{place} {x[3][0]}")
+                    fixed.add(f"{place[parent]} {x[3][0]}")
             else:
-                collect(x, place if x[0] == "+" else _place(place, x[0]))
-
-    varied = any(x[3][0] is None for x in _texts(main))
-    if varied:  # pages that are all alike tell nothing about what is fixed
-        collect(main, "")
-    return {"path": path, "fixed": sorted(set(fixed))}
+                place[at] = place[parent] if x[0] == "+" else _place(place[parent], x[0])
+    return {"path": path, "fixed": sorted(fixed)}
 
 
 def _inside(item: list) -> list:
     return [y for x in item[3] if x[0] != "#" for y in (_inside(x) if x[0] == "+" else [x])]
 
 
-def _texts(item: list):
-    for x in item[3]:
-        if x[0] == "#":
-            yield x
-        else:
-            yield from _texts(x)
-
-
 def _matching(node: Node, path: list[str]) -> list[Node]:
     level = [node]
     for label in path:
@@ -410,24 +457,30 @@ def main_text(page: str | None, found: dict | None) -> str:
         found = rule(lift(root))
         places = _matching(root, found["path"])
     fixed, blocks = set(found["fixed"]), []
-
-    def holds_main(node: Node) -> bool:
-        return any(isinstance(k, Node) and (k.kind == "main" or holds_main(k)) for k in node.kids)
-
-    def visit(node: Node, inside: str, place: str):
-        for kid in node.kids:
-            if isinstance(kid, tuple):
-                if not fixed or f"{place} {digest(kid[0])}" not in fixed or node.tag in ("p", "li"):
-                    blocks.append(kid[0])
-            elif kid.kind == "hidden" or (kid.kind == "boilerplate" and not holds_main(kid)):
+    # Nodes with a main item inside, from the innermost out.
+    holds_main: set[int] = set()
+    order = [(None, node) for node in places]
+    for _, node in order:
+        order += [(node, k) for k in node.kids if isinstance(k, Node)]
+    for parent, node in reversed(order):
+        if parent is not None and (node.kind == "main" or id(node) in holds_main):
+            holds_main.add(id(parent))
+
+    todo = [(node, node, "article" if node.tag == "article" else "", "") for node in reversed(places)]
+    while todo:
+        kid, node, inside, place = todo.pop()
+        if isinstance(kid, tuple):
+            if not fixed or f"{place} {digest(kid[0])}" not in fixed or node.tag in ("p", "li"):
+                blocks.append(kid[0])
+            continue
+        if kid is not node:
+            if kid.kind == "hidden" or (kid.kind == "boilerplate" and id(kid) not in holds_main):
                 continue
-            elif (kid.tag == "header" or "header" in kid.label.split(".")[1:]) and inside != "article" and not holds_main(kid):
+            if (kid.tag == "header" or "header" in kid.label.split(".")[1:]) and inside != "article" and id(kid) not in holds_main:
                 continue
-            else:
-                visit(kid, "article" if kid.tag == "article" else inside, _place(place, _keyed(kid)) if fixed else "")
-
-    for node in places:
-        visit(node, "article" if node.tag == "article" else "", "")
+            inside = "article" if kid.tag == "article" else inside
+            place = _place(place, _keyed(kid)) if fixed else ""
+        todo += [(k, kid, inside, place) for k in reversed(kid.kids)]
     return "\n".join(blocks)
 
 
@@ -436,7 +489,7 @@ def _infer(batches):
     for batch in (b.slice(at, HELD_PAGES) for b in batches for at in range(0, b.num_rows, HELD_PAGES)):
         held: dict[tuple[str, str], str] = {}
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            text = json.dumps(lift(parse(page)))
+            text = to_json(lift(parse(page)))
             held.setdefault((host, digest(text)), text)
         cols = [[h for h, _ in held], [p for _, p in held], list(held.values())]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], ["host", "page", "wrapper"])
@@ -450,17 +503,17 @@ def _distinct(batches):
         for host, page, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if (host, page) == last:
                 continue
-            one = json.loads(text)
+            one = from_json(text)
             if host == last[0]:
                 wrapper = align(wrapper, one)
             else:
                 if wrapper is not None:
-                    done.append((last[0], json.dumps(wrapper)))
+                    done.append((last[0], to_json(wrapper)))
                 wrapper = one
             last = host, page
         yield _rows(done)
     if wrapper is not None:
-        yield _rows([(last[0], json.dumps(wrapper))])
+        yield _rows([(last[0], to_json(wrapper))])
 
 
 def _merge(batches):
@@ -469,16 +522,16 @@ def _merge(batches):
     for batch in batches:
         done = []
         for salt, host, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            one = json.loads(text)
+            one = from_json(text)
             if (salt, host) == key:
                 wrapper = align(wrapper, one)
                 continue
             if key is not None:
-                done.append((key[1], json.dumps(wrapper)))
+                done.append((key[1], to_json(wrapper)))
             key, wrapper = (salt, host), one
         yield _rows(done)
     if key is not None:
-        yield _rows([(key[1], json.dumps(wrapper))])
+        yield _rows([(key[1], to_json(wrapper))])
 
 
 def _rows(done: list) -> pa.RecordBatch:
@@ -492,7 +545,7 @@ def host_of(url):
 
 
 def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, wrapper as JSON) over all distinct pages with html; folded in tasks, then by salted host, then by host."""
+    """(host, wrapper as flat JSON) over all distinct pages with html; folded in tasks, then by salted host, then by host."""
     rows = pages.where(F.col(html_col).isNotNull()).select(host_of(F.col(url_col)).alias("host"), F.col(html_col).cast("string").alias("html"))
     one = rows.mapInArrow(_infer, "host string, page string, wrapper string").repartition("host", "page").sortWithinPartitions("host", "page")
     parts = one.mapInArrow(_distinct, "host string, wrapper string")
@@ -506,7 +559,7 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
 
 def _rules(batches):
     for batch in batches:
-        rules = [json.dumps(rule(json.loads(w))) for w in batch.column(1).to_pylist()]
+        rules = [json.dumps(rule(from_json(w))) for w in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rules, pa.string())], ["host", "rule"])
 
 
