@@ -1,11 +1,12 @@
-"""Exact top-k inner products by no-random-access aggregation.
-
-A shard holds one list per dimension, its vectors sorted by that component. For a
-query a dimension's list is read from the end that scores best. What has been read
-of a vector bounds its score: the unread parts are at most the list's frontier and
-at least its worst entry. Lists are read block by block until no vector
-outside a small set can reach the k-th lower bound; the scores of that set are then
-resolved exactly and ranked. Shards answer for themselves and their answers, k per
+"""Exact top-k inner products: a dense product, pruned by the bounds of sorted lists.
+
+A shard holds its vectors and, per dimension, its sorted components without ids. For
+a query all products of components are formed first. At some depths of the lists,
+from half on, a component that scores at least its list's frontier counts as known,
+any other as between the list's worst entry and the frontier; vectors whose upper
+bound is below the k-th lower bound are dropped. The others are resolved exactly by
+their whole vectors and ranked. This is not no-random-access aggregation: no list is
+read entry by entry, and nothing is saved against the plain product. Shards answer for themselves and their answers, k per
 query, are merged. Queries go to the tasks in blocks of bounded size, one pass each.
 """
 
@@ -26,8 +27,8 @@ SCALE = 1024
 SHARD_ROWS = 8192
 # Components of the queries that one pass broadcasts.
 QUERY_BLOCK = 1 << 21
-# A list is read in this many blocks; bounds are compared after each one from the
-# middle on: before it the unread parts leave everything open.
+# Bounds are compared at these parts of a list's length, from the middle on: before it
+# the parts beyond the frontier leave everything open.
 BLOCKS = 8
 
 
@@ -59,9 +60,8 @@ class Shard:
     def top(self, own: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(row, score) of the k best vectors but the query's own, best first, ties to smaller ids.
 
-        A list read down to some depth has given every component that scores at
-        least its frontier: those are known, all others lie between the list's worst
-        entry and the frontier.
+        At some depth of a list every component that scores at least its frontier
+        counts as known, all others lie between the list's worst entry and the frontier.
         """
         n, weight = len(self.ids), q.astype(float)
         ahead = weight > 0
