@@ -8,7 +8,22 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tierflow.operators import joins, windows
+from pyspark.sql import Window
+from tierflow.operators import joins, scans, windows
+
+
+def plain_ranks(df, metric, keys=(), *, descending=True, dense_rank_col=None, rank_col=None, percent_rank_col=None):
+    """Window functions over whole groups."""
+    w = Window.partitionBy(*keys).orderBy(scans.ordered(metric, descending))
+    forms = {dense_rank_col: F.dense_rank(), rank_col: F.rank(), percent_rank_col: F.percent_rank()}
+    return df.withColumns({n: f.over(w) for n, f in forms.items() if n})
+
+
+def equal_rows(a, b):
+    """Same rows, repeated ones included."""
+    a = a.select(*b.columns)
+    assert a.count() == b.count()
+    assert a.exceptAll(b).count() == 0
 
 
 def _metric_frame(spark):
@@ -17,12 +32,12 @@ def _metric_frame(spark):
 
 
 @pytest.mark.parametrize("descending", [True, False])
-@pytest.mark.parametrize("rows_per_bucket", [1, 2, 1_000_000])
-def test_global_rank_equals_single_partition_window(spark, descending, rows_per_bucket):
+@pytest.mark.parametrize("rows_per_chunk", [1, 2, 1_000_000])
+def test_global_rank_equals_single_partition_window(spark, descending, rows_per_chunk):
     df = _metric_frame(spark)
     kw = dict(dense_rank_col="d", rank_col="r", percent_rank_col="p")
-    fast = windows.global_rank(df, "m", descending=descending, rows_per_bucket=rows_per_bucket, **kw)
-    slow = windows.window_rank_reference(df, "m", descending=descending, **kw)
+    fast = windows.global_rank(df, "m", descending=descending, rows_per_chunk=rows_per_chunk, **kw)
+    slow = plain_ranks(df, "m", descending=descending, **kw)
     a = {r["id"]: (r["d"], r["r"], round(r["p"], 12)) for r in fast.collect()}
     b = {r["id"]: (r["d"], r["r"], round(r["p"], 12)) for r in slow.collect()}
     assert a == b
@@ -31,8 +46,8 @@ def test_global_rank_equals_single_partition_window(spark, descending, rows_per_
 def test_global_rank_on_driver_table(spark):
     ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet").select("event_id", F.floor("value").alias("v"))
     kw = dict(dense_rank_col="d", rank_col="r", percent_rank_col="p")
-    fast = windows.global_rank(ev, "v", rows_per_bucket=40, **kw)
-    slow = windows.window_rank_reference(ev, "v", **kw)
+    fast = windows.global_rank(ev, "v", rows_per_chunk=40, **kw)
+    slow = plain_ranks(ev, "v", **kw)
     assert fast.exceptAll(slow.select(*fast.columns)).count() == 0
 
 
@@ -50,8 +65,14 @@ def test_share_of_total(spark):
 
 def test_top_per_group_keeps_ties(spark):
     df = spark.createDataFrame([(1, 1, 9.0), (1, 2, 9.0), (1, 3, 1.0), (2, 4, 3.0)], "g int, id int, v double")
-    out = windows.top_per_group(df, ["g"], F.desc("v"))
+    out = windows.top_per_group(df, ["g"], "v")
     assert sorted(r["id"] for r in out.collect()) == [1, 2, 4]
+    more = spark.createDataFrame([(None, 1, None), (None, 2, None), (3, 3, None), (3, 4, 1.0), (3, 5, float("nan")), (3, 6, float("nan"))], "g int, id int, v double")
+    for descending, expected in ((True, [1, 2, 5, 6]), (False, [1, 2, 3])):
+        w = Window.partitionBy("g").orderBy(scans.ordered("v", descending))
+        slow = more.withColumn("r", F.rank().over(w)).filter("r = 1")
+        got = sorted(r["id"] for r in windows.top_per_group(more, ["g"], "v", descending).collect())
+        assert got == sorted(r["id"] for r in slow.collect()) == expected
 
 
 def test_salted_join_equals_plain_join(spark):
@@ -123,80 +144,103 @@ def _events_with_hot_key(spark):
 
 
 @pytest.mark.parametrize("descending", [True, False])
-def test_keyed_rank_equals_partitioned_window(spark, descending):
-    from pyspark.sql import Window
-
+@pytest.mark.parametrize("rows_per_chunk", [30, 1_000_000])
+def test_keyed_rank_equals_partitioned_window(spark, descending, rows_per_chunk):
     df = _events_with_hot_key(spark)
-    fast = windows.keyed_rank(
-        df, "v", ["k"], descending=descending, dense_rank_col="d", rank_col="r", percent_rank_col="p", rows_per_bucket=30
-    )
-    o = F.col("v").desc_nulls_last() if descending else F.col("v").asc_nulls_first()
-    w = Window.partitionBy("k").orderBy(o)
-    slow = df.select(
-        "*", F.dense_rank().over(w).alias("d"), F.rank().over(w).alias("r"), F.percent_rank().over(w).alias("p")
-    )
-    assert fast.count() == df.count()
-    assert fast.select(*slow.columns).exceptAll(slow).count() == 0
+    kw = dict(descending=descending, dense_rank_col="d", rank_col="r", percent_rank_col="p")
+    equal_rows(windows.keyed_rank(df, "v", ["k"], rows_per_chunk=rows_per_chunk, **kw), plain_ranks(df, "v", ["k"], **kw))
 
 
-def test_chunked_running_equals_window(spark):
-    from pyspark.sql import Window
+# First order columns as SQL; the second is the id.
+ORDERS = {
+    "sparse": "id * 1000003",
+    "dense": "id % 50",
+    "tied": "1",
+    "null": "cast(null as long)",
+    "mixed": "if(id % 11 = 0, null, id % 700)",
+    "text": "concat('a long common prefix ', id)",
+    "struct": "named_struct('a', 7, 'b', -id)",
+}
 
-    df = _events_with_hot_key(spark)
-    fast = windows.chunked_running(
-        df,
-        ["k"],
-        ["num", "id"],
-        F.floor(F.col("num") / 700),
+
+def _scan_args(order):
+    return dict(
+        order_cols=order,
         sums={"rs": F.col("v")},
-        counts={"rc": F.col("v")},
+        counts={"rc": F.col("v"), "top": F.when(F.col("v") == F.col("best"), 1)},
         neighbours={"v": ("prev_v", "next_v")},
+        per_key=[{"best": F.max("v"), "n": F.count(F.lit(1))}, {"n_best": F.count(F.when(F.col("v") == F.col("best"), 1))}],
     )
-    w = Window.partitionBy("k").orderBy(F.col("num").asc_nulls_first(), F.col("id"))
+
+
+def _plain_scan(df, keys, order):
+    whole, w = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy(*[scans.ordered(c) if isinstance(c, str) else c for c in order])
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    slow = df.select(
-        "*",
-        F.sum("v").over(run).alias("rs"),
-        F.count("v").over(run).alias("rc"),
-        F.lag("v", 1).over(w).alias("prev_v"),
-        F.lead("v", 1).over(w).alias("next_v"),
+    out = df.withColumns({"best": F.max("v").over(whole), "n": F.count(F.lit(1)).over(whole)})
+    is_best = F.when(F.col("v") == F.col("best"), 1)
+    return out.withColumns(
+        {
+            "n_best": F.count(is_best).over(whole),
+            "rs": F.sum("v").over(run),
+            "rc": F.count("v").over(run),
+            "top": F.count(is_best).over(run),
+            "prev_v": F.lag("v", 1).over(w),
+            "next_v": F.lead("v", 1).over(w),
+        }
     )
-    assert fast.count() == df.count()
-    assert fast.select(*slow.columns).exceptAll(slow).count() == 0
 
 
-def test_distributed_forms_equal_plain_window_helpers(spark):
-    df = _events_with_hot_key(spark).filter(F.col("v").isNotNull())
-    fast = windows.rank_family_distributed(df, ["k"], "v", "id", chunk_width=500, rows_per_bucket=25)
-    slow = windows.rank_family(df, ["k"], F.desc("v"), prefix="rating")
-    # the plain helper's row_number has no tie-breaker; compare rank columns, then row_number with one
-    cols = ["k", "id", "rating_rank", "rating_dense_rank"]
-    assert fast.select(*cols).exceptAll(slow.select(*cols)).count() == 0
-    from pyspark.sql import Window
+@pytest.mark.parametrize("kind", list(ORDERS))
+def test_segmented_scan_equals_window(spark, kind):
+    """Hot and small keys, a NULL key, chunks of several keys; and no chunk has much more than its share."""
+    k = F.when(F.col("k") == 5, F.lit(None)).otherwise(F.col("k"))
+    df = _events_with_hot_key(spark).select(k.alias("k"), "id", "v", F.expr(ORDERS[kind]).alias("o1"), F.col("id").alias("o2"))
+    fast = scans.segmented_scan(df, ["k"], rows_per_chunk=400, **_scan_args(["o1", "o2"]))
+    equal_rows(fast, _plain_scan(df, ["k"], ["o1", "o2"]))
+    hot = scans.split_hot(df, ["k"], 400)
+    chunks = scans.chunked(hot.hot, ["k"], [scans.ordered("o1"), scans.ordered("o2")], math.ceil(hot.hot_rows / 400))
+    sizes = [r[1] for r in chunks.groupBy("_tf_chunk").count().collect()]
+    assert max(sizes) <= 2 * 400 and len(sizes) >= hot.hot_rows / 800
+
+
+def test_segmented_scan_descending_whole_table_and_empty(spark):
+    df = _events_with_hot_key(spark)
+    order = [F.col("num").desc_nulls_last(), F.col("id").asc()]
+    for limit in (300, 10**6):
+        equal_rows(scans.segmented_scan(df, ["k"], rows_per_chunk=limit, **_scan_args(order)), _plain_scan(df, ["k"], order))
+        equal_rows(scans.segmented_scan(df, [], rows_per_chunk=limit, **_scan_args(["num", "id"])), _plain_scan(df, [], ["num", "id"]))
+    assert scans.segmented_scan(df.filter("id < 0"), ["k"], rows_per_chunk=1, **_scan_args(["num", "id"])).count() == 0
+
+
+def test_small_groups_cost_one_shuffle(spark):
+    df = _events_with_hot_key(spark)
+    plan = scans.segmented_scan(df, ["k"], **_scan_args(["num", "id"]))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
 
-    rn = df.withColumn("rating_row_num", F.row_number().over(Window.partitionBy("k").orderBy(F.desc("v"), "id")))
-    assert fast.select("id", "rating_row_num").exceptAll(rn.select("id", "rating_row_num")).count() == 0
 
-    order = [F.col("num").asc_nulls_first(), F.col("id")]
-    plain_nb = windows.lag_lead_delta(df, ["k"], order, "v", "p", "n", "d")
-    seg_nb = windows.chunked_running(
-        df, ["k"], ["num", "id"], F.floor(F.col("num") / 900), neighbours={"v": ("p", "n")}
-    ).withColumn("d", F.col("v") - F.col("p"))
-    assert seg_nb.select(*plain_nb.columns).exceptAll(plain_nb).count() == 0
+@pytest.mark.parametrize("rows_per_chunk", [200, 1_000_000])
+def test_rank_family_equals_windows(spark, rows_per_chunk):
+    df = _events_with_hot_key(spark)
+    fast = windows.rank_family(df, ["k"], "v", ["id"], rows_per_chunk=rows_per_chunk)
+    slow = plain_ranks(df, "v", ["k"], rank_col="rating_rank", dense_rank_col="rating_dense_rank")
+    w = Window.partitionBy("k").orderBy(F.col("v").desc_nulls_last(), F.col("id"))
+    equal_rows(fast, slow.withColumn("rating_row_num", F.row_number().over(w)))
 
-    plain_fl = windows.first_last(df, ["k"], order, "v", "f", "l")
-    agg_fl = windows.first_last_by(df, ["k"], ["num", "id"], "v", "f", "l")
-    assert agg_fl.select(*plain_fl.columns).exceptAll(plain_fl).count() == 0
+
+def test_first_last_by_equals_windows(spark):
+    df = _events_with_hot_key(spark)
+    w = Window.partitionBy("k").orderBy(F.col("num").asc_nulls_first(), F.col("id")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    slow = df.withColumns({"f": F.first("v").over(w), "l": F.last("v").over(w)})
+    equal_rows(windows.first_last_by(df, ["k"], ["num", "id"], "v", "f", "l"), slow)
 
 
-def test_global_rank_on_dates_and_strings(spark):
+def test_global_rank_on_dates_strings_and_structs(spark):
     ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet").select(
-        "event_id", F.to_date("ts").alias("day"), F.col("event_type").alias("kind")
+        "event_id", F.to_date("ts").alias("day"), F.col("event_type").alias("kind"), F.struct("event_type", "user_id").alias("both")
     )
-    for metric in ("day", "kind"):
-        fast = windows.global_rank(ev, metric, dense_rank_col="d", rank_col="r", rows_per_bucket=3)
-        slow = windows.window_rank_reference(ev, metric, dense_rank_col="d", rank_col="r")
-        assert fast.select(*slow.columns).exceptAll(slow).count() == 0
+    for metric in ("day", "kind", "both"):
+        kw = dict(dense_rank_col="d", rank_col="r", percent_rank_col="p")
+        equal_rows(windows.global_rank(ev, metric, rows_per_chunk=3 if metric != "both" else 100, **kw), plain_ranks(ev, metric, **kw))
 
 
 @pytest.mark.parametrize("descending", [True, False])
@@ -204,11 +248,49 @@ def test_global_rank_splits_strings(spark, descending):
     names = [f"show#{i:05d}" for i in range(60)] + ["show#", "show#é", "show#\U0001f600", "show#00007", None, None]
     df = spark.createDataFrame(list(enumerate(names)), "id long, m string")
     kw = dict(descending=descending, dense_rank_col="d", rank_col="r")
-    fast = windows.global_rank(df, "m", rows_per_bucket=5, **kw)
-    slow = windows.window_rank_reference(df, "m", **kw)
-    assert sorted(map(tuple, fast.collect()), key=lambda r: r[0]) == sorted(map(tuple, slow.select(*fast.columns).collect()), key=lambda r: r[0])
-    vals = df.groupBy("m").agg(F.count("*").alias("_tf_rows"))
-    assert windows._bucketize(vals, "m", [], descending, 5, 1024).select("_tf_bucket").distinct().count() > 5
+    equal_rows(windows.global_rank(df, "m", rows_per_chunk=5, **kw), plain_ranks(df, "m", **kw))
     for odd in ([(0, None)], [(0, "")], []):
         few = spark.createDataFrame(odd, "id long, m string")
-        assert windows.global_rank(few, "m", rows_per_bucket=1, **kw).count() == len(odd)
+        assert windows.global_rank(few, "m", rows_per_chunk=1, **kw).count() == len(odd)
+
+
+def test_best_episode_of_a_hot_season(spark):
+    """R-4 with a season cut into chunks equals the same report over whole seasons."""
+    from tierflow.operators import reports
+    from tierflow.plans import adapters as A
+
+    eps = A.episodes(spark, "/root/testdata/sf0.01").withColumn("show_id", F.when(F.col("episode_id") % 3 == 0, F.lit(1).cast("long")).otherwise(F.col("show_id")))
+    eps = eps.withColumn("season", F.when(F.col("show_id") == 1, F.lit(1)).otherwise(F.col("season")))
+    # A third of all rows in one season, most of them tied at the top.
+    eps = eps.withColumn("episode_rating", F.when((F.col("show_id") == 1) & (F.col("episode_id") % 5 > 0), F.lit(1e9)).otherwise(F.col("episode_rating")))
+    shows = A.shows(spark, "/root/testdata/sf0.01")
+    cut = reports.best_episode_per_season(eps, shows, rows_per_chunk=150)
+    equal_rows(cut, reports.best_episode_per_season(eps, shows))
+    assert cut.filter("rating_row_num > 2000").count() > 0
+
+
+def test_averages_of_odd_values(spark):
+    from tierflow.functions.columns import beyond_exact, exact, exact_avg, rounded_avg
+
+    inf, nan = float("inf"), float("nan")
+    data = {
+        "plain": ([1.005, 2.0, None, -3.5], -0.17),
+        "negative": ([-1.25, -1.26], -1.26),
+        "nan": ([1.0, nan, 2e18, 3.0], nan),
+        "inf": ([1.0, inf], inf),
+        "both": ([inf, -inf], nan),
+        "large": ([2e18, 4e18, 1.0], 2e18),
+        "tenth": ([0.1] * 10, 0.1),
+        "limbs": ([9007199254740991.0, -9007199254740991.0, 0.5], 0.17),
+        "none": ([None], None),
+    }
+    rows_ = [(k, v) for k, (vs, _) in data.items() for v in vs]
+    got = spark.createDataFrame(rows_, "k string, x double").groupBy("k").agg(rounded_avg("x", 2, fractional=True).alias("a"), exact_avg("x").alias("e")).collect()
+    for r in got:
+        want = data[r["k"]][1]
+        if want is None or math.isnan(want):
+            assert (r["a"] is None and r["e"] is None) if want is None else (math.isnan(r["a"]) and math.isnan(r["e"]))
+        else:
+            assert r["a"] == want and (r["e"] == want or abs(r["e"] - want) <= 0.0051 * max(1, abs(want)))
+    parts = spark.createDataFrame([(1.5,), (nan,), (inf,), (1e16,), (None,)], "x double").select(exact("x").alias("e"), beyond_exact("x").alias("b")).collect()
+    assert [(p["e"] is not None, p["b"] is not None) for p in parts] == [(True, False), (False, True), (False, True), (False, True), (False, False)]

@@ -34,12 +34,51 @@ def default(c: ColumnOrName, *fallbacks) -> Column:
     return F.coalesce(*parts)
 
 
-EXACT = "decimal(28,10)"
+# Values below this size have an exact whole part and fraction; the rest are added as doubles.
+EXACT_BELOW = float(2 ** 53)
+
+
+def _countable(col: Column) -> Column:
+    """Whether a double is finite and below EXACT_BELOW in size (NULL stays NULL)."""
+    return F.abs(col) < EXACT_BELOW
 
 
 def exact(c: ColumnOrName) -> Column:
-    """A fractional value as a decimal of ten places, so that sums do not depend on their order."""
-    return _c(c).try_cast(EXACT)
+    """A fractional value to ten places as a decimal, so that sums do not depend on their order; NULL if it is not countable."""
+    col = _c(c).cast("double")
+    return F.when(_countable(col), col.cast("decimal(28,10)"))
+
+
+def beyond_exact(c: ColumnOrName) -> Column:
+    """The values ``exact`` leaves out, as doubles: NaN, infinities and those of 2**53 and more in size."""
+    col = _c(c).cast("double")
+    return F.when(~_countable(col) | F.isnan(col), col)
+
+
+def exact_total(c: ColumnOrName) -> tuple[Column, Column]:
+    """Aggregates: the exact sum to ten places of the countable values of ``c``, and the double sum of the others (NULL: none).
+
+    A sum of decimals adds 38-digit numbers row by row. Here whole parts and fractions are
+    summed as 64-bit integers in two limbs each, which 2**36 rows of any size cannot
+    overflow, and are put together once a group.
+    """
+    col = _c(c).cast("double")
+    held = F.when(_countable(col), col)
+    whole = F.floor(held)
+    part = F.round((held - whole) * 1e10).cast("long")
+    limbs = [F.sum(F.shiftright(whole, 27)), F.sum(whole.bitwiseAND(F.lit((1 << 27) - 1))), F.sum(F.floor(part / 100_000)), F.sum(part % 100_000)]
+    high, low, fine, finest = [F.coalesce(x, F.lit(0).cast("long")).cast("decimal(19,0)") for x in limbs]
+    wholes = (high * F.lit(1 << 27).cast("decimal(9,0)") + low).cast("decimal(27,0)")
+    parts = (fine * F.lit(100_000).cast("decimal(6,0)") + finest).cast("decimal(26,0)")
+    total = wholes.cast("decimal(38,10)") + (parts * F.lit("0.0000000001").cast("decimal(10,10)")).cast("decimal(38,10)")
+    return total.cast("decimal(38,10)"), F.sum(beyond_exact(c))
+
+
+def exact_avg(c: ColumnOrName) -> Column:
+    """Aggregate: the average as a double that does not depend on the order of the rows (see ``rounded_avg``)."""
+    total, others = exact_total(c)
+    n = F.count(_c(c)).cast("double")
+    return F.try_divide(total.cast("double") + F.coalesce(others, F.lit(0.0)), n)
 
 
 def rounded_avg(c: ColumnOrName, digits: int, fractional: bool = False) -> Column:
@@ -48,15 +87,18 @@ def rounded_avg(c: ColumnOrName, digits: int, fractional: bool = False) -> Colum
     A double ``avg`` sums in shuffle-arrival order, so its last bits (and thus
     a HALF_UP rounding at an exact .5 boundary) change with the number of
     tasks. Here whole numbers are summed as 64-bit integers and ``fractional``
-    values as decimals of ten places; the quotient is rounded HALF_UP, so it has
-    the same bits on one task or a thousand. NULLs are ignored as in ``avg``.
+    values exactly to ten places; the quotient is rounded HALF_UP, so it has
+    the same bits on one task or a thousand. NULLs are ignored as in ``avg``. Values of
+    2**53 and more in size, infinities and NaN are added as doubles, as ``avg`` does: NaN
+    and infinities give what ``avg`` gives, and only for such large values does the last
+    bit depend on the order.
     """
-    col = exact(c) if fractional else _c(c)
     if fractional:
-        quotient = F.try_divide(F.sum(col), F.count(col).cast("decimal(19,0)"))
-        return F.round(quotient, digits).cast("double")
-    num = F.sum(col.cast("long")) * F.lit(10 ** digits)
-    quotient = F.try_divide(num.cast("double"), F.count(col).cast("double"))
+        total, others = exact_total(c)
+        quotient = F.try_divide(total, F.count(_c(c)).cast("decimal(19,0)"))
+        return F.when(others.isNull(), F.round(quotient, digits).cast("double")).otherwise(F.round(exact_avg(c), digits))
+    num = F.sum(_c(c).cast("long")) * F.lit(10 ** digits)
+    quotient = F.try_divide(num.cast("double"), F.count(_c(c)).cast("double"))
     return F.round(quotient, 0) / F.lit(float(10 ** digits))
 
 
@@ -87,7 +129,7 @@ def order_preserving_double(dtype: str, c: ColumnOrName) -> Column | None:
 
     Numbers cast to double (monotone; ties may merge, which only coarsens
     buckets), dates map to days and timestamps to microseconds since the epoch.
-    Strings have their own view (``text_order_double``); structs have none.
+    Strings and structs have none.
     """
     col = _c(c)
     if dtype in {"tinyint", "smallint", "int", "bigint", "float", "double"} or dtype.startswith("decimal"):
@@ -99,16 +141,6 @@ def order_preserving_double(dtype: str, c: ColumnOrName) -> Column | None:
     return None
 
 
-def text_order_double(c: ColumnOrName, shared: int = 0) -> Column:
-    """A double that sorts like a string (binary order) of which the first ``shared`` bytes are common to all.
-
-    It reads the six bytes after them (48 bits are exact in a double); strings that
-    agree on those tie, which only coarsens buckets.
-    """
-    six = F.substring(F.encode(_c(c), "UTF-8"), shared + 1, 6)
-    return F.conv(F.rpad(F.hex(six), 12, "0"), 16, 10).cast("double")
-
-
 def hash_salt(cols: Iterable[ColumnOrName], buckets: int) -> Column:
     """Deterministic salt in [0, buckets): stable under task retries.
 

@@ -9,53 +9,64 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.functions.columns import exact, rounded_avg
+from tierflow.functions.columns import beyond_exact, exact, exact_avg, rounded_avg
+from tierflow.operators.scans import ROWS_PER_CHUNK, segmented_scan
 
 
 ORDER_COLS = ("episode_number", "episode_id")
 
 
 def best_episode_per_season(
-    episodes: DataFrame, shows: DataFrame, order_cols: Sequence[str] = ORDER_COLS
+    episodes: DataFrame, shows: DataFrame, order_cols: Sequence[str] = ORDER_COLS, rows_per_chunk: int = ROWS_PER_CHUNK
 ) -> DataFrame:
     """R-4 (1A): rank family, running average, neighbours, percentile; rank-1 rows.
 
-    One shuffle on (show, season) serves every window. A season is one window
-    group, which is the report's definition; sorted by show and season.
-    ``order_cols`` is the episode order and must be unique within a season.
+    Only rows of the season's best rating are returned, so their ranks are 1 and no
+    window sorts by rating: row_number is the running number of best rows, percent_rank
+    (ascending) the share of the other rows that lie below. Best rating, rows and best
+    rows are aggregates of the season, the rest is one scan along the episode order. A
+    season of at most ``rows_per_chunk`` episodes is one window group (one shuffle in
+    all); larger ones are cut by row count (``segmented_scan``). ``order_cols`` is the
+    episode order and must be unique within a season.
 
     ``rating_row_num`` breaks rating ties by episode number and id so that the
     numbering is reproducible (the reference leaves it to arrival order). The
     running average is an exact running sum over one division.
     """
-    e = episodes.filter(F.col("episode_rating") > 0).join(
-        shows.select("show_id", "show_name"), "show_id", "inner"
+    rated = episodes.filter(F.col("episode_rating") > 0)
+    e = rated.join(shows.select("show_id", "show_name"), "show_id", "inner")
+    rating = F.col("episode_rating")
+    scanned = segmented_scan(
+        e,
+        ["show_id", "season"],
+        order_cols,
+        per_key=[{"best": F.max(rating), "n": F.count(F.lit(1))}, {"n_best": F.count(F.when(rating == F.col("best"), 1))}],
+        sums={"total": exact("episode_rating"), "others": beyond_exact("episode_rating")},
+        counts={"rated": rating, "best_so_far": F.when(rating == F.col("best"), 1)},
+        neighbours={"episode_rating": ("prev_episode_rating", "next_episode_rating")},
+        rows_per_chunk=rows_per_chunk,
+        sized_by=rated,
     )
-    part = ["show_id", "season"]
-    by_rating = Window.partitionBy(*part).orderBy(F.desc("episode_rating"))
-    order = [F.asc_nulls_first(c) for c in order_cols]
-    by_rating_tb = Window.partitionBy(*part).orderBy(F.desc("episode_rating"), *order)
-    by_number = Window.partitionBy(*part).orderBy(*order)
-    running = by_number.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    by_rating_asc = Window.partitionBy(*part).orderBy(F.asc("episode_rating"))
-    ranked = e.select(
-        "show_name", "season", "episode_number", "episode_name", "episode_rating", "episode_runtime", "airdate",
-        F.rank().over(by_rating).alias("rating_rank"),
-        F.dense_rank().over(by_rating).alias("rating_dense_rank"),
-        F.row_number().over(by_rating_tb).alias("rating_row_num"),
-        (
-            F.sum(exact("episode_rating")).over(running).cast("double") / F.count("episode_rating").over(running)
-        ).alias("running_avg_rating"),
-        F.lag("episode_rating", 1).over(by_number).alias("prev_episode_rating"),
-        F.lead("episode_rating", 1).over(by_number).alias("next_episode_rating"),
-        F.percent_rank().over(by_rating_asc).alias("rating_percentile"),
+    total = F.coalesce(F.col("total").cast("double"), F.lit(0.0)) + F.coalesce("others", F.lit(0.0))
+    one = F.lit(1).cast("long")
+    return (
+        scanned.filter(rating == F.col("best"))
+        .select(
+            "show_name", "season", "episode_number", "episode_name", "episode_rating", "episode_runtime", "airdate",
+            one.alias("rating_rank"),
+            one.alias("rating_dense_rank"),
+            F.col("best_so_far").alias("rating_row_num"),
+            (total / F.col("rated")).alias("running_avg_rating"),
+            "prev_episode_rating",
+            "next_episode_rating",
+            F.when(F.col("n") > 1, (F.col("n") - F.col("n_best")) / (F.col("n") - 1)).otherwise(F.lit(0.0)).alias("rating_percentile"),
+            (rating - F.col("prev_episode_rating")).alias("rating_change"),
+        )
+        .orderBy("show_name", "season", "rating_row_num")
     )
-    return ranked.withColumn(
-        "rating_change", F.col("episode_rating") - F.col("prev_episode_rating")
-    ).filter(F.col("rating_rank") == 1).orderBy("show_name", "season", "rating_row_num")
 
 
 def season_trajectory(episodes: DataFrame, shows: DataFrame, order_cols: Sequence[str] = ORDER_COLS) -> DataFrame:
@@ -140,24 +151,19 @@ def network_comparison(shows: DataFrame, episodes: DataFrame, cast: DataFrame, m
         F.count_distinct("show_id").alias("total_shows"),
         rounded_avg("rating_average", 2, fractional=True).alias("avg_show_rating"),
         F.sum("total_episodes").alias("total_episodes_produced"),
-        F.round(F.avg("avg_runtime"), 1).alias("avg_episode_runtime"),
+        rounded_avg("avg_runtime", 1, fractional=True).alias("avg_episode_runtime"),
         rounded_avg("cast_size", 0).alias("avg_cast_size"),
     )
     return per_network.filter(F.col("total_shows") >= min_shows).orderBy(F.desc_nulls_last("avg_show_rating"), "network")
 
 
-def _exact_avg(c: str) -> Column:
-    """Average that does not depend on the order of the rows."""
-    return F.avg(F.col(c).cast("decimal(20,8)"))
-
-
 def above_average_all(shows: DataFrame, episodes: DataFrame, cast: DataFrame) -> DataFrame:
     """R-8 (3A): shows above the average over *all* shows, with per-show counts.
 
     Counts of shows without rows are 0, their average runtime is NULL. Both
     sides are aggregated per show before they meet the shows that qualify.
     """
-    bar = shows.agg(_exact_avg("rating_average")).scalar()
+    bar = shows.agg(exact_avg("rating_average")).scalar()
     eps = episodes.groupBy("show_id").agg(F.count(F.lit(1)).alias("n"), F.avg("episode_runtime").alias("avg_rt"))
     people = cast.groupBy("show_id").agg(F.count_distinct("person_id").alias("m"))
     chosen = shows.filter(F.col("rating_average") > bar).select("show_id", "show_name", "rating_average")
@@ -176,7 +182,7 @@ def above_average_cte(shows: DataFrame, episodes: DataFrame, cast: DataFrame) ->
     The overall average is an uncorrelated scalar subquery, computed once and
     inlined into the filter (the reference's CROSS JOIN with a one-row CTE).
     """
-    overall = shows.filter(F.col("rating_average") > 0).agg(_exact_avg("rating_average")).scalar()
+    overall = shows.filter(F.col("rating_average") > 0).agg(exact_avg("rating_average")).scalar()
     es = episodes.groupBy("show_id").agg(
         F.count(F.lit(1)).alias("episode_count"), rounded_avg("episode_runtime", 1).alias("avg_runtime")
     )

@@ -2,90 +2,31 @@
 
 A window with no PARTITION BY (the reference's global ``dense_rank`` and
 ``percent_rank`` over a whole table) makes Spark move every row into one task.
-``global_rank`` computes the same numbers without that single task:
-
-1. aggregate the table to its *distinct metric values* with their row counts
-   (map-side partial aggregation, so a hot value costs one row);
-2. split the distinct values into range buckets at approximate quantile cut
-   points -- one small action returns at most ``max_buckets`` doubles, and the
-   cut points become literals, so the bucketing is deterministic under task
-   retries (unlike re-sampled range partitioning);
-3. rank values inside each bucket with an ordinary partitioned window;
-4. add per-bucket offsets from a summary of at most ``max_buckets + 2`` rows
-   (broadcast: its size is bounded by the parameter, not by the data);
-5. join the ranks back to the rows on the metric (null-safe).
-
-The distinct-value table is checkpointed (reliable checkpoint in
-``spark.checkpoint.dir``), so the input is aggregated once for all readers.
+``keyed_rank`` computes the same numbers without that single task:
+
+1. aggregate the rows to their *distinct (key, value) pairs* with row counts (map-side
+   partial aggregation, so a hot value costs one row), checkpointed in
+   ``spark.checkpoint.dir`` so that all readers share one computation;
+2. a segmented scan over these pairs gives each value's running number (``dense_rank``)
+   and the rows up to it (``rank``). Keys with many distinct values are cut by row
+   count with Spark's range partitioning, which compares whole values: any orderable
+   type is divided, long common prefixes and structs included, into as many parts as its
+   rows need;
+3. join the ranks back to the rows on (key, value), null-safe.
+
+Ranks are 64-bit.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from os.path import commonprefix
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierflow.functions.columns import order_preserving_double, text_order_double
+from tierflow.operators.scans import ROWS_PER_CHUNK, join_back, ordered, segmented_scan, split_hot
 from tierflow.session import ensure_checkpoint_dir
 
-_B = "_tf_bucket"
-_N = "_tf_rows"
-_MV = "_tf_mv"
-
-
-def _ordered(c: str | Column, descending: bool) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
-    # Spark's defaults: ASC NULLS FIRST, DESC NULLS LAST.
-    return col.desc_nulls_last() if descending else col.asc_nulls_first()
-
-
-def _bucketize(
-    vals: DataFrame, metric: str, keys: Sequence[str], descending: bool, rows_per_bucket: int, max_buckets: int
-) -> DataFrame:
-    """Attach a bucket id to each distinct (key, value); buckets follow the sort order.
-
-    One small action returns the largest number of distinct values of any key
-    and up to ``max_buckets - 1`` global quantile cut points.
-    """
-    grid = [i / max_buckets for i in range(1, max_buckets)]
-    per_key = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tf_dk")) if keys else vals.agg(
-        F.count(F.lit(1)).alias("_tf_dk")
-    )
-    single = vals.withColumns({_B: F.lit(0), "_tf_single": F.lit(True)})
-    dtype = dict(vals.dtypes)[metric]
-    if dtype == "string":
-        low, high = vals.agg(F.min(metric), F.max(metric)).first()
-        # Whatever lies between the smallest and the largest string begins as both do.
-        shared = len(commonprefix([low.encode(), high.encode()])) if low is not None else 0
-        as_num = text_order_double(metric, shared)
-    else:
-        as_num = order_preserving_double(dtype, metric)
-    if as_num is None:  # no order-preserving numeric view (e.g. structs): one bucket per key
-        return single
-    widest = per_key.agg(F.max("_tf_dk").alias("d")).first()["d"] or 0
-    buckets = min(max_buckets, max(1, math.ceil(int(widest) / max(1, rows_per_bucket))))
-    if buckets <= 1:
-        return single
-    cuts = vals.agg(F.percentile_approx(as_num, grid, 10000).alias("c")).first()["c"]
-    if not cuts:
-        return single
-    step = max_buckets / buckets
-    picked = sorted({float(cuts[min(len(cuts) - 1, int(round(step * k)) - 1)]) for k in range(1, buckets)})
-    picked = [x for x in picked if not math.isnan(x) and not math.isinf(x)]
-    splits = [-math.inf] + picked + [math.inf]
-    top = len(splits) - 1  # index handed to NaN by handleInvalid="keep"
-    bucketed = Bucketizer(splits=splits, inputCol=_MV, outputCol=_B, handleInvalid="keep").transform(
-        vals.withColumn(_MV, F.coalesce(as_num, F.lit(0.0)))
-    )
-    b = F.col(_B).cast("int")
-    ordered_b = (F.lit(top) - b) if descending else b
-    null_b = F.lit(top + 1) if descending else F.lit(-1)
-    return bucketed.withColumn(_B, F.when(F.col(metric).isNull(), null_b).otherwise(ordered_b)).drop(_MV)
-
 
 def global_rank(
     df: DataFrame,
@@ -95,8 +36,7 @@ def global_rank(
     dense_rank_col: str | None = None,
     rank_col: str | None = None,
     percent_rank_col: str | None = None,
-    rows_per_bucket: int = 1_000_000,
-    max_buckets: int = 1024,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
     materialize_input: bool = False,
 ) -> DataFrame:
     """Whole-table ``dense_rank`` / ``rank`` / ``percent_rank`` over ``metric``.
@@ -112,19 +52,11 @@ def global_rank(
         dense_rank_col=dense_rank_col,
         rank_col=rank_col,
         percent_rank_col=percent_rank_col,
-        rows_per_bucket=rows_per_bucket,
-        max_buckets=max_buckets,
+        rows_per_chunk=rows_per_chunk,
         materialize_input=materialize_input,
     )
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str], right_prefix: str) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & left[c].eqNullSafe(right[f"{right_prefix}{c}"])
-    return cond
-
-
 def keyed_rank(
     df: DataFrame,
     metric: str,
@@ -134,16 +66,13 @@ def keyed_rank(
     dense_rank_col: str | None = None,
     rank_col: str | None = None,
     percent_rank_col: str | None = None,
-    rows_per_bucket: int = 1_000_000,
-    max_buckets: int = 1024,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
     materialize_input: bool = False,
 ) -> DataFrame:
     """``dense_rank``/``rank``/``percent_rank`` OVER (PARTITION BY keys ORDER BY metric).
 
-    Distinct (key, value) pairs are bucketed at global cut points, so a key
-    with many distinct values is ranked by several tasks; per-key offsets come
-    from a summary of at most ``max_buckets + 2`` rows per key. With no keys
-    this is ``global_rank``.
+    No task sorts more than about ``rows_per_chunk`` distinct values, however many a
+    key has. With no keys this is ``global_rank``.
 
     ``materialize_input=True`` checkpoints ``df`` itself (worth it when ``df``
     is an expensive aggregate that would otherwise be computed twice: once for
@@ -153,169 +82,29 @@ def keyed_rank(
     ensure_checkpoint_dir(df.sparkSession)
     if materialize_input:
         df = df.checkpoint(eager=True)
-        vals = df.groupBy(*keys, metric).agg(F.count(F.lit(1)).alias(_N))
-    else:
-        # The distinct-value table feeds three readers (cut points, local
-        # ranks, bucket offsets): checkpoint it once to the shared folder so
-        # the input is aggregated once and every reader sees the same rows.
-        vals = df.groupBy(*keys, metric).agg(F.count(F.lit(1)).alias(_N)).checkpoint(eager=True)
-    vals = _bucketize(vals, metric, keys, descending, rows_per_bucket, max_buckets)
-
-    w = Window.partitionBy(*keys, _B).orderBy(_ordered(metric, descending))
-    local = vals.select(
-        *keys,
-        metric,
-        _B,
-        F.row_number().over(w).alias("_tf_local_dense"),
-        F.coalesce(F.sum(_N).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_tf_local_before"),
+    vals = df.groupBy(*keys, metric).agg(F.count(F.lit(1)).alias("_tf_rows"))
+    if not materialize_input:
+        vals = vals.checkpoint(eager=True)
+    scanned = segmented_scan(
+        vals,
+        keys,
+        [ordered(metric, descending)],
+        sums={"_tf_upto": F.col("_tf_rows")},
+        counts={"_tf_dense": F.lit(1)},
+        per_key=[{"_tf_total": F.sum("_tf_rows")}] if percent_rank_col else [],
+        rows_per_chunk=rows_per_chunk,
     )
-
-    # Per-bucket offsets: at most max_buckets + 2 rows per key.
-    summary = vals.groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("_tf_d"), F.sum(_N).alias("_tf_n"))
-    ws = Window.partitionBy(*keys).orderBy(_B)
-    before = ws.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = summary.select(
-        *[F.col(k).alias(f"_tf_o_{k}") for k in keys],
-        F.col(_B).alias("_tf_o_b"),
-        F.coalesce(F.sum("_tf_d").over(before), F.lit(0)).alias("_tf_d_before"),
-        F.coalesce(F.sum("_tf_n").over(before), F.lit(0)).alias("_tf_n_before"),
-        F.sum("_tf_n").over(Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))).alias("_tf_total"),
-    )
-    single_bucket = "_tf_single" in vals.columns
-    if single_bucket and not keys:
-        # One bucket, no keys: nothing precedes it; the row total is a scalar subquery.
-        ranked = local.withColumns(
-            {
-                "_tf_d_before": F.lit(0),
-                "_tf_n_before": F.lit(0),
-                "_tf_total": vals.agg(F.sum(_N)).scalar(),
-            }
-        )
-    else:
-        on = _null_safe_on(local, offsets, keys, "_tf_o_") & (local[_B] == offsets["_tf_o_b"])
-        # Without keys the summary is bounded by max_buckets + 2 rows: broadcast it.
-        ranked = local.join(F.broadcast(offsets) if not keys else offsets, on, "inner")
-
-    rank_expr = F.col("_tf_n_before") + F.col("_tf_local_before") + F.lit(1)
-    outputs: list[Column] = [F.col(k).alias(f"_tf_k_{k}") for k in keys] + [F.col(metric).alias("_tf_key")]
-    if dense_rank_col:
-        outputs.append((F.col("_tf_d_before") + F.col("_tf_local_dense")).cast("int").alias(dense_rank_col))
-    if rank_col:
-        outputs.append(rank_expr.cast("int").alias(rank_col))
-    if percent_rank_col:
-        outputs.append(
-            F.when(F.col("_tf_total") > 1, (rank_expr - 1) / (F.col("_tf_total") - 1))
-            .otherwise(F.lit(0.0))
-            .alias(percent_rank_col)
-        )
-    ranks = ranked.select(*outputs)
-    on_back = _null_safe_on(df, ranks, keys, "_tf_k_") & df[metric].eqNullSafe(ranks["_tf_key"])
-    joined = df.join(ranks, on_back, "inner")
-    return joined.drop("_tf_key", *[f"_tf_k_{k}" for k in keys])
-
-
-_CH = "_tf_chunk"
-
-
-def chunked_running(
-    df: DataFrame,
-    partition_cols: Sequence[str],
-    order_cols: Sequence[str],
-    chunk: Column,
-    *,
-    sums: dict[str, Column] | None = None,
-    counts: dict[str, Column] | None = None,
-    neighbours: dict[str, tuple[str, str]] | None = None,
-) -> DataFrame:
-    """Running aggregates and LAG/LEAD over (PARTITION BY keys ORDER BY order_cols).
-
-    A segmented scan: ``chunk`` must be non-decreasing along the order (e.g.
-    ``floor(number / width)``; NULL sorts first), so chunks are contiguous
-    ranges of each partition. Running sums/counts and neighbours are computed
-    inside (key, chunk) windows, and stitched together from a per-chunk
-    summary (totals before the chunk, last value of the previous chunk, first
-    value of the next). A hot key is thus spread over many tasks; only the
-    per-chunk summary is windowed per key.
-
-    ``sums``/``counts``: output name -> expression (running SUM / COUNT, ROWS
-    UNBOUNDED PRECEDING .. CURRENT ROW). ``neighbours``: value column ->
-    (lag output, lead output). Order columns sort ascending, NULLs first.
-    """
-    sums, counts, neighbours = dict(sums or {}), dict(counts or {}), dict(neighbours or {})
-    keys = list(partition_cols)
-    base = df.withColumn(_CH, chunk)
-    order = [F.col(c).asc_nulls_first() for c in order_cols]
-    wl = Window.partitionBy(*keys, _CH).orderBy(*order)
-    run = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local_cols: dict[str, Column] = {}
-    for i, (_, expr) in enumerate(sums.items()):
-        local_cols[f"_tf_ls{i}"] = F.sum(expr).over(run)
-    for i, (_, expr) in enumerate(counts.items()):
-        local_cols[f"_tf_lc{i}"] = F.count(expr).over(run)
-    for i, value in enumerate(neighbours):
-        local_cols[f"_tf_lp{i}"] = F.lag(value, 1).over(wl)
-        local_cols[f"_tf_ln{i}"] = F.lead(value, 1).over(wl)
-    if neighbours:
-        local_cols["_tf_first"] = F.row_number().over(wl) == 1
-        local_cols["_tf_last"] = F.lead(F.lit(1), 1).over(wl).isNull()
-    local = base.withColumns(local_cols)
-
-    key_struct = F.struct(*[F.col(c) for c in order_cols])
-    aggs: list[Column] = []
-    for i, (_, expr) in enumerate(sums.items()):
-        aggs.append(F.sum(expr).alias(f"_tf_s{i}"))
-    for i, (_, expr) in enumerate(counts.items()):
-        aggs.append(F.count(expr).alias(f"_tf_c{i}"))
-    for i, value in enumerate(neighbours):
-        aggs.append(F.max_by(F.col(value), key_struct).alias(f"_tf_lastv{i}"))
-        aggs.append(F.min_by(F.col(value), key_struct).alias(f"_tf_firstv{i}"))
-    summary = base.groupBy(*keys, _CH).agg(*aggs)
-    wc = Window.partitionBy(*keys).orderBy(F.col(_CH).asc_nulls_first())
-    before = wc.rowsBetween(Window.unboundedPreceding, -1)
-    offs: list[Column] = [F.col(k).alias(f"_tf_o_{k}") for k in keys] + [F.col(_CH).alias("_tf_o_ch")]
-    for i in range(len(sums)):
-        offs.append(F.sum(f"_tf_s{i}").over(before).alias(f"_tf_sb{i}"))
-    for i in range(len(counts)):
-        offs.append(F.coalesce(F.sum(f"_tf_c{i}").over(before), F.lit(0)).alias(f"_tf_cb{i}"))
-    for i in range(len(neighbours)):
-        offs.append(F.lag(f"_tf_lastv{i}", 1).over(wc).alias(f"_tf_pl{i}"))
-        offs.append(F.lead(f"_tf_firstv{i}", 1).over(wc).alias(f"_tf_nf{i}"))
-    offsets = summary.select(*offs)
-
-    on = _null_safe_on(local, offsets, keys, "_tf_o_") & local[_CH].eqNullSafe(offsets["_tf_o_ch"])
-    joined = local.join(offsets, on, "inner")
-    out: dict[str, Column] = {}
-    for i, name in enumerate(sums):
-        prior, here = F.col(f"_tf_sb{i}"), F.col(f"_tf_ls{i}")
-        out[name] = F.when(prior.isNull(), here).when(here.isNull(), prior).otherwise(prior + here)
-    for i, name in enumerate(counts):
-        out[name] = F.col(f"_tf_cb{i}") + F.col(f"_tf_lc{i}")
-    for i, (lag_name, lead_name) in enumerate(neighbours.values()):
-        out[lag_name] = F.when(F.col("_tf_first"), F.col(f"_tf_pl{i}")).otherwise(F.col(f"_tf_lp{i}"))
-        out[lead_name] = F.when(F.col("_tf_last"), F.col(f"_tf_nf{i}")).otherwise(F.col(f"_tf_ln{i}"))
-    result = joined.withColumns(out)
-    return result.select(*df.columns, *out.keys())
-
-
-def window_rank_reference(
-    df: DataFrame,
-    metric: str,
-    *,
-    descending: bool = True,
-    dense_rank_col: str | None = None,
-    rank_col: str | None = None,
-    percent_rank_col: str | None = None,
-) -> DataFrame:
-    """The single-partition formulation, kept only as a test oracle."""
-    w = Window.orderBy(_ordered(metric, descending))
-    out = df
+    rank = F.col("_tf_upto") - F.col("_tf_rows") + 1
+    outputs: dict[str, Column] = {}
     if dense_rank_col:
-        out = out.withColumn(dense_rank_col, F.dense_rank().over(w))
+        outputs[dense_rank_col] = F.col("_tf_dense")
     if rank_col:
-        out = out.withColumn(rank_col, F.rank().over(w))
+        outputs[rank_col] = rank
     if percent_rank_col:
-        out = out.withColumn(percent_rank_col, F.percent_rank().over(w))
-    return out
+        share = (rank - 1) / (F.col("_tf_total") - 1)
+        outputs[percent_rank_col] = F.when(F.col("_tf_total") > 1, share).otherwise(F.lit(0.0))
+    ranks = scanned.select(*keys, metric, *[c.alias(n) for n, c in outputs.items()])
+    return join_back(df, ranks, [*keys, metric])
 
 
 def share_of_total(df: DataFrame, value_col: str, out_col: str, scale: float = 100.0, digits: int | None = 1) -> DataFrame:
@@ -332,36 +121,37 @@ def share_of_total(df: DataFrame, value_col: str, out_col: str, scale: float = 1
     return df.withColumn(out_col, share)
 
 
-def rank_family_distributed(
+def rank_family(
     df: DataFrame,
     partition_cols: Sequence[str],
     metric: str,
-    tiebreak: str,
+    tiebreak: Sequence[str],
     *,
     descending: bool = True,
     prefix: str = "rating",
-    chunk_width: int = 4096,
-    rows_per_bucket: int = 1_000_000,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
-    """WIN-6..8 without a window partition per key.
+    """WIN-6..8: rank, dense_rank and row_number; ties are numbered by ``tiebreak``, unique within a value.
 
-    ``rank``/``dense_rank`` come from ``keyed_rank``; ``row_number`` (ties
-    broken by ``tiebreak`` ascending) is the rows ranked before the value plus
-    the position among the value's ties, a running count over (key, value)
-    chunked by ``floor(tiebreak / chunk_width)``.
+    Keys of at most ``rows_per_chunk`` rows take the window functions over one shuffle.
+    For hot keys the ranks come from the distinct (key, value) pairs and row_number from
+    a segmented scan.
     """
     keys = list(partition_cols)
-    ranked = keyed_rank(
-        df, metric, keys, descending=descending, dense_rank_col=f"{prefix}_dense_rank",
-        rank_col=f"{prefix}_rank", rows_per_bucket=rows_per_bucket,
-    )
-    positioned = chunked_running(
-        ranked, keys + [metric], [tiebreak], F.floor(F.col(tiebreak) / F.lit(chunk_width)),
-        counts={"_tf_pos": F.lit(1)},
-    )
-    return positioned.withColumn(
-        f"{prefix}_row_num", (F.col(f"{prefix}_rank") - 1 + F.col("_tf_pos")).cast("int")
-    ).drop("_tf_pos")
+    names = [f"{prefix}_rank", f"{prefix}_dense_rank", f"{prefix}_row_num"]
+    by_value = ordered(metric, descending)
+    parts = split_hot(df, keys, rows_per_chunk)
+    done = []
+    if parts.cold is not None:
+        ties = Window.partitionBy(*keys).orderBy(by_value)
+        unique = Window.partitionBy(*keys).orderBy(by_value, *[ordered(c) for c in tiebreak])
+        windows = [F.rank().over(ties), F.dense_rank().over(ties), F.row_number().over(unique)]
+        done.append(parts.cold.withColumns({n: w.cast("long") for n, w in zip(names, windows, strict=True)}))
+    if parts.hot is not None:
+        ranked = keyed_rank(parts.hot, metric, keys, descending=descending, rank_col=names[0], dense_rank_col=names[1], rows_per_chunk=rows_per_chunk)
+        done.append(segmented_scan(ranked, keys, [by_value, *tiebreak], counts={names[2]: F.lit(1)}, rows_per_chunk=rows_per_chunk, sized_by=parts.hot))
+    out = [d.select(*df.columns, *names) for d in done]
+    return out[0] if len(out) == 1 else out[0].unionByName(out[1])
 
 
 def first_last_by(
@@ -374,69 +164,27 @@ def first_last_by(
     """
     keys = list(partition_cols)
     order = F.struct(*[F.col(c) for c in order_cols])
-    bounds = df.groupBy(*keys).agg(
-        F.min_by(F.col(value), order).alias(first_col), F.max_by(F.col(value), order).alias(last_col)
-    ).select(*[F.col(k).alias(f"_tf_o_{k}") for k in keys], first_col, last_col)
-    joined = df.join(bounds, _null_safe_on(df, bounds, keys, "_tf_o_"), "inner")
-    return joined.drop(*[f"_tf_o_{k}" for k in keys])
-
-
-def rank_family(
-    df: DataFrame, partition_cols: Sequence[str], order: Column, prefix: str = "rating"
-) -> DataFrame:
-    """WIN-6..8: rank, dense_rank and row_number over one window spec (plain window)."""
-    w = Window.partitionBy(*partition_cols).orderBy(order)
-    return df.withColumns(
-        {
-            f"{prefix}_rank": F.rank().over(w),
-            f"{prefix}_dense_rank": F.dense_rank().over(w),
-            f"{prefix}_row_num": F.row_number().over(w),
-        }
-    )
+    bounds = df.groupBy(*keys).agg(F.min_by(F.col(value), order).alias(first_col), F.max_by(F.col(value), order).alias(last_col))
+    return join_back(df, bounds, keys)
 
 
 def running_aggregate(
     df: DataFrame, partition_cols: Sequence[str], order: Sequence[Column], value: str, out_col: str, fn=F.avg
 ) -> DataFrame:
-    """WIN-2/WIN-9: ``fn(value)`` over ROWS UNBOUNDED PRECEDING .. CURRENT ROW."""
+    """WIN-2/WIN-9: ``fn(value)`` over ROWS UNBOUNDED PRECEDING .. CURRENT ROW (plain window: for small groups)."""
     w = Window.partitionBy(*partition_cols).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return df.withColumn(out_col, fn(value).over(w))
 
 
-def lag_lead_delta(
-    df: DataFrame,
-    partition_cols: Sequence[str],
-    order: Sequence[Column],
-    value: str,
-    prev_col: str,
-    next_col: str,
-    delta_col: str | None = None,
-) -> DataFrame:
-    """WIN-10..12: previous / next value and the change from the previous row."""
-    w = Window.partitionBy(*partition_cols).orderBy(*order)
-    out = df.withColumns({prev_col: F.lag(value, 1).over(w), next_col: F.lead(value, 1).over(w)})
-    if delta_col:
-        out = out.withColumn(delta_col, F.col(value) - F.col(prev_col))
-    return out
-
-
-def first_last(
-    df: DataFrame, partition_cols: Sequence[str], order: Sequence[Column], value: str, first_col: str, last_col: str
-) -> DataFrame:
-    """WIN-14/15: FIRST_VALUE / LAST_VALUE over the full partition frame."""
-    w = (
-        Window.partitionBy(*partition_cols)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    )
-    return df.withColumns({first_col: F.first(value).over(w), last_col: F.last(value).over(w)})
-
+def top_per_group(df: DataFrame, partition_cols: Sequence[str], metric: str, descending: bool = True) -> DataFrame:
+    """WIN-16: the rows ranked first in their group, ties kept (``rank() = 1``), in two phases.
 
-def top_per_group(df: DataFrame, partition_cols: Sequence[str], order: Column, rank_col: str = "_tf_top_rank") -> DataFrame:
-    """WIN-16: rows ranked first in their group, ties kept (``rank() = 1``).
-
-    Catalyst plans this as a WindowGroupLimit below the shuffle, so each task
-    keeps only its local leaders before the exchange.
+    The leading value of a group is an aggregate (partial in each task), then the rows
+    that hold it are picked by an equi-join; a group of any size, all of it tied
+    even, is sorted nowhere. NULL leads only where the order puts it first.
     """
-    w = Window.partitionBy(*partition_cols).orderBy(order)
-    return df.withColumn(rank_col, F.rank().over(w)).filter(F.col(rank_col) == 1).drop(rank_col)
+    keys = list(partition_cols)
+    value = F.struct(F.col(metric))  # in a struct NULL is a value, the smallest
+    best = F.max(value) if descending else F.min(value)
+    leaders = df.groupBy(*keys).agg(best.alias("_tf_best")).select(*keys, F.col("_tf_best")[metric].alias(metric))
+    return join_back(df, leaders, [*keys, metric], "left_semi")

@@ -61,7 +61,7 @@ def q_gold_eps(spark, sf):
 
 GOLD_AVG_RUNTIME_SQL = f"""
 SELECT a.*, s.show_name, s.language, s.status, s.rating_average,
-       CAST(dense_rank() OVER (ORDER BY a.avg_runtime_minutes DESC NULLS LAST) AS INTEGER) AS runtime_rank,
+       dense_rank() OVER (ORDER BY a.avg_runtime_minutes DESC NULLS LAST) AS runtime_rank,
        round(percent_rank() OVER (ORDER BY a.avg_runtime_minutes DESC NULLS LAST) * 100, 1) AS runtime_percentile
 FROM (
     SELECT show_id, {ravg("episode_runtime", 1)} AS avg_runtime_minutes,
@@ -80,7 +80,7 @@ def q_gold_runtime(spark, sf):
 GOLD_TOP_CAST_CTE = """
 top_cast AS (
     SELECT p.*,
-           CAST(dense_rank() OVER (ORDER BY show_count DESC NULLS LAST) AS INTEGER) AS cast_rank,
+           dense_rank() OVER (ORDER BY show_count DESC NULLS LAST) AS cast_rank,
            round(percent_rank() OVER (ORDER BY show_count DESC NULLS LAST) * 100, 1) AS cast_percentile
     FROM (
         SELECT person_id, cast_name, person_country, person_gender, count(show_id) AS show_count,
@@ -100,7 +100,7 @@ def q_gold_top_cast(spark, sf):
 GOLD_GENRE_CTE = f"""
 genre_stats AS (
     SELECT x.*,
-           CAST(dense_rank() OVER (ORDER BY show_count DESC NULLS LAST) AS INTEGER) AS genre_rank,
+           dense_rank() OVER (ORDER BY show_count DESC NULLS LAST) AS genre_rank,
            round(show_count / (SELECT sum(show_count) FROM (
                SELECT count(show_id) AS show_count FROM genres GROUP BY genre)) * 100, 1) AS genre_share_pct
     FROM (
@@ -119,7 +119,7 @@ def q_gold_genre(spark, sf):
 
 GOLD_DASHBOARD_CTE = f"""
 dashboard AS (
-    SELECT d.*, CAST(dense_rank() OVER (ORDER BY rating_average DESC NULLS LAST) AS INTEGER) AS overall_rank
+    SELECT d.*, dense_rank() OVER (ORDER BY rating_average DESC NULLS LAST) AS overall_rank
     FROM (
         SELECT s.show_id, s.show_name, s.language, s.status, s.rating_average, s.premiered_date, s.ended_date,
                s.network_name, gl.genre_list,

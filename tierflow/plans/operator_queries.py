@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tierflow.functions.columns import exact, rounded_avg, sorted_list_string
 from tierflow.operators import joins, windows
+from tierflow.operators.scans import segmented_scan
 from tierflow.plans import adapters as A
 from tierflow.plans.oracle_base import oracle, ravg
 from tierflow.plans.registry import register
@@ -334,8 +335,8 @@ def q_win_cumulative_sum(spark, sf):
     oracle(
         """
 SELECT show_id, rating_average,
-       CAST(dense_rank() OVER (ORDER BY rating_average DESC NULLS LAST) AS INTEGER) AS dense_rank,
-       CAST(rank() OVER (ORDER BY rating_average DESC NULLS LAST) AS INTEGER) AS rank,
+       dense_rank() OVER (ORDER BY rating_average DESC NULLS LAST) AS dense_rank,
+       rank() OVER (ORDER BY rating_average DESC NULLS LAST) AS rank,
        percent_rank() OVER (ORDER BY rating_average DESC NULLS LAST) AS percent_rank
 FROM shows
 """
@@ -349,7 +350,7 @@ def q_win_global_rank(spark, sf):
         dense_rank_col="dense_rank",
         rank_col="rank",
         percent_rank_col="percent_rank",
-        rows_per_bucket=100,
+        rows_per_chunk=100,
     )
 
 
@@ -358,8 +359,8 @@ def q_win_global_rank(spark, sf):
     oracle(
         """
 SELECT episode_id, episode_runtime,
-       CAST(dense_rank() OVER (ORDER BY episode_runtime ASC NULLS FIRST) AS INTEGER) AS dense_rank,
-       CAST(rank() OVER (ORDER BY episode_runtime ASC NULLS FIRST) AS INTEGER) AS rank,
+       dense_rank() OVER (ORDER BY episode_runtime ASC NULLS FIRST) AS dense_rank,
+       rank() OVER (ORDER BY episode_runtime ASC NULLS FIRST) AS rank,
        percent_rank() OVER (ORDER BY episode_runtime ASC NULLS FIRST) AS percent_rank
 FROM episodes
 """
@@ -374,7 +375,7 @@ def q_win_global_rank_runtime(spark, sf):
         dense_rank_col="dense_rank",
         rank_col="rank",
         percent_rank_col="percent_rank",
-        rows_per_bucket=50,
+        rows_per_chunk=50,
     )
 
 
@@ -383,8 +384,8 @@ def q_win_global_rank_runtime(spark, sf):
     oracle(
         """
 SELECT show_id, show_name,
-       CAST(dense_rank() OVER (ORDER BY show_name ASC NULLS FIRST) AS INTEGER) AS dense_rank,
-       CAST(rank() OVER (ORDER BY show_name ASC NULLS FIRST) AS INTEGER) AS rank
+       dense_rank() OVER (ORDER BY show_name ASC NULLS FIRST) AS dense_rank,
+       rank() OVER (ORDER BY show_name ASC NULLS FIRST) AS rank
 FROM shows
 """
     ),
@@ -397,7 +398,7 @@ def q_win_global_rank_text(spark, sf):
         descending=False,
         dense_rank_col="dense_rank",
         rank_col="rank",
-        rows_per_bucket=100,
+        rows_per_chunk=100,
     )
 
 
@@ -421,10 +422,9 @@ def q_win_share(spark, sf):
     oracle(
         f"""
 SELECT episode_id, show_id, season, episode_rating,
-       CAST(rank() OVER (PARTITION BY show_id, season ORDER BY episode_rating DESC) AS INTEGER) AS rating_rank,
-       CAST(dense_rank() OVER (PARTITION BY show_id, season ORDER BY episode_rating DESC) AS INTEGER) AS rating_dense_rank,
-       CAST(row_number() OVER (PARTITION BY show_id, season ORDER BY episode_rating DESC, episode_id) AS INTEGER)
-           AS rating_row_num
+       rank() OVER (PARTITION BY show_id, season ORDER BY episode_rating DESC) AS rating_rank,
+       dense_rank() OVER (PARTITION BY show_id, season ORDER BY episode_rating DESC) AS rating_dense_rank,
+       row_number() OVER (PARTITION BY show_id, season ORDER BY episode_rating DESC, episode_id) AS rating_row_num
 FROM episodes
 """
     ),
@@ -432,7 +432,7 @@ FROM episodes
 def q_win_rank_family(spark, sf):
     """WIN-6..8: rank / dense_rank / row_number (row_number tie-broken by id), no per-key window."""
     e = A.episodes(spark, sf).select("episode_id", "show_id", "season", "episode_rating")
-    return windows.rank_family_distributed(e, ["show_id", "season"], "episode_rating", "episode_id")
+    return windows.rank_family(e, ["show_id", "season"], "episode_rating", ["episode_id"])
 
 
 @register(
@@ -451,11 +451,10 @@ WINDOW w AS ({W_NUM} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 def q_win_running_avg(spark, sf):
     """WIN-9: running average (exact running sum / count) and running sum, as a segmented scan."""
     e = A.episodes(spark, sf).select("episode_id", "show_id", "season", "episode_rating", "episode_runtime", "episode_number")
-    scanned = windows.chunked_running(
+    scanned = segmented_scan(
         e,
         ["show_id", "season"],
         ["episode_number", "episode_id"],
-        F.floor(F.col("episode_number") / F.lit(4096)),
         sums={"_total": exact("episode_rating"), "running_runtime": F.col("episode_runtime")},
         counts={"_rated": F.col("episode_rating")},
     )
@@ -482,16 +481,67 @@ WINDOW w AS ({W_NUM})
 def q_win_lag_lead(spark, sf):
     """WIN-10..12: LAG, LEAD and the delta to the previous row, as a segmented scan."""
     e = A.episodes(spark, sf).select("episode_id", "show_id", "season", "episode_rating", "episode_number")
-    out = windows.chunked_running(
+    out = segmented_scan(
         e,
         ["show_id", "season"],
         ["episode_number", "episode_id"],
-        F.floor(F.col("episode_number") / F.lit(4096)),
         neighbours={"episode_rating": ("prev_rating", "next_rating")},
     )
     return out.withColumn("rating_change", F.col("episode_rating") - F.col("prev_rating")).drop("episode_number")
 
 
+@register(
+    "win_scan_large_groups",
+    oracle(
+        """
+SELECT episode_id, language, episode_runtime,
+       CAST(sum(episode_runtime) OVER r AS BIGINT) AS running_runtime,
+       count(airtime) OVER r AS aired_so_far,
+       lag(episode_rating, 1) OVER o AS prev_rating,
+       lead(episode_rating, 1) OVER o AS next_rating,
+       rank() OVER (PARTITION BY language ORDER BY episode_runtime DESC) AS runtime_rank,
+       dense_rank() OVER (PARTITION BY language ORDER BY episode_runtime DESC) AS runtime_dense_rank,
+       row_number() OVER (PARTITION BY language ORDER BY episode_runtime DESC, episode_id) AS runtime_row_num
+FROM (SELECT e.episode_id, s.language, e.episode_runtime, e.episode_rating, e.airtime, nullif(e.season, 3) AS part
+      FROM episodes e JOIN shows s USING (show_id))
+WINDOW o AS (PARTITION BY language ORDER BY part NULLS FIRST, episode_id),
+       r AS (PARTITION BY language ORDER BY part NULLS FIRST, episode_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+"""
+    ),
+)
+def q_win_scan_large_groups(spark, sf):
+    """WIN-6..12 over few large groups that are cut by row count: the order column has ties and NULLs."""
+    e = A.episodes(spark, sf).select("episode_id", "show_id", "episode_runtime", "episode_rating", "airtime", F.nullif("season", F.lit(3)).alias("part"))
+    rows = e.join(A.shows(spark, sf).select("show_id", "language"), "show_id").drop("show_id")
+    scanned = segmented_scan(
+        rows,
+        ["language"],
+        ["part", "episode_id"],
+        sums={"running_runtime": F.col("episode_runtime")},
+        counts={"aired_so_far": F.col("airtime")},
+        neighbours={"episode_rating": ("prev_rating", "next_rating")},
+        rows_per_chunk=1000,
+    )
+    ranked = windows.rank_family(scanned, ["language"], "episode_runtime", ["episode_id"], prefix="runtime", rows_per_chunk=1000)
+    return ranked.drop("episode_rating", "airtime", "part")
+
+
+@register(
+    "win_global_rank_struct",
+    oracle(
+        """
+SELECT show_id, dense_rank() OVER (ORDER BY network_country DESC NULLS LAST, show_name DESC) AS dense_rank,
+       rank() OVER (ORDER BY network_country DESC NULLS LAST, show_name DESC) AS rank
+FROM shows
+"""
+    ),
+)
+def q_win_global_rank_struct(spark, sf):
+    """WIN-3/WIN-4 over a struct metric: a country and a name."""
+    shows = A.shows(spark, sf).select("show_id", F.struct("network_country", "show_name").alias("place"))
+    return windows.global_rank(shows, "place", dense_rank_col="dense_rank", rank_col="rank", rows_per_chunk=100).drop("place")
+
+
 @register(
     "win_percent_rank",
     oracle(
@@ -543,7 +593,7 @@ SELECT show_id, season, episode_id, episode_runtime FROM (
 def q_win_top1(spark, sf):
     """WIN-16/FLT-5: top-1 per group keeping ties (rank = 1)."""
     e = A.episodes(spark, sf).select("show_id", "season", "episode_id", "episode_runtime")
-    return windows.top_per_group(e, ["show_id", "season"], F.desc("episode_runtime"))
+    return windows.top_per_group(e, ["show_id", "season"], "episode_runtime")
 
 
 # ------------------------------------------------------- sorts / limits

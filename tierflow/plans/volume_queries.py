@@ -54,7 +54,7 @@ def q_volume_eps(spark, sf):
     V_CTES
     + f"""
 SELECT a.*, s.show_name, s.language, s.rating_average,
-       CAST(dense_rank() OVER (ORDER BY a.avg_runtime_minutes DESC NULLS LAST) AS INTEGER) AS runtime_rank,
+       dense_rank() OVER (ORDER BY a.avg_runtime_minutes DESC NULLS LAST) AS runtime_rank,
        round(percent_rank() OVER (ORDER BY a.avg_runtime_minutes DESC NULLS LAST) * 100, 1) AS runtime_percentile
 FROM (
     SELECT show_id, {ravg("episode_runtime", 1)} AS avg_runtime_minutes,
@@ -77,10 +77,10 @@ def q_volume_runtime(spark, sf):
     + """
 SELECT * FROM (
     SELECT s.show_name, e.season, e.episode_number, e.episode_name, e.episode_rating, e.episode_runtime, e.airdate,
-           CAST(rank() OVER w_rating AS INTEGER) AS rating_rank,
-           CAST(dense_rank() OVER w_rating AS INTEGER) AS rating_dense_rank,
-           CAST(row_number() OVER (PARTITION BY e.show_id, e.season ORDER BY e.episode_rating DESC,
-                e.episode_number, e.episode_id, e.l_partkey) AS INTEGER) AS rating_row_num,
+           rank() OVER w_rating AS rating_rank,
+           dense_rank() OVER w_rating AS rating_dense_rank,
+           row_number() OVER (PARTITION BY e.show_id, e.season ORDER BY e.episode_rating DESC,
+                e.episode_number, e.episode_id, e.l_partkey) AS rating_row_num,
            CAST(sum(CAST(e.episode_rating AS DECIMAL(28,10))) OVER w_run AS DOUBLE) / count(e.episode_rating) OVER w_run AS running_avg_rating,
            lag(e.episode_rating, 1) OVER w_num AS prev_episode_rating,
            lead(e.episode_rating, 1) OVER w_num AS next_episode_rating,
