@@ -118,31 +118,6 @@ def test_ingest_incremental_available_now(spark, bronze):
     assert spark.read.parquet(target).count() == 11
 
 
-def test_refresh_fact_equals_full_rebuild(spark, silver_layer):
-    s, e, g, c = (silver_layer[k] for k in ("shows", "episodes", "genres", "cast"))
-    path = shared_path(spark, "t", "fact")
-    old = e.filter(F.col("season") == 1)
-    tables.write_table(silver.build_fact(old, s, g, c, timestamps=False), path, partition_by=["language"])
-    # show 4 moves from 'English' to 'Klingon'; show 1 gains its season 2
-    s2 = s.withColumn("language", F.when(F.col("show_id") == 4, F.lit("Klingon")).otherwise(F.col("language")))
-    changed = spark.createDataFrame([(1,), (4,)], "show_id bigint")
-    incremental.refresh_fact(spark, path, changed, e, s2, g, c)
-    got = spark.read.parquet(path).select(*silver.FACT_COLUMNS)
-    want = silver.build_fact(e, s2, g, c, timestamps=False).select(*silver.FACT_COLUMNS)
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-
-
-def test_refresh_fact_removes_emptied_partition(spark, silver_layer):
-    s, e, g, c = (silver_layer[k] for k in ("shows", "episodes", "genres", "cast"))
-    path = shared_path(spark, "t", "fact2")
-    tables.write_table(silver.build_fact(e, s, g, c, timestamps=False), path, partition_by=["language"])
-    s2 = s.withColumn("language", F.when(F.col("show_id") == 2, F.lit("English")).otherwise(F.col("language")))
-    incremental.refresh_fact(spark, path, spark.createDataFrame([(2,)], "show_id bigint"), e, s2, g, c)
-    langs = {r[0] for r in spark.read.parquet(path).select("language").distinct().collect()}
-    assert "Dutch" not in langs
-    assert not os.path.exists(os.path.join(local_fs_path(path), "language=Dutch"))
-
-
 def test_run_medallion_end_to_end(spark, raw_root):
     from tierflow.plans.medallion import MedallionConfig, run_medallion
 
@@ -191,23 +166,3 @@ def test_medallion_clustering_keeps_rows(spark, raw_root):
         assert res.rows[f"{table}_clustered"] == res.rows[table]
     fact = spark.read.parquet(res.paths["fact_show_data"])
     assert "language" in fact.columns and fact.count() == res.rows["fact_show_data"]
-
-
-def test_refresh_fact_with_null_and_escaped_partitions(spark, silver_layer):
-    e, g, c = (silver_layer[k] for k in ("episodes", "genres", "cast"))
-    # shows 1 and 5 without a language, show 2 in a partition whose folder name is escaped
-    odd = F.when(F.col("show_id").isin(1, 5), F.lit(None)).when(F.col("show_id") == 2, F.lit("x:y")).otherwise(F.col("language"))
-    s = silver_layer["shows"].withColumn("language", odd.cast("string"))
-    path = shared_path(spark, "t", "fact3")
-    tables.write_table(silver.build_fact(e, s, g, c, timestamps=False), path, partition_by=["language"])
-    # show 2 leaves x:y for en, show 5 is refreshed in the NULL partition that show 1 shares
-    s2 = s.withColumn("language", F.when(F.col("show_id") == 2, F.lit("en")).otherwise(F.col("language")))
-    incremental.refresh_fact(spark, path, spark.createDataFrame([(2,), (5,)], "show_id bigint"), e, s2, g, c)
-    got = spark.read.parquet(path).select(*silver.FACT_COLUMNS)
-    want = silver.build_fact(e, s2, g, c, timestamps=False).select(*silver.FACT_COLUMNS)
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    only_null = shared_path(spark, "t", "fact4")
-    s3 = s.withColumn("language", F.lit(None).cast("string"))
-    tables.write_table(silver.build_fact(e, s3, g, c, timestamps=False), only_null, partition_by=["language"])
-    incremental.refresh_fact(spark, only_null, spark.createDataFrame([(1,)], "show_id bigint"), e, s3, g, c)
-    assert spark.read.parquet(only_null).count() == silver.build_fact(e, s3, g, c, timestamps=False).count()

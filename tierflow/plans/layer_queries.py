@@ -17,6 +17,7 @@ from tierflow.plans.registry import register
 from tierflow.schemas import BRONZE_EPISODES, BRONZE_SHOWS, REQUIRED_BRONZE_SHOW_COLUMNS, REQUIRED_SILVER_SHOW_COLUMNS
 from tierflow.session import shared_path
 from tierflow.sinks import tables
+from tierflow.sinks.versions import VersionedTable
 from tierflow.sources import ingest
 from tierflow.streaming import incremental
 
@@ -143,7 +144,7 @@ FROM shows WHERE rating_average < 0
     ),
 )
 def q_evolve_union(spark, sf):
-    """SNK-1 evolution: a later snapshot adds a column; Parquet mergeSchema reads both."""
+    """SNK-1 evolution: snapshots of two schemas, read together by column name."""
     root = shared_path(spark, "tables", "shows_evolving")
     s = A.shows(spark, sf)
     s.select("show_id", "show_name").write.parquet(f"{root}/snapshot=1")
@@ -155,6 +156,40 @@ def q_evolve_union(spark, sf):
     return ingest.evolve_union([first, second]).select("show_id", "show_name", "tier", "snapshot")
 
 
+@register(
+    "evolving_write",
+    oracle(
+        """
+SELECT show_id, CAST(rating_average AS FLOAT)::DOUBLE AS rating_average, runtime::BIGINT AS runtime, show_name, NULL::VARCHAR AS tier,
+       NULL::VARCHAR AS network_name, network_country
+FROM shows WHERE rating_average >= 0
+UNION ALL
+SELECT show_id, rating_average, runtime, NULL, 'debt', network_name, NULL FROM shows WHERE rating_average < 0
+"""
+    ),
+)
+def q_evolving_write(spark, sf):
+    """SNK-1: an appended version adds columns, one of them inside a struct, leaves others away and widens two."""
+    shows = A.shows(spark, sf)
+    table = VersionedTable(spark, shared_path(spark, "tables", "shows_versions"))
+    debt = F.col("rating_average") < 0
+    table.publish(shows.filter(~debt).select("show_id", F.col("rating_average").cast("float").alias("rating_average"), "runtime", "show_name", F.struct("network_country").alias("network")))
+    later = shows.filter(debt).select("show_id", F.struct("network_name").alias("network"), "rating_average", F.col("runtime").cast("bigint").alias("runtime"), F.lit("debt").alias("tier"))
+    table.publish(later, mode="append", schema="merge")
+    return table.read().select("show_id", "rating_average", "runtime", "show_name", "tier", "network.network_name", "network.network_country")
+
+
+@register("replacing_write", oracle("SELECT show_name AS show_id, language, rating_average::VARCHAR AS rating FROM shows WHERE rating_average >= 0"))
+def q_replacing_write(spark, sf):
+    """SNK-2: a full refresh whose columns, one of another type under the same name, replace the table's."""
+    shows = A.shows(spark, sf)
+    table = VersionedTable(spark, shared_path(spark, "tables", "shows_replaced"))
+    table.publish(shows.select("show_id", "show_name", "rating_average"))
+    fresh = shows.filter(F.col("rating_average") >= 0)
+    table.publish(fresh.select(F.col("show_name").alias("show_id"), "language", F.col("rating_average").cast("string").alias("rating")), schema="replace")
+    return tables.publish_view(spark, "shows_replaced", table.read())
+
+
 FACT_ORACLE = oracle(
     """
 SELECT DISTINCT e.show_id, s.show_name, s.language, g.genre, e.season, e.episode_name, e.airdate,
@@ -349,18 +384,34 @@ def q_stream_ingest(spark, sf):
     return silver.silver_episodes(bronze, timestamps=False).select(*EP_SELECT)
 
 
+@register("stream_upsert_latest", oracle(f"SELECT {EPISODE_COLS} FROM episodes"))
+def q_stream_upsert(spark, sf):
+    """STR-1/T-1: snapshots of overlapping keys land between runs, one file a batch; only the newest of each key stays.
+
+    The first snapshot holds older copies of the late seasons (runtime 0), the second their
+    present state; a last run from a new checkpoint reads every file again."""
+    raw = shared_path(spark, "raw")
+    table = VersionedTable(spark, shared_path(spark, "tables", "bronze_episodes_latest"))
+    eps = A.bronze_episodes(spark, sf)
+    old = eps.withColumn("runtime", F.when(F.col("season") > 2, F.lit(0).cast("bigint")).otherwise(F.col("runtime")))
+    for snapshot, rows, name in (("s1", old, "first"), ("s2", eps.filter(F.col("season") > 2), "first"), ("s2", None, "again")):
+        if rows is not None:
+            ingest.land_snapshot(rows, raw, "episodes", snapshot=snapshot)
+        ckpt = f"{table.root}/checkpoint_{name}"
+        incremental.ingest_upsert(spark, f"{raw}/episodes", BRONZE_EPISODES, table, ckpt, {"id": "id"}, max_files_per_trigger=8, buckets=8)
+    return silver.silver_episodes(table.read(), timestamps=False).select(*EP_SELECT)
+
+
 @register("refresh_fact", FACT_ORACLE)
 def q_refresh_fact(spark, sf):
-    """STR-2: fact built from the first half of the episodes by air date, then refreshed for shows with newer episodes."""
+    """STR-2: fact built from the first half of the episodes by air date, then refreshed by its mark; a third run finds nothing new."""
     shows, genres, cast = A.shows(spark, sf), A.genres(spark, sf), A.cast(spark, sf)
     episodes = A.episodes(spark, sf)
     middle = episodes.agg(F.percentile_approx("airdate", F.lit(0.5)).alias("d")).first()["d"]
-    initial = silver.build_fact(episodes.filter(F.col("airdate") <= F.lit(middle)), shows, genres, cast, timestamps=False)
-    path = shared_path(spark, "tables", "fact_refresh")
-    tables.write_table(initial, path, partition_by=["language"])
-    changed = incremental.changed_keys(episodes, "show_id", "airdate", middle)
-    incremental.refresh_fact(spark, path, changed, episodes, shows, genres, cast)
-    return spark.read.parquet(path).select(*silver.FACT_COLUMNS)
+    table = VersionedTable(spark, shared_path(spark, "tables", "fact_refresh"))
+    for rows in (episodes.filter(F.col("airdate") <= F.lit(middle)), episodes, episodes):
+        incremental.refresh_fact(table, rows, shows, genres, cast, {"episodes": "airdate"})
+    return table.read().select(*silver.FACT_COLUMNS)
 
 
 # ------------------------------------------------------------ end to end

@@ -1,29 +1,52 @@
-"""Incremental processing: file-stream ingestion and partition-level fact refresh.
-
-STR-1 ``ingest_incremental``: Structured Streaming over the raw snapshot
-folder with ``trigger(availableNow=True)``: each run processes only files the
-checkpoint has not seen, then stops. Re-running adds nothing; the checkpoint
-lives in the shared folder, so a restarted driver resumes where it left off.
-
-STR-2 ``refresh_fact``: recompute the fact rows of the shows that changed
-since a high-water mark and replace only the partitions they touch
-(``partitionOverwriteMode=dynamic``). A partition is replaced as a whole, so
-the unchanged rows of a touched partition are written back too. The staged
-rows are first written to the shared folder: that cuts the lineage, and the
-job never reads and overwrites the same path at once.
+"""Incremental processing: file-stream ingestion, keyed upserts and fact refresh by a stored mark.
+
+STR-1 ``ingest_incremental`` appends raw files to a Parquet table, ``ingest_upsert`` keeps
+the newest snapshot of each key in a versioned table. Both are Structured Streaming over
+the raw snapshot folder with ``trigger(availableNow=True)``: each run processes only files
+the checkpoint has not seen, at most ``max_files_per_trigger`` a batch, then stops. The
+checkpoint lives in the shared folder, so a restarted driver resumes where it left off.
+
+STR-2 ``refresh_fact`` recomputes the fact rows of the shows that changed since the mark
+its table keeps, and publishes the partitions they touch, with the new mark, as the next
+version. A partition is replaced as a whole, so the unchanged rows of a touched partition
+are written again; what a reader holds is never overwritten.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tierflow.operators.silver import build_fact
 from tierflow.schemas import CORRUPT_COLUMN, with_corrupt_column
-from tierflow.session import shared_path
-from tierflow.sinks.tables import write_table
-from tierflow.sources.ingest import SNAPSHOT_COLUMN
+from tierflow.session import ensure_checkpoint_dir
+from tierflow.sinks.tables import observed_rows
+from tierflow.sinks.versions import Version, VersionedTable
+from tierflow.sources.ingest import METADATA_COLUMNS, SNAPSHOT_COLUMN, evolve_union, latest_per_key, with_ingest_metadata
+
+BUCKET = "_key_bucket"
+MAX_PARTS = 16
+
+
+def _raw_stream(spark: SparkSession, source_dir: str, schema: StructType, source: str, max_files: int) -> DataFrame:
+    full = StructType(with_corrupt_column(schema).fields + [StructField(SNAPSHOT_COLUMN, StringType(), True)])
+    raw = (
+        spark.readStream.schema(full)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+        .option("maxFilesPerTrigger", max_files)
+        .json(source_dir)
+    )
+    return with_ingest_metadata(raw, source)
+
+
+def _stream_id(spark: SparkSession) -> str:
+    """Inside foreachBatch: the id of the stream, which its checkpoint keeps across runs."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
 def ingest_incremental(
@@ -33,97 +56,158 @@ def ingest_incremental(
     target_path: str,
     checkpoint_path: str,
     source: str = "files",
+    max_files_per_trigger: int = 10_000,
 ) -> int:
-    """Process new raw files into a Parquet Bronze table; return rows appended this run."""
-    full = StructType(with_corrupt_column(schema).fields + [StructField(SNAPSHOT_COLUMN, StringType(), True)])
-    stream = (
-        spark.readStream.schema(full)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-        .json(source_dir)
-        .withColumns(
-            {
-                "_ingestion_timestamp": F.current_timestamp(),
-                "_source": F.lit(source),
-                "_source_file": F.col("_metadata.file_path"),
-            }
-        )
-    )
+    """Append new raw files to a Parquet Bronze table; return the rows appended this run.
+
+    The file sink commits a batch once, whatever is replayed; rows are counted by a
+    metric observed in the stream itself, batch by batch.
+    """
+    counted = _raw_stream(spark, source_dir, schema, source, max_files_per_trigger).observe("ingested", F.count(F.lit(1)).alias("rows"))
     query = (
-        stream.writeStream.format("parquet")
+        counted.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint_path)
         .trigger(availableNow=True)
         .start(target_path)
     )
     query.awaitTermination()
-    return int(sum(p.get("numInputRows", 0) for p in query.recentProgress))
+    seen = {p["batchId"]: p["observedMetrics"]["ingested"]["rows"] for p in query.recentProgress if "ingested" in p["observedMetrics"]}
+    return int(sum(seen.values()))
+
+
+def key_bucket(df: DataFrame, keys: Mapping[str, str], buckets: int) -> Column:
+    """The bucket of a row by its key or, where a part of the key is NULL, by its content."""
+    parts = [F.col(path) for path in keys.values()]
+    keyed = reduce(lambda a, b: a & b, [p.isNotNull() for p in parts])
+    content = [c for c in df.columns if c not in METADATA_COLUMNS and c not in (SNAPSHOT_COLUMN, BUCKET)]
+    return F.pmod(F.when(keyed, F.xxhash64(*parts)).otherwise(F.xxhash64(*content)), F.lit(buckets)).cast("int")
+
+
+def upsert_batch(table: VersionedTable, batch: DataFrame, keys: Mapping[str, str], marks: Mapping[str, str], buckets: int) -> int:
+    """Publish the table with a batch merged in: of each key the rows of its newest snapshot; return the batch's rows.
+
+    Rows the table has from a file that the batch holds again go first, so a file read
+    twice counts once. Only the buckets of the batch's keys are written again.
+    """
+    ensure_checkpoint_dir(batch.sparkSession)
+    seen = Observation()
+    counted = batch.observe(seen, F.count(F.lit(1)).alias("rows"))
+    # Read once: the batch feeds the list of buckets, the files it holds and the merge.
+    rows = counted.withColumn(BUCKET, key_bucket(batch, keys, buckets)).checkpoint(eager=True)
+    touched = sorted(r[0] for r in rows.select(BUCKET).distinct().collect())  # at most ``buckets`` numbers
+    if not touched:
+        if table.current() is not None:
+            table.mark(marks)
+        return 0
+    before = table.current()
+    merged, rows_gone = rows, 0
+    if before is not None:
+        old = table.read().filter(F.col(BUCKET).isin(touched))
+        rows_gone = old.count()
+        old = old.join(rows.select("_source_file").distinct(), "_source_file", "left_anti")
+        merged = evolve_union([old, rows])
+    named = merged.withColumns({k: F.col(path) for k, path in keys.items() if k != path})
+    latest = latest_per_key(named, list(keys), [SNAPSHOT_COLUMN], (*METADATA_COLUMNS, BUCKET)).select(*merged.columns)
+    if before is None:
+        table.publish(latest, partition_by=[BUCKET], marks=marks)
+    else:
+        done = table.replace_partitions(latest, [str(b) for b in touched], rows_gone=rows_gone, marks=marks)
+        if len(done.parts) > MAX_PARTS:
+            table.compact()
+    return observed_rows(seen)
+
+
+def ingest_upsert(
+    spark: SparkSession,
+    source_dir: str,
+    schema: StructType,
+    table: VersionedTable,
+    checkpoint_path: str,
+    keys: Mapping[str, str],
+    source: str = "files",
+    max_files_per_trigger: int = 10_000,
+    buckets: int = 64,
+) -> int:
+    """Keep the newest snapshot of each key (T-1) of all raw files in ``table``; return the rows read this run.
+
+    ``keys``: column name -> path of each part of the key. The table's commit holds the
+    stream's id and batch id, so a batch that is replayed after a failure adds nothing; a
+    stream that starts anew, with a new checkpoint, reads all files again and leaves the
+    same rows.
+    """
+    read: list[int] = []
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        mark = f"stream:{_stream_id(batch.sparkSession)}"
+        if int(table.marks().get(mark, -1)) < batch_id:
+            read.append(upsert_batch(table, batch, keys, {mark: str(batch_id)}, buckets))
+
+    query = (
+        _raw_stream(spark, source_dir, schema, source, max_files_per_trigger)
+        .writeStream.foreachBatch(merge)
+        .option("checkpointLocation", checkpoint_path)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return sum(read)
 
 
-def changed_keys(df: DataFrame, key: str, ts_col: str, since) -> DataFrame:
-    """Keys with records newer than the high-water mark ``since``."""
-    return df.filter(F.col(ts_col) > F.lit(since)).select(key).distinct()
+def _micros(c: str) -> Column:
+    return F.unix_micros(F.col(c).cast("timestamp"))
 
 
-def _delete_files(spark: SparkSession, files: list[str]) -> None:
-    """Delete files by their (escaped) metadata paths, and the folders that become empty."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    folders = {}
-    for f in files:
-        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f))
-        fs = path.getFileSystem(conf)
-        fs.delete(path, False)
-        folders[path.getParent().toString()] = (fs, path.getParent())
-    for fs, folder in folders.values():
-        if not any(s.getPath().getName().startswith("part-") for s in fs.listStatus(folder)):
-            fs.delete(folder, True)
+def changed_keys(df: DataFrame, key: str, ts_col: str, since: int | None, until: int) -> DataFrame:
+    """Keys with records newer than the mark ``since`` (None: all), up to ``until``; both in microseconds."""
+    late = _micros(ts_col) <= until
+    return df.filter(late if since is None else late & (_micros(ts_col) > since)).select(key).distinct()
 
 
 def refresh_fact(
-    spark: SparkSession,
-    fact_path: str,
-    changed: DataFrame,
+    table: VersionedTable,
     episodes: DataFrame,
     shows: DataFrame,
     genres: DataFrame,
     cast: DataFrame,
+    stamps: Mapping[str, str],
     partition_col: str = "language",
     key: str = "show_id",
-) -> int:
-    """Refresh the fact rows of ``changed`` keys in place; return rows staged.
-
-    Affected keys may leave a partition (their ``language`` changed): both the
-    old and the new partitions are rewritten (NULL is a partition like any
-    other), and the files of a partition left empty are removed afterwards, so a
-    failure in between never leaves rows out.
+    mark: str = "high_water",
+) -> Version | None:
+    """STR-2: bring the fact up to date with its inputs; None, and nothing written, if nothing is new.
+
+    ``stamps`` names the stamp column of each input that has one (``episodes``, ``shows``,
+    ``genres``, ``cast``); records with a stamp above the table's mark are new, those
+    without a stamp never are. The new mark is the largest stamp found before anything
+    is computed, so what arrives meanwhile is new to the next run. Without a version
+    the whole fact is built. Affected keys may leave a partition (their ``language``
+    changed): the old and the new partitions are replaced, NULL like any other.
     """
-    keys = changed.select(key).distinct()
+    inputs = {"episodes": episodes, "shows": shows, "genres": genres, "cast": cast}
+    tops = [inputs[name].agg(F.max(_micros(c)).alias("top")) for name, c in stamps.items()]
+    until = reduce(DataFrame.union, tops).agg(F.max("top")).first()[0]
+    before = table.current()
+    since = int(before.marks[mark]) if before is not None and mark in before.marks else None
+    if before is None:
+        fact = build_fact(episodes, shows, genres, cast, timestamps=False)
+        return table.publish(fact, partition_by=[partition_col], rebalance=True, marks={} if until is None else {mark: str(until)})
+    if until is None or (since is not None and until <= since):
+        return None
+    ensure_checkpoint_dir(table.spark)
+    found = [changed_keys(inputs[name], key, c, since, until) for name, c in stamps.items()]
+    keys = reduce(DataFrame.union, found).distinct().checkpoint(eager=True)
 
     def only(df: DataFrame) -> DataFrame:
         return df.join(keys, key, "left_semi")
 
     fresh = build_fact(only(episodes), only(shows), only(genres), only(cast), timestamps=False)
-    # With the declared schema the partition column keeps its type whatever its values look like.
-    current = spark.read.schema(fresh.schema).parquet(fact_path)
-    old = current.join(keys, key, "left_semi").select(partition_col)
-    new = only(shows).select(F.col(partition_col).alias(partition_col))
-    touched = old.union(new).distinct().withColumnRenamed(partition_col, "_tf_part")
-    in_touched = F.col(partition_col).eqNullSafe(F.col("_tf_part"))
-    kept = current.join(touched, in_touched, "left_semi").join(keys, key, "left_anti")
-    staged_rows = kept.select(*current.columns).unionByName(fresh.select(*current.columns))
-
-    stage = shared_path(spark, "staging", "fact_refresh")
-    staged = write_table(staged_rows, stage, partition_by=[partition_col])
-    staged_df = spark.read.schema(fresh.schema).parquet(stage) if staged else None
-
-    # Files of touched partitions that are left without rows: dynamic overwrite keeps
-    # them, so they go after the replacement stands. Paths come from the files themselves.
-    emptied = current.select(partition_col, F.col("_metadata.file_path").alias("_tf_file")).join(touched, in_touched, "left_semi")
-    if staged_df is not None:
-        left = staged_df.select(F.col(partition_col).alias("_tf_part")).distinct()
-        emptied = emptied.join(left, in_touched, "left_anti")
-    files = [r[0] for r in emptied.select("_tf_file").distinct().collect()]
-    if staged_df is not None:
-        write_table(staged_df, fact_path, mode="overwrite", partition_by=[partition_col], dynamic_overwrite=True)
-    _delete_files(spark, files)
-    return staged
+    current = table.read()
+    value = F.col(partition_col).cast("string").alias("value")
+    # Values of the partition column, few by choice of the column.
+    touched = [r[0] for r in only(current).select(value).union(only(shows).select(value)).distinct().collect()]
+    here = F.coalesce(F.col(partition_col).cast("string").isin([v for v in touched if v is not None]), F.lit(False))
+    if None in touched:
+        here = here | F.col(partition_col).isNull()
+    old = current.filter(here)
+    staged = old.join(keys, key, "left_anti").select(*current.columns).unionByName(fresh.select(*current.columns))
+    return table.replace_partitions(staged, touched, rows_gone=old.count(), marks={mark: str(until)})
