@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierflow.llm.fm_index import FMIndex
-from tierflow.llm.storage import written
+from tierflow.llm.storage import shipped, written
 from tierflow.llm.words import PUNCTUATION, Scanner, byte_table, text_slices
 
 WINDOW_WORDS = 10
@@ -166,11 +166,10 @@ def contamination(
     out = T.StructType([*documents.select(*carry).schema.fields, T.StructField("n_words", T.LongType()), *[T.StructField(c, T.ArrayType(T.LongType())) for c in ("spans", "items")]])
     blocks = _blocks(benchmark, item_col, item_text_col, window_words, block_words)
     head, second = next(blocks, None), next(blocks, None)
-    sc = documents.sparkSession.sparkContext
 
     def passed(rows: DataFrame, windows, schema) -> DataFrame:
-        sent = sc.broadcast(windows)
-        return rows.mapInArrow(lambda it: _search(it, sent.value), schema)
+        sent = shipped(documents.sparkSession, windows)
+        return rows.mapInArrow(lambda it: _search(it, sent()), schema)
 
     filled = [F.coalesce(F.col(c), F.array().cast("array<bigint>")).alias(c) for c in ("spans", "items")]
     if second is None:
@@ -301,8 +300,8 @@ def decontaminated(
     if head is None:
         return held.withColumn("n_hit", F.lit(0).cast("long"))
     if second is None:
-        sent = documents.sparkSession.sparkContext.broadcast(head)
+        sent = shipped(documents.sparkSession, head)
         schema = T.StructType([*held.schema.fields, T.StructField("n_hit", T.LongType())])
-        return held.mapInArrow(lambda it: _clean(it, sent.value), schema)
+        return held.mapInArrow(lambda it: _clean(it, sent()), schema)
     found = contamination(held, benchmark, text_col="clean_text", item_col=item_col, item_text_col=item_text_col, window_words=window_words, block_words=block_words, carry=held.columns)
     return remove_spans(with_hits(found), "clean_text", "spans").select(*held.columns, "n_hit")

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierflow.llm.storage import shipped
 from tierflow.llm.words import mix, text_slices
 
 BUCKETS = 1 << 16
@@ -179,5 +180,5 @@ def predict(df: DataFrame, model: Model, text_col: str = "text", carry: list[str
         raise ValueError(f"carried columns clash with output columns: {sorted(clash)}")
     added = [("lang_pred", T.StringType()), ("score", T.DoubleType()), ("ambiguous", T.BooleanType()), *((c, T.BooleanType()) for c in letters)]
     schema = T.StructType([*df.select(*carry).schema.fields, *[T.StructField(n, t) for n, t in added]])
-    sent = df.sparkSession.sparkContext.broadcast(model)
-    return df.select(*carry, F.col(text_col).cast("string").alias("__text")).mapInArrow(lambda it: _predict(it, sent.value, letters), schema)
+    sent = shipped(df.sparkSession, model)
+    return df.select(*carry, F.col(text_col).cast("string").alias("__text")).mapInArrow(lambda it: _predict(it, sent(), letters), schema)

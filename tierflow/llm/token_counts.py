@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierflow.llm.storage import shipped
 from tierflow.llm.words import Scanner, byte_table, text_slices
 
 END = 256
@@ -171,5 +172,5 @@ def token_counts(df: DataFrame, pieces: list[tuple[int, ...]], text_col: str = "
     if clash:
         raise ValueError(f"carried columns clash with output columns: {sorted(clash)}")
     schema = T.StructType([*df.select(*carry).schema.fields, *[T.StructField(c, T.LongType()) for c in ("n_words", "n_tokens", "n_unknown")]])
-    sent = df.sparkSession.sparkContext.broadcast(Automaton(pieces))
-    return df.select(*carry, F.col(text_col).cast("string").alias("__text")).mapInArrow(lambda it: _count(it, sent.value), schema)
+    sent = shipped(df.sparkSession, Automaton(pieces))
+    return df.select(*carry, F.col(text_col).cast("string").alias("__text")).mapInArrow(lambda it: _count(it, sent()), schema)
