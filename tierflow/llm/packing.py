@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.llm.storage import written
-from tierflow.llm.words import Powers, Rolling, mix, text_slices
+from tierflow.llm.words import Powers, Rolling, mix, reduced, text_slices
 
 SEQUENCE_TOKENS = 1024
 SHARD_PIECES = 120_000
@@ -67,7 +67,7 @@ class Tokens:
             spec = json.load(f)
         self.special = [t["content"].encode() for t in spec["added_tokens"]]
         self.ranked = self._ranked(spec)
-        self.powers, self.values = Powers(0xD1342543DE82EF95), mix(np.arange(1, 257, dtype=np.uint64))
+        self.powers, self.values = Powers(0xD1342543DE82EF95), reduced(mix(np.arange(1, 257, dtype=np.uint64)))
         self.space, self.space_end, self.space_lead = map(_flags, (_SPACE, _SPACE_ENDS, _SPACE_LEADS))
         self._forget()
 
@@ -147,7 +147,7 @@ class Tokens:
         cut[offsets] = True
         cuts = np.flatnonzero(cut)
         begin, end = cuts[:-1], cuts[1:]
-        h = Rolling(self.values[raw], self.powers).of(begin, end)
+        h = Rolling([v[raw] for v in self.values], self.powers).of(begin, end)
         distinct, at, which = np.unique(h, return_index=True, return_inverse=True)
         if len(self.keys) > KEPT_CHUNKS:
             self._forget()

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierflow.llm.storage import written
-from tierflow.llm.words import WHITE, Powers, Rolling, Scanner, byte_table, mix, text_slices, texts_of
+from tierflow.llm.words import WHITE, Powers, Rolling, Scanner, byte_table, mix, reduced, text_slices, texts_of
 
 MIN_WORDS = 20
 ANCHOR_WORDS = 8
@@ -63,9 +63,6 @@ class _Windows:
         self.scanner = Scanner(byte_table(WHITE, lower=False))
         self.short, self.long = Powers(0xA0761D6478BD642F), Powers(0xE7037ED1A0B428DB)
 
-    def full(self, h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return Rolling(h, self.long).of(start, end)
-
     def runs(self, raw: np.ndarray, offsets: np.ndarray):
         """(key, words, text, start, n) of the runs of all texts of a slice."""
         h, _, _, first = self.scanner.scan(raw, offsets)
@@ -74,7 +71,8 @@ class _Windows:
             none = np.zeros(0, np.int64)
             return none.view(np.uint64), none.view(np.uint64), none, none, none
         at = np.arange(n - k + 1)
-        low, pos = Rolling(h, self.short).of(at, at + k), at
+        r = reduced(h)
+        low, pos = Rolling(r, self.short).of(at, at + k), at
         grams, width = low, 1
         while width < span:  # leftmost smallest of ever wider spans
             step = min(width, span - width)
@@ -89,7 +87,7 @@ class _Windows:
         cut = np.flatnonzero(new)
         size = np.diff(np.concatenate([cut, [len(pos)]]))
         begin, text, pos = valid[cut], text[cut], pos[cut]
-        words = Rolling(h, self.long).of(begin, begin + size + self.depth - 1)
+        words = Rolling(r, self.long).of(begin, begin + size + self.depth - 1)
         shape = (pos - begin).astype(np.uint64) << np.uint64(32) | size.astype(np.uint64)
         return grams[pos], mix(words ^ mix(shape)), text, begin - first[text], size
 
@@ -199,8 +197,7 @@ def _leaves(batches, depth: int, anchor: int):
             text = np.repeat(text, n)
             at = begin + first[text]
             at_end = np.minimum(at + windows.depth, len(h))
-            near = Rolling(h, windows.short).of(at, at_end)
-            whole = windows.full(h, at, at_end)
+            near, whole = (Rolling(reduced(h), powers).of(at, at_end) for powers in (windows.short, windows.long))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(near.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(ids[text + row]), pa.array(numbers[text + row]), pa.array(begin)],
                 ["key", "words", "id", "row", "start"],

@@ -2,7 +2,7 @@
 
 ``scan`` finds every word of a slice of texts at once and gives each a 64-bit
 hash that depends on its bytes alone; ``Rolling`` hashes any run of consecutive
-words in constant time. Both are exact up to 64-bit collisions.
+words in constant time: polynomials modulo two primes, 64 bits together.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ import numpy as np
 import pyarrow as pa
 
 _MULT = 0x9E3779B97F4A7C15
-_MASK = (1 << 64) - 1
 
 # Bytes of texts that are held as numpy arrays at once (a longer single text is held alone).
 SLICE_BYTES = 1 << 20
@@ -65,33 +64,46 @@ def text_slices(col: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, n
         row = end
 
 
+# The largest primes below 2**32. Polynomials modulo a power of two are no hashes: there,
+# unequal Thue-Morse words meet whatever the base is.
+PRIMES = (4294967291, 4294967279)
+
+
 class Powers:
-    """Powers of an odd number and of its inverse modulo 2**64, grown on demand."""
+    """Powers of a number and of its inverse modulo each of PRIMES, grown on demand."""
 
     def __init__(self, base: int):
-        self.base, self.inverse = base | 1, pow(base | 1, -1, 1 << 64)
-        self.up, self.down = np.ones(1, np.uint64), np.ones(1, np.uint64)
-
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        with np.errstate(over="ignore"):
-            while len(self.up) < n:
-                k = len(self.up)
-                self.up = np.concatenate([self.up, self.up * np.uint64(pow(self.base, k, 1 << 64))])
-                self.down = np.concatenate([self.down, self.down * np.uint64(pow(self.inverse, k, 1 << 64))])
+        self.bases = [(base >> 32) % PRIMES[0] or 3, base % PRIMES[1] or 5]
+        self.up = [np.ones(1, np.uint64) for _ in PRIMES]
+        self.down = [np.ones(1, np.uint64) for _ in PRIMES]
+
+    def upto(self, n: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        for i, p in enumerate(PRIMES):
+            inverse = pow(self.bases[i], -1, p)
+            while len(self.up[i]) < n:
+                k = len(self.up[i])
+                for powers, base in ((self.up, self.bases[i]), (self.down, inverse)):
+                    powers[i] = np.concatenate([powers[i], powers[i] * np.uint64(pow(base, k, p)) % np.uint64(p)])
         return self.up, self.down
 
 
+def reduced(values: np.ndarray) -> list[np.ndarray]:
+    """64-bit values modulo each of PRIMES."""
+    return [values % np.uint64(p) for p in PRIMES]
+
+
 class Rolling:
-    """Hashes of runs values[start:start+length] of 64-bit values."""
+    """Hashes of runs values[start:start+length] of 64-bit values, given modulo each of PRIMES (fewer than 2**32 of them)."""
 
-    def __init__(self, values: np.ndarray, powers: Powers):
-        self.up, self.down = powers.upto(len(values) + 1)
-        with np.errstate(over="ignore"):
-            self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * self.up[: len(values)], dtype=np.uint64)])
+    def __init__(self, values: list[np.ndarray], powers: Powers):
+        up, self.down = powers.upto(len(values[0]) + 1)
+        self.sums = []
+        for v, u, p in zip(values, up, PRIMES, strict=True):
+            self.sums.append(np.concatenate([np.zeros(1, np.uint64), np.cumsum(v * u[: len(v)] % np.uint64(p), dtype=np.uint64)]))
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return mix((self.sums[end] - self.sums[start]) * self.down[start])
+        high, low = ((s[end] - s[start]) % np.uint64(p) * d[start] % np.uint64(p) for s, d, p in zip(self.sums, self.down, PRIMES, strict=True))
+        return mix(high << np.uint64(32) | low)
 
 
 class Scanner:
@@ -99,8 +111,9 @@ class Scanner:
 
     def __init__(self, table: np.ndarray):
         self.table = table
-        self.values = _splitmix(256, 77)
-        self.values[0] = 0
+        values = _splitmix(256, 77)
+        values[0] = 0
+        self.values = reduced(values)
         self.powers = Powers(0xD1342543DE82EF95)
 
     def scan(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -119,7 +132,7 @@ class Scanner:
             after[:-1] = inside[1:]
             after[edge[edge > 0] - 1] = False
         ends = np.flatnonzero(inside & ~after) + 1
-        h = Rolling(self.values[b], self.powers).of(starts, ends)
+        h = Rolling([v[b] for v in self.values], self.powers).of(starts, ends)
         return h, starts, ends, np.searchsorted(starts, offsets)
 
 
