@@ -81,16 +81,15 @@ def split_hot(df: DataFrame, keys: Sequence[str], limit: int, sized_by: DataFram
     ``sized_by`` is a cheaper frame with the keys and at least as many rows of each (the
     input before a join or filter); only its key columns are read.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     sizes = (df if sized_by is None else sized_by).groupBy(*keys).agg(F.count(F.lit(1)).alias("_tf_n")).where(F.col("_tf_n") > limit)
-    if not keys:
-        rows = sizes.first()
-        return Split(None, df, rows[0], 1) if rows else Split(df, None)
-    hot = sizes.checkpoint(eager=True)
-    n, rows = hot.agg(F.count(F.lit(1)), F.sum("_tf_n")).first()
+    # One job, map-side combined, is all that data without a hot key pays.
+    n, rows = sizes.agg(F.count(F.lit(1)), F.sum("_tf_n")).first()
     if not n:
         return Split(df, None)
-    hot = hot.drop("_tf_n")
+    ensure_checkpoint_dir(df.sparkSession)
+    if not keys:
+        return Split(None, df, rows, 1)
+    hot = sizes.drop("_tf_n").checkpoint(eager=True)
     return Split(join_back(df, hot, keys, "left_anti", n), join_back(df, hot, keys, "left_semi", n), rows, n)
 
 
