@@ -181,11 +181,11 @@ def _classes(batches):
 
 
 def _leaves(batches, depth: int, anchor: int):
-    """Rows (id, row, text, runs): a row for each window of the runs, with all of its words hashed."""
+    """Rows begin with (id, row, text) and end in the runs: a row for each window of the runs, with all of its words hashed."""
     windows = _Windows(depth, anchor)
     for batch in batches:
         ids, numbers = (c.to_numpy(zero_copy_only=False) for c in batch.columns[:2])
-        runs = batch.column(3)
+        runs = batch.column(batch.num_columns - 1)
         bounds = np.frombuffer(runs.buffers()[1], np.int32)[runs.offset : runs.offset + len(runs) + 1]
         packed = runs.values.to_numpy(zero_copy_only=False)
         for row, raw, off in text_slices(batch.column(2)):
@@ -214,13 +214,17 @@ def _repeated_leaves(batches):
 
 
 def repeated_windows(texts: DataFrame, depth: int, anchor: int) -> DataFrame:
-    """(row, start, n): n windows from word `start` on that occur earlier. texts: (id, row, text), id not null, each row once."""
-    runs = texts.mapInArrow(lambda it: _runs(it, depth, anchor), RUN)
+    """(row, start, n): n windows from word `start` on that occur earlier. texts: (id, row, text, ...), id not null, each row once.
+
+    All columns of texts go into the join with the open runs, so that the caller's join of texts
+    with the result reads the same shuffled texts.
+    """
+    runs = texts.select("id", "row", "text").mapInArrow(lambda it: _runs(it, depth, anchor), RUN)
     sorted_runs = runs.repartition("key").sortWithinPartitions("key", "words", "id", "row", "start")
     classes = written(sorted_runs.mapInArrow(_classes, "row long, start long, n long, several boolean"), "classes")
     packed = F.collect_list(F.shiftleft("start", 8).bitwiseOR(F.col("n"))).alias("runs")
     several = classes.where("several").groupBy("row").agg(packed)
-    leaves = texts.join(several, "row").select("id", "row", "text", "runs").mapInArrow(lambda it: _leaves(it, depth, anchor), "key long, words long, id long, row long, start long")
+    leaves = texts.join(several, "row").select(*texts.columns, "runs").mapInArrow(lambda it: _leaves(it, depth, anchor), "key long, words long, id long, row long, start long")
     # A window in many documents is reduced before the shuffle by its run.
     sorted_leaves = leaves.repartition("key").sortWithinPartitions("key", "words", "id", "row", "start")
     late = sorted_leaves.mapInArrow(_repeated_leaves, "row long, start long, n long")
@@ -230,9 +234,9 @@ def repeated_windows(texts: DataFrame, depth: int, anchor: int) -> DataFrame:
 def _cut(batches, depth: int, carry: list[str]):
     for batch in (b.slice(at, CUT_ROWS) for b in batches for at in range(0, b.num_rows, CUT_ROWS)):
         names = [*carry, "n_words", "n_removed", "kept_text", "kept_sha256"]
-        spans = batch.column(2)
+        spans, kept_columns = batch.column(3), batch.column(4).flatten()
         n_words, n_removed, kept, digest = [], [], [], []
-        for i, text in enumerate(texts_of(batch.column(1))):
+        for i, text in enumerate(texts_of(batch.column(2))):
             words = text.split()
             n_words.append(len(words))
             hit = spans[i].as_py()
@@ -250,7 +254,7 @@ def _cut(batches, depth: int, carry: list[str]):
             digest.append(hashlib.sha256(line).hexdigest())
         texts = pa.array(kept, pa.binary()).cast(pa.string())
         given = [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), texts, pa.array(digest, pa.string())]
-        yield pa.RecordBatch.from_arrays([*batch.columns[3:], *given], names)
+        yield pa.RecordBatch.from_arrays([*kept_columns, *given], names)
 
 
 def dedup_substrings(
@@ -282,9 +286,10 @@ def dedup_substrings(
     number = F.monotonically_increasing_id() + F.when(F.col(id_col).cast("long").isNull(), F.lit(NO_ID_ROWS)).otherwise(F.lit(0))
     # Written, so that every reader and every retry sees the same numbers.
     texts = written(df.select(ident.alias("id"), number.alias("row"), text.alias("text"), F.struct(*kept).alias("kept")), "texts")
-    windows = repeated_windows(texts.select("id", "row", "text"), min_words, anchor_words)
+    texts = texts.where(F.col("row").isNotNull())  # as the inner join reads them: one shuffle of the texts serves both joins
+    windows = repeated_windows(texts, min_words, anchor_words)
     spans = windows.groupBy("row").agg(F.collect_list(F.shiftleft("start", 8).bitwiseOR(F.col("n"))).alias("spans"))
-    joined = texts.join(spans, "row", "left").select("row", "text", "spans", *[F.col("kept")[f"c{i}"].alias(f"c{i}") for i in range(len(carry))])
+    joined = texts.join(spans, "row", "left").select("id", "row", "text", "spans", "kept")
     added = [("n_words", T.LongType()), ("n_removed", T.LongType()), ("kept_text", T.StringType()), ("kept_sha256", T.StringType())]
     schema = T.StructType([*df.select(*carry).schema.fields, *[T.StructField(n, t) for n, t in added]])
     return joined.mapInArrow(lambda it: _cut(it, min_words, carry), schema)
