@@ -149,3 +149,19 @@ def test_reports_come_sorted(silver_layer):
     ):
         got = [(-r[value], r[name]) for r in out.collect()]
         assert got == sorted(got)
+
+
+def test_character_pages_of_a_person_of_millions_of_credits(spark):
+    """One person with three million credits, most of one character; pages hold the list in order."""
+    name = F.when(F.col("id") % 3 > 0, F.lit("Host")).when(F.col("id") % 9 == 0, F.lit(None)).otherwise(F.concat(F.lit("Guest "), (F.col("id") % 5000).cast("string")))
+    hot = spark.range(3_000_000).select(F.lit(1).cast("long").alias("person_id"), name.alias("character_name"))
+    few = spark.createDataFrame([(2, "b"), (2, "a"), (2, "a"), (2, None), (3, None)], "person_id long, character_name string")
+    pages = gold.character_pages(hot.union(few), page_items=1000, rows_per_chunk=500).cache()
+    shape = pages.filter("person_id = 1").agg(F.count("*"), F.min("items"), F.max("items"), F.sum("items"), F.max("page")).first()
+    named = hot.filter("character_name is not null").count()
+    assert tuple(shape) == (-(-named // 1000), named % 1000 or 1000, 1000, named, (named - 1) // 1000)
+    assert [tuple(r) for r in pages.filter("person_id > 1").collect()] == [(2, 0, 3, "a, a, b")]
+    # The pages in order are the sorted list.
+    texts = [r[0] for r in pages.filter("person_id = 1").orderBy("page").select("characters").collect()]
+    names = [n for t in texts for n in t.split(", ")]
+    assert len(names) == named and names == sorted(names)

@@ -166,3 +166,50 @@ def test_medallion_clustering_keeps_rows(spark, raw_root):
         assert res.rows[f"{table}_clustered"] == res.rows[table]
     fact = spark.read.parquet(res.paths["fact_show_data"])
     assert "language" in fact.columns and fact.count() == res.rows["fact_show_data"]
+
+
+def test_report_reads_each_table_once(spark):
+    """Duplicates, orphans, NULL keys and values against single checks; one scan a table."""
+    paths = {n: shared_path(spark, "t", n) for n in ("shows", "episodes", "cast")}
+    spark.createDataFrame([(1, 5.0, 30), (1, 11.0, 0), (2, None, None), (None, -1.0, 5), (None, 1.0, 5)], "show_id long, rating_average double, runtime int").write.parquet(paths["shows"])
+    spark.createDataFrame([(1, 1), (None, 1), (2, 9), (3, None)], "episode_id long, show_id long").write.parquet(paths["episodes"])
+    spark.createDataFrame([], "person_id long, show_id long").write.parquet(paths["cast"])
+    s, e, c = (spark.read.parquet(paths[n]) for n in ("shows", "episodes", "cast"))
+    report = quality.silver_report(s, e, c)
+    single = [
+        quality.row_checks(s, "silver_shows", "silver", {n: F.expr(p) for n, p in quality.SHOW_CHECKS.items()}),
+        quality.unique_key(s, "silver_shows", "silver", "show_id"),
+        quality.not_null(e, "silver_episodes", "silver", ["episode_id"]),
+        quality.referential(e, s, "show_id", "silver_episodes", "silver", "silver_shows"),
+        quality.not_null(c, "silver_cast", "silver", ["person_id"]),
+        quality.referential(c, s, "show_id", "silver_cast", "silver", "silver_shows"),
+    ]
+    want = {}
+    for part in single:
+        want |= _report_dict(part)
+    assert _report_dict(report) == want
+    assert want[("unique:show_id", "silver_shows")][0] == 2 and want[("references:silver_shows.show_id", "silver_episodes")][0] == 2
+    plan = quality.silver_report(s, e, c)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 3
+
+
+def test_corrupt_lines_are_observed_while_bronze_is_written(spark, raw_root):
+    from tierflow.plans.medallion import MedallionConfig, run_medallion
+
+    res = run_medallion(spark, MedallionConfig(raw_root=raw_root, out_root=shared_path(spark, "medallion_d"), cluster=False))
+    dq = {r["table_name"]: (r["violations"], r["total"]) for r in spark.read.parquet(res.paths["dq_report"]).filter("check = 'corrupt_lines'").collect()}
+    bronze = {n: spark.read.parquet(res.paths[n]) for n in ("bronze_shows", "bronze_episodes", "bronze_cast")}
+    assert dq == {n: (df.filter("_corrupt_record is not null").count(), df.count()) for n, df in bronze.items()}
+    assert dq["bronze_shows"][0] == 1
+
+
+def test_compaction_follows_the_bytes(spark):
+    many, few = shared_path(spark, "t", "many"), shared_path(spark, "t", "few")
+    tables.write_table(spark.range(20_000).repartition(12), many)
+    total = sum(r["bytes"] for r in tables.file_sizes(spark.read.parquet(many)).collect())
+    assert tables.compact_table(spark, many, few, target_bytes=total // 3 + 1) == 20_000
+    out = spark.read.parquet(few)
+    assert tables.file_sizes(out).count() == 3 and out.select("id").distinct().count() == 20_000
+    empty = shared_path(spark, "t", "empty")
+    tables.write_table(spark.range(0), empty)
+    assert tables.compact_table(spark, empty, shared_path(spark, "t", "empty2")) == 0

@@ -75,18 +75,44 @@ def test_top_per_group_keeps_ties(spark):
         assert got == sorted(r["id"] for r in slow.collect()) == expected
 
 
+def _skewed(spark):
+    # key 7 holds a third of the rows, NULL a twentieth, the others two hundredths each at most
+    k = F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 20 == 1, F.lit(None)).otherwise(F.col("id") % 50)
+    return spark.range(0, 5000).select(F.col("id").alias("row"), k.alias("k"))
+
+
 def test_salted_join_equals_plain_join(spark):
-    big = spark.range(0, 5000).select(
-        F.col("id").alias("row"), F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50).alias("k")
-    )  # key 7 holds a third of the rows
-    small = spark.range(0, 60).select(F.col("id").alias("k"), (F.col("id") * 10).alias("payload"))
-    plain = big.join(small, "k", "inner")
-    salted = joins.salted_join(big, small, "k", buckets=8, salt_cols=["row"])
-    assert sorted(salted.columns) == sorted(plain.columns)
-    assert salted.count() == plain.count()
-    assert salted.exceptAll(plain.select(*salted.columns)).count() == 0
-    left = joins.salted_join(big, small.filter("k < 10"), "k", buckets=4, how="left")
-    assert left.count() == big.count()
+    big, small = _skewed(spark), spark.range(0, 60).select(F.col("id").alias("k"), (F.col("id") * 10).alias("payload"))
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        for side in (small, small.filter("k < 10"), small.union(small)):
+            plain = big.join(side, "k", how)
+            for share in (0.03, 0.5):  # two hot keys, or none
+                salted = joins.salted_join(big, side, "k", buckets=8, how=how, salt_cols=["row"], share=share)
+                assert sorted(salted.columns) == sorted(plain.columns)
+                equal_rows(salted, plain)
+
+
+def test_only_heavy_hitters_are_replicated(spark):
+    big, small = _skewed(spark), spark.range(0, 60).select(F.col("id").alias("k"), (F.col("id") * 10).alias("payload"))
+    hot = joins.heavy_hitters(big, "k", 0.03)
+    exact = big.groupBy("k").count().filter("count >= 150").select(joins.key_hash("k").alias("h"))
+    assert sorted(hot) == sorted(r["h"] for r in exact.collect()) and len(hot) == 2
+    copies = joins.replicate_hot(small, "k", hot, 8, "salt")
+    assert copies.count() == 60 + 7 and {r["k"] for r in copies.filter("salt > 0").collect()} == {7}
+    assert joins.heavy_hitters(big, ["k", "row"], 0.01) == [] and joins.heavy_hitters(big.limit(0), "k") == []
+    # The salted big side: no (key, salt) holds much more than a share of the hot key.
+    salt = F.when(joins.key_hash("k").isin(hot), joins.hash_salt(["row"], 8)).otherwise(F.lit(0))
+    assert big.groupBy("k", salt).count().agg(F.max("count")).first()[0] < 1700 / 8 * 1.3
+
+
+def test_distinct_counts_without_expand(spark):
+    from tierflow.operators.reports import distinct_counts
+
+    df = _events_with_hot_key(spark).withColumn("k", F.when(F.col("k") == 5, F.lit(None)).otherwise(F.col("k")))
+    names = {"dn": "num", "dv": "v", "di": "id"}
+    fast = distinct_counts(df, ["k"], names, [F.count(F.lit(1)).alias("n")])
+    equal_rows(fast, df.groupBy("k").agg(F.count(F.lit(1)).alias("n"), *[F.count_distinct(c).alias(n) for n, c in names.items()]))
+    assert "Expand" not in fast._jdf.queryExecution().executedPlan().toString()
 
 
 def test_salted_join_rejects_right_outer(spark):

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierflow.functions.columns import repeated_list_string, rounded_avg, sorted_list_string
+from tierflow.operators.scans import ROWS_PER_CHUNK, segmented_scan
 from tierflow.operators.windows import global_rank, share_of_total
 
 GOLD_TS = "_gold_timestamp"
@@ -111,6 +112,28 @@ def top_cast_members(cast: DataFrame, timestamps: bool = True, distinct_shows: b
     return _stamp(out, timestamps)
 
 
+def character_pages(cast: DataFrame, page_items: int = 10_000, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+    """AGG-12: the sorted character list of each person in pages: person_id, page (from 0), items, characters.
+
+    ``top_cast_members`` gives the list as one string, which grows with a person's
+    credits; a page holds ``page_items`` entries at most, the pages of a person in order
+    are that list, and each page is a group of its own. A character's place in the list
+    is a running sum of counts (a segmented scan), so a person of any number of
+    credits or characters is spread over tasks.
+    """
+    counts = cast.filter(F.col("character_name").isNotNull()).groupBy("person_id", "character_name").agg(F.count(F.lit(1)).alias("n"))
+    placed = segmented_scan(counts, ["person_id"], ["character_name"], sums={"upto": F.col("n")}, rows_per_chunk=rows_per_chunk)
+    size, before = F.lit(page_items).cast("long"), F.col("upto") - F.col("n")
+    pages = F.sequence(F.floor(before / size), F.floor((F.col("upto") - 1) / size))
+    spread = placed.withColumn("page", F.explode(pages))
+    here = F.least("upto", (F.col("page") + 1) * size) - F.greatest(before, F.col("page") * size)
+    return (
+        spread.withColumn("items", here)
+        .groupBy("person_id", "page")
+        .agg(F.sum("items").alias("items"), repeated_list_string("character_name", "items").alias("characters"))
+    )
+
+
 def genre_statistics(genres: DataFrame, shows: DataFrame, timestamps: bool = True) -> DataFrame:
     """D-10: shows per genre, average show rating, rank and share of all rows.
 

@@ -7,18 +7,35 @@ the size of each input, not the product of episodes x cast x genres.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.functions.columns import beyond_exact, exact, exact_avg, rounded_avg
-from tierflow.operators.scans import ROWS_PER_CHUNK, segmented_scan
+from tierflow.operators.scans import ROWS_PER_CHUNK, join_back, segmented_scan
 
 
 ORDER_COLS = ("episode_number", "episode_id")
 
 
+def distinct_counts(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str], others: Sequence[Column] = ()) -> DataFrame:
+    """AGG-6: keys, ``others`` (aggregates) and COUNT(DISTINCT column) for each output name -> column.
+
+    Spark plans several distinct counts in one aggregate as an Expand, which copies every
+    row once for each of them before the shuffle. Here each is an aggregate of its own over
+    its two columns, (key, value) pairs made distinct in the tasks first and then
+    counted by key; the results, one row a key, meet in joins on the key, for which the
+    counts are already partitioned.
+    """
+    keys = list(keys)
+    out = df.groupBy(*keys).agg(*others) if others else df.select(*keys).distinct()
+    for name, column in columns.items():
+        pairs = df.select(*keys, F.col(column).alias("_tf_value")).distinct()
+        out = join_back(out, pairs.groupBy(*keys).agg(F.count("_tf_value").alias(name)), keys)
+    return out
+
+
 def best_episode_per_season(
     episodes: DataFrame, shows: DataFrame, order_cols: Sequence[str] = ORDER_COLS, rows_per_chunk: int = ROWS_PER_CHUNK
 ) -> DataFrame:
@@ -107,13 +124,16 @@ def show_report(
     cast x genre times), so AVG/MIN/MAX and COUNT(DISTINCT) over the product
     equal the same aggregates over each side alone.
     """
-    ep = episodes.groupBy("show_id").agg(
-        F.count_distinct("episode_id").alias("total_episodes"),
-        F.count_distinct("season").alias("total_seasons"),
-        rounded_avg("episode_runtime", 1).alias("avg_runtime_min"),
-        rounded_avg("episode_rating", 2, fractional=True).alias("avg_episode_rating"),
-        F.min("airdate").alias("first_aired"),
-        F.max("airdate").alias("last_aired"),
+    ep = distinct_counts(
+        episodes,
+        ["show_id"],
+        {"total_episodes": "episode_id", "total_seasons": "season"},
+        [
+            rounded_avg("episode_runtime", 1).alias("avg_runtime_min"),
+            rounded_avg("episode_rating", 2, fractional=True).alias("avg_episode_rating"),
+            F.min("airdate").alias("first_aired"),
+            F.max("airdate").alias("last_aired"),
+        ],
     )
     ca = cast.groupBy("show_id").agg(F.count_distinct("person_id").alias("cast_size"))
     ge = genres.groupBy("show_id").agg(F.concat_ws(", ", F.array_sort(F.collect_set("genre"))).alias("genres"))

@@ -97,6 +97,21 @@ def q_gold_top_cast(spark, sf):
     return gold.top_cast_members(A.cast(spark, sf), timestamps=False)
 
 
+@register(
+    "cast_character_pages",
+    oracle(
+        """
+SELECT person_id, page, count(*) AS items, string_agg(character_name, ', ' ORDER BY character_name) AS characters
+FROM (SELECT person_id, character_name, (row_number() OVER (PARTITION BY person_id ORDER BY character_name) - 1) // 100 AS page FROM credits)
+GROUP BY person_id, page
+"""
+    ),
+)
+def q_character_pages(spark, sf):
+    """AGG-12/D-9: the character lists of all persons in pages of 100 entries."""
+    return gold.character_pages(A.cast(spark, sf), page_items=100, rows_per_chunk=2)
+
+
 GOLD_GENRE_CTE = f"""
 genre_stats AS (
     SELECT x.*,

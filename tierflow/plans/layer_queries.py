@@ -7,9 +7,12 @@ directory, then reads them back through the operator under test.
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.operators import quality, silver
+from tierflow.operators import gold, quality, silver
 from tierflow.plans import adapters as A
 from tierflow.plans.gold_queries import GOLD_DASHBOARD_CTE
 from tierflow.plans.oracle_base import oracle
@@ -49,6 +52,55 @@ def q_land_roundtrip(spark, sf):
     return silver.silver_episodes(bronze, timestamps=False).select(*EP_SELECT)
 
 
+@register(
+    "ingest_metadata",
+    oracle(
+        """
+SELECT CASE WHEN season <= 2 THEN 's1' ELSE 's2' END AS folder, 'driver_tables' AS _source, count(*) AS lines,
+       count(*) AS from_its_folder, count(*) AS stamped, 1 AS stamps
+FROM episodes GROUP BY ALL
+"""
+    ),
+)
+def q_ingest_metadata(spark, sf):
+    """SRC-6/FN-8: lines by the folder that ``_source_file`` names, compared with the snapshot discovered; stamps set, one a run."""
+    root = shared_path(spark, "raw")
+    eps = A.bronze_episodes(spark, sf)
+    for snapshot, late in (("s1", F.col("season") <= 2), ("s2", F.col("season") > 2)):
+        ingest.land_snapshot(eps.filter(late), root, "episodes", snapshot=snapshot)
+    bronze = ingest.with_ingest_metadata(ingest.scan_json_permissive(spark, f"{root}/episodes", BRONZE_EPISODES), "driver_tables")
+    folder = F.regexp_extract("_source_file", "/snapshot=([^/]+)/part-[^/]+$", 1)
+    return bronze.groupBy(folder.alias("folder"), "_source").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(folder == F.col("snapshot")).alias("from_its_folder"),
+        F.count("_ingestion_timestamp").alias("stamped"),
+        F.count_distinct("_ingestion_timestamp").cast("int").alias("stamps"),
+    )
+
+
+@register(
+    "layer_stamps",
+    oracle(
+        """
+SELECT 'silver_shows' AS table_name, count(*) AS stamped, true AS recent FROM shows
+UNION ALL SELECT 'silver_episodes', count(*), true FROM episodes
+UNION ALL SELECT 'gold_genre_statistics', count(DISTINCT genre), true FROM genres
+"""
+    ),
+)
+def q_layer_stamps(spark, sf):
+    """FN-7: Silver and Gold rows carry the time of their run: within a day, whatever the session's time zone."""
+    shows = silver.silver_shows(A.bronze_shows(spark, sf))
+    tables_ = {
+        "silver_shows": (shows, silver.META_OUT),
+        "silver_episodes": (silver.silver_episodes(A.bronze_episodes(spark, sf)), silver.META_OUT),
+        "gold_genre_statistics": (gold.genre_statistics(A.genres(spark, sf), shows), gold.GOLD_TS),
+    }
+    age = lambda c: F.abs(F.unix_seconds(F.current_timestamp()) - F.unix_seconds(c))
+    parts = [df.agg(F.lit(n).alias("table_name"), F.count(c).alias("stamped"), (F.max(age(c)) < 86400).alias("recent")) for n, (df, c) in tables_.items()]
+    return reduce(DataFrame.union, parts)
+
+
 @register("parse_json_records", oracle(f"SELECT {EPISODE_COLS} FROM episodes"))
 def q_parse_json(spark, sf):
     """SRC-2/FN-18/FN-19: to_json(struct) then from_json with an explicit schema."""
@@ -227,6 +279,42 @@ def q_cluster_roundtrip(spark, sf):
     return spark.read.parquet(path).select(*EP_SELECT)
 
 
+@register(
+    "clustered_read_skips_files",
+    oracle(
+        """
+SELECT 'show_id' AS column_name, count(*) AS hits, true AS fewer_files FROM episodes WHERE show_id BETWEEN 3 AND 5
+UNION ALL SELECT 'season', count(*), true FROM episodes WHERE season = 5
+"""
+    ),
+)
+def q_clustered_read(spark, sf):
+    """SNK-8: rows of a filter on either clustering column lie in fewer files of the clustered table than of the plain one.
+
+    Files that hold no row of the filter are those whose statistics let a reader skip them."""
+    eps = A.episodes(spark, sf)
+    plain, clustered = (shared_path(spark, "tables", n) for n in ("episodes_plain", "episodes_zorder"))
+    tables.write_table(eps.repartition(16, "episode_id"), plain)
+    tables.cluster_table(spark.read.parquet(plain), ["show_id", "season"], clustered, files=16)
+    found = []
+    for column, hit in (("show_id", F.col("show_id").between(3, 5)), ("season", F.col("season") == 5)):
+        files = [spark.read.parquet(p).filter(hit).select(F.col("_metadata.file_path").alias("f")) for p in (clustered, plain)]
+        before = files[1].agg(F.count_distinct("f")).scalar()
+        found.append(files[0].agg(F.lit(column).alias("column_name"), F.count("f").alias("hits"), (F.count_distinct("f") < before).alias("fewer_files")))
+    return found[0].union(found[1])
+
+
+@register("compacted_table", oracle(f"SELECT {EPISODE_COLS}, true AS one_file FROM episodes"))
+def q_compacted_table(spark, sf):
+    """SNK-8: a table of many small files, put together by size into as few as its bytes need."""
+    many, few = (shared_path(spark, "tables", n) for n in ("episodes_small_files", "episodes_compacted"))
+    tables.write_table(A.episodes(spark, sf).repartition(40), many)
+    tables.compact_table(spark, many, few)
+    out = spark.read.parquet(few)
+    limit = tables.file_sizes(out).agg(F.count(F.lit(1)) <= F.ceil(F.sum("bytes") / (256 * 1024 * 1024))).scalar()
+    return out.select(*EP_SELECT, limit.alias("one_file"))
+
+
 @register("publish_view", oracle("SELECT show_id, show_name, language FROM shows"))
 def q_publish_view(spark, sf):
     """SNK-5/PRJ-11: CREATE OR REPLACE VIEW ... AS SELECT * over a written table."""
@@ -356,6 +444,29 @@ def q_dq_failure_injection(spark, sf):
     return quality.not_null(bad, "injected_shows", "silver", ["show_id"])
 
 
+@register(
+    "dq_injected_rows",
+    oracle(
+        """
+SELECT * FROM (VALUES ('not_null:show_id', 1), ('rating_range_0_10', 2), ('runtime_positive', 1), ('unique:show_id', 2)) AS injected("check", more)
+JOIN (SELECT "check", layer, table_name, violations AS before, total FROM dq_report WHERE table_name = 'silver_shows') USING ("check")
+""",
+        DQ_ORACLE_CTES,
+    ),
+)
+def q_dq_injected_rows(spark, sf):
+    """SRC-11/DQ-7: rows made in memory with an explicit schema join the table; the report finds each of them."""
+    shows, episodes, cast = _silver(spark, sf)
+    wanted = ["show_id", "rating_average", "runtime"]
+    bad = spark.createDataFrame([(None, 5.0, 30), (-1, 10.5, 30), (-1, -0.5, 0), (-1, None, None)], "show_id bigint, rating_average double, runtime int")
+    clean = quality.silver_report(shows, episodes, cast).filter("table_name = 'silver_shows'")
+    dirty = quality.silver_report(shows.select(*wanted).unionByName(bad), episodes, cast)
+    after = dirty.select("check", "table_name", F.col("violations").alias("after"))
+    return clean.join(after, ["check", "table_name"]).select(
+        "check", "layer", "table_name", F.col("violations").alias("before"), "total", (F.col("after") - F.col("violations")).cast("int").alias("more")
+    )
+
+
 @register(
     "dq_summary",
     oracle("SELECT passed, count(*) AS checks FROM dq_report GROUP BY passed", DQ_ORACLE_CTES),

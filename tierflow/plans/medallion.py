@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.operators import gold, quality, silver
-from tierflow.schemas import BRONZE_SCHEMAS
+from tierflow.schemas import BRONZE_SCHEMAS, CORRUPT_COLUMN
 from tierflow.sinks.tables import cluster_table, write_table
 from tierflow.sources import ingest
 
@@ -81,13 +81,17 @@ def run_medallion(spark: SparkSession, cfg: MedallionConfig) -> MedallionResult:
     result = MedallionResult()
 
     bronze: dict[str, DataFrame] = {}
+    corrupt: dict[str, tuple[int, int]] = {}
     for entity, schema in BRONZE_SCHEMAS.items():
         scanned = ingest.with_ingest_metadata(
             ingest.scan_json_permissive(spark, f"{cfg.raw_root.rstrip('/')}/{entity}", schema), cfg.source
         )
         if cfg.dedupe_snapshots:
             scanned = _latest(scanned, entity)
-        bronze[entity] = _write(spark, result, "bronze", f"bronze_{entity}", scanned, cfg)
+        found: dict[str, object] = {}
+        metrics = {"corrupt": F.count(CORRUPT_COLUMN)}
+        bronze[entity] = _write(spark, result, "bronze", f"bronze_{entity}", scanned, cfg, metrics=metrics, measured=found)
+        corrupt[f"bronze_{entity}"] = (found["corrupt"] or 0, result.rows[f"bronze_{entity}"])
 
     shows = _write(spark, result, "silver", "silver_shows", silver.silver_shows(bronze["shows"]), cfg)
     genres = _write(spark, result, "silver", "silver_show_genres", silver.bridge_explode(shows), cfg)
@@ -104,7 +108,8 @@ def run_medallion(spark: SparkSession, cfg: MedallionConfig) -> MedallionResult:
     _write(spark, result, "gold", "gold_genre_statistics", gold.genre_statistics(genres, shows), cfg)
     _write(spark, result, "gold", "gold_show_dashboard", gold.show_dashboard(shows, episodes, cast, genres), cfg)
 
-    _write(spark, result, "quality", "dq_report", quality.silver_report(shows, episodes, cast), cfg)
+    report = quality.silver_report(shows, episodes, cast).unionByName(quality.corrupt_report(spark, corrupt))
+    _write(spark, result, "quality", "dq_report", report, cfg)
 
     if cfg.allow_failed is not None:
         quality.require(spark.read.parquet(result.paths["dq_report"]), cfg.allow_failed)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tierflow.functions.columns import exact, rounded_avg, sorted_list_string
 from tierflow.operators import joins, windows
+from tierflow.operators.reports import distinct_counts
 from tierflow.operators.scans import segmented_scan
 from tierflow.plans import adapters as A
 from tierflow.plans.oracle_base import oracle, ravg
@@ -72,10 +73,10 @@ FROM episodes e JOIN shows s ON e.show_id = s.show_id
     ),
 )
 def q_join_salted(spark, sf):
-    """J-4/J-5: salted join on (show_id, salt); equals the plain join as a multiset."""
+    """J-4/J-5: join that salts the heavy hitters on (show_id, salt); equals the plain join as a multiset."""
     ep = A.episodes(spark, sf).select("episode_id", "show_id", "season", "episode_rating")
     sh = A.shows(spark, sf).select("show_id", "show_name", "language")
-    return joins.salted_join(ep, sh, "show_id", buckets=4, salt_cols=["episode_id"])
+    return joins.salted_join(ep, sh, "show_id", buckets=4, salt_cols=["episode_id"], share=0.007)
 
 
 @register(
@@ -218,12 +219,9 @@ FROM episodes GROUP BY show_id
     ),
 )
 def q_agg_multi_distinct(spark, sf):
-    """AGG-6: three COUNT(DISTINCT) over different columns in one aggregate (Expand rewrite)."""
-    return A.episodes(spark, sf).groupBy("show_id").agg(
-        F.count_distinct("episode_id").alias("distinct_episodes"),
-        F.count_distinct("season").alias("distinct_seasons"),
-        F.count_distinct("episode_type").alias("distinct_types"),
-    )
+    """AGG-6: three COUNT(DISTINCT) over different columns, a two-level aggregate each (no Expand)."""
+    columns = {"distinct_episodes": "episode_id", "distinct_seasons": "season", "distinct_types": "episode_type"}
+    return distinct_counts(A.episodes(spark, sf), ["show_id"], columns)
 
 
 @register(

@@ -36,9 +36,13 @@ def write_table(
     partition_by: Sequence[str] = (),
     rebalance: bool = False,
     dynamic_overwrite: bool = False,
+    metrics: Mapping[str, Column] | None = None,
+    measured: dict[str, object] | None = None,
 ) -> int:
     """SNK-1/2/3: write Parquet (optionally partitioned); return the rows written.
 
+    ``metrics`` (name -> aggregate) are observed during the write and put into ``measured``.
+
     ``rebalance`` shuffles rows by the partition columns and a salt of ``WRITE_SALTS`` and
     lets AQE split large parts and join small ones: a value has at most as many files as
     salts until its parts outgrow AQE's size, and few values still keep all cores busy
@@ -46,7 +50,8 @@ def write_table(
     ``dynamic_overwrite`` replaces only the partitions present in ``df``.
     """
     obs = Observation("tierflow_write")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    more = [m.alias(n) for n, m in (metrics or {}).items()]
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *more)
     if partition_by and rebalance:
         salted = observed.withColumn("_tf_salt", hash_salt(df.columns, WRITE_SALTS))
         observed = salted.hint("rebalance", *partition_by, "_tf_salt").drop("_tf_salt")
@@ -59,7 +64,10 @@ def write_table(
         writer.option("path", path).saveAsTable(name)
     else:
         writer.save(path)
-    return observed_rows(obs)
+    rows = observed_rows(obs)
+    if measured is not None:
+        measured.update({n: obs.get[n] if rows else None for n in metrics or {}})
+    return rows
 
 
 def observed_rows(obs: Observation) -> int:
@@ -106,42 +114,62 @@ def layer_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _rank_codes(df: DataFrame, column: str, bits: int) -> tuple[Column, list[float] | None]:
-    """Order-preserving bucket code in [0, 2**bits) from approximate quantile cut points.
-
-    Orderable columns use ``2**bits - 1`` cut points (a bounded, collected list);
-    other types fall back to a hash code, which still co-locates equal values.
-    """
-    levels = 2 ** bits
-    as_num = order_preserving_double(dict(df.dtypes)[column], column)
-    if as_num is None:
-        return F.pmod(F.xxhash64(F.col(column)), F.lit(levels)), None
+def _cut_points(df: DataFrame, columns: Sequence[str], levels: int) -> dict[str, list[float]]:
+    """Approximate quantiles of all orderable columns in one aggregate: ``levels - 1`` numbers a column at most."""
+    kinds = dict(df.dtypes)
+    numbers = {c: x for c in columns if (x := order_preserving_double(kinds[c], c)) is not None}
+    if not numbers:
+        return {}
     grid = [i / levels for i in range(1, levels)]
-    cuts = df.select(F.percentile_approx(as_num, grid, 10000).alias("c")).first()["c"] or []
-    return as_num, sorted({float(x) for x in cuts if x is not None and not math.isnan(x) and not math.isinf(x)})
+    found = df.agg(*[F.percentile_approx(x, grid, 10000).alias(f"c{i}") for i, x in enumerate(numbers.values())]).first()
+    return {c: sorted({float(x) for x in found[i] or [] if x is not None and math.isfinite(x)}) for i, c in enumerate(numbers)}
 
 
 def z_order_key(df: DataFrame, columns: Sequence[str], bits: int = 10, key: str = "_tf_z") -> DataFrame:
-    """Morton key over rank-bucketed columns (no UDF; Bucketizer is JVM-side)."""
+    """Morton key over rank-bucketed columns (no UDF; Bucketizer is JVM-side).
+
+    Types without an order as numbers get a hash code, which still puts equal values together.
+    The buckets of a column of few values are spread over all codes, so its highest bits
+    count as much as any other column's.
+    """
     bits = min(bits, 62 // max(1, len(columns)))
+    cuts = _cut_points(df, columns, 2 ** bits)
     out = df
     codes: list[Column] = []
     for i, c in enumerate(columns):
-        expr, cuts = _rank_codes(df, c, bits)
         code_col = f"_tf_code{i}"
-        if cuts is None:
-            out = out.withColumn(code_col, expr)
+        spread = 1
+        if c not in cuts:
+            out = out.withColumn(code_col, F.pmod(F.xxhash64(F.col(c)), F.lit(2 ** bits)))
         else:
             tmp = f"_tf_num{i}"
-            out = out.withColumn(tmp, F.coalesce(expr, F.lit(-math.inf)))
+            number = order_preserving_double(dict(df.dtypes)[c], c)
+            out = out.withColumn(tmp, F.coalesce(number, F.lit(-math.inf)))
             out = Bucketizer(
-                splits=[-math.inf] + cuts + [math.inf], inputCol=tmp, outputCol=code_col, handleInvalid="keep"
+                splits=[-math.inf] + cuts[c] + [math.inf], inputCol=tmp, outputCol=code_col, handleInvalid="keep"
             ).transform(out).drop(tmp)
-        codes.append(F.least(F.col(code_col).cast("long"), F.lit(2 ** bits - 1)))
+            spread = max(1, 2 ** bits // (len(cuts[c]) + 1))
+        codes.append(F.least(F.col(code_col).cast("long") * spread, F.lit(2 ** bits - 1)))
     out = out.withColumn(key, interleave_bits(codes, bits))
     return out.drop(*[f"_tf_code{i}" for i in range(len(columns))])
 
 
+def file_sizes(df: DataFrame) -> DataFrame:
+    """(file, bytes) of the files of a table just read, one row a file."""
+    return df.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes")).distinct()
+
+
+def compact_table(spark: SparkSession, path: str, target: str, target_bytes: int = 256 * 1024 * 1024) -> int:
+    """Rewrite a table of many small files into files of about ``target_bytes``; return the rows.
+
+    The number of files follows the table's size; whole input splits are put together
+    without a shuffle. Write to a new path, as ``cluster_table``.
+    """
+    df = spark.read.parquet(path)
+    total = file_sizes(df).agg(F.sum("bytes")).first()[0] or 0
+    return write_table(df.coalesce(max(1, math.ceil(total / target_bytes))), target)
+
+
 def cluster_table(
     df: DataFrame,
     columns: Sequence[str],
