@@ -124,6 +124,7 @@ def test_op5_links_all_near_fingerprints(spark, docs):
 
 def test_op6_rules_and_verdicts(spark):
     got = run(spark, "op6").set_index("page_id")
+    block_at = url_filter.fit(spark).block_at
     for i, url in table("pages").set_index("page_id").url.items():
         m = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)", url or "")
         host, path = (lower(m[1]), m[2]) if m else ("", "")
@@ -134,7 +135,7 @@ def test_op6_rules_and_verdicts(spark):
         if want:
             assert got.verdict[i] == url_filter.RULES[want]
         else:
-            assert got.verdict[i] == ("block" if got.score[i] >= url_filter.BLOCK_AT else "allow")
+            assert got.verdict[i] == ("block" if got.score[i] >= block_at else "allow")
 
 
 def removed(rows, depth=20):
@@ -193,6 +194,45 @@ def test_op8_hits_every_window(spark, docs):
         assert tuple(got.loc[i]) == (len(words), sum(mask), len(items), sha, any(mask))
 
 
+def kept_detections(text):
+    """All matches of all rules whose keyword stands in the text, without those inside another (ties: the earlier rule)."""
+    line = re.sub(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ", lower(text)).strip()
+    found = [(m.start(), m.end(), r["priority"], r["label"]) for r in licenses.rules() if r["keyword"] in line for m in re.finditer(r["pattern"], line)]
+    # From the widest of each start on: whatever ends at or before an earlier, wider interval's end lies inside it.
+    kept, reach = [], -1
+    for start, end, priority, label in sorted(found, key=lambda d: (d[0], -d[1], d[2])):
+        if end > reach:
+            kept.append((start, end, label, priority))
+            reach = end
+    return kept
+
+
+def test_op9_detections_by_brute_force(spark, docs):
+    notices = [
+        "Licensed under the terms of the MIT License; see the Apache License, Version 2.0 for details.",
+        "SPDX-License-Identifier: GPL-2.0 or later. All rights reserved. Neither the name of the author nor others may be used to endorse or promote products",
+        "This program is free software: you can redistribute it and/or modify it under the GNU General Public License version 3",
+        "dedicated to the public domain under CC0 1.0 and cc-by-nc-sa, cc by",
+    ]
+    long = " ".join(f"{notices[i % 4]} word{i} " + "x" * (i % 97) for i in range(1500))
+    texts = [*docs.text.head(150), *notices, long]
+    rows = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    got = {r.doc_id: [(d["start"], d["end"], d["label"], d["priority"]) for d in r.detections or []] for r in rows}
+    for i, text in enumerate(texts):
+        assert sorted(got[i]) == kept_detections(text or ""), i
+    assert len(got[len(texts) - 1]) > 3000
+
+
+def test_op9_a_megabyte_of_notices_in_one_text(spark):
+    import time
+
+    text = "licensed under the mit license " * 34_000
+    start = time.perf_counter()
+    row = licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert time.perf_counter() - start < 60
+    assert (row.n_base, len(row.detections), row.labels) == (34_000, 34_000, "mit")
+
+
 def test_op9_base_places(spark, docs):
     got = run(spark, "op9").set_index("doc_id")
     for i, text in zip(docs.doc_id, docs.text, strict=True):
@@ -255,3 +295,9 @@ def test_pipeline_stages_against_brute_force(spark, docs):
         else:
             assert kept[4].text[i] == text
     assert set(frames[-1].toPandas().doc_id) == set(kept[4].index)
+
+
+def test_op9_no_rule_matches_as_much_as_a_margin():
+    from re import _parser
+
+    assert max(_parser.parse(r["pattern"]).getwidth()[1] for r in licenses.rules()) < licenses.MARGIN
