@@ -37,10 +37,11 @@ class TestWindows:
 
     __test__ = False
 
-    def __init__(self, items: list[int], hashes: list[np.ndarray], window: int):
+    def __init__(self, names: list[str | None], hashes: list[np.ndarray], window: int):
+        self.names = names
         self.vocabulary = np.unique(np.concatenate(hashes)) if hashes else np.zeros(0, np.uint64)
         rows, lengths, owner = [], [], []
-        for item, h in zip(items, hashes, strict=True):
+        for item, h in enumerate(hashes):
             symbols = np.searchsorted(self.vocabulary, h) + _FIRST
             size = min(window, len(symbols))
             cut = np.lib.stride_tricks.sliding_window_view(symbols, size)
@@ -66,7 +67,7 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, blo
     """Test items in blocks of whole items; the driver holds one block at a time."""
     scanner = Scanner(byte_table(PUNCTUATION, lower=True))
     items, hashes, held = [], [], 0
-    rows = benchmark.select(F.col(item_col).cast("long"), F.col(text_col).cast("string")).where(F.col(item_col).isNotNull() & F.col(text_col).isNotNull())
+    rows = benchmark.select(F.col(item_col).cast("string"), F.col(text_col).cast("string")).where(F.col(text_col).isNotNull())
     for item, text in rows.toLocalIterator():
         raw = np.frombuffer(text.encode(), np.uint8)
         h = scanner.scan(raw, np.array([0, len(raw)], np.int64))[0]
@@ -129,9 +130,10 @@ def _search(batches, windows: TestWindows | None):
             cut_items = np.searchsorted(owned[:, 0], np.arange(docs + 1))
             for i in range(docs):
                 spans.append(packed[cut[i] : cut[i + 1]] if cut[i + 1] > cut[i] else None)
-                items.append(owned[cut_items[i] : cut_items[i + 1], 1] if cut_items[i + 1] > cut_items[i] else None)
+                mine = {windows.names[j] for j in owned[cut_items[i] : cut_items[i + 1], 1].tolist()} - {None}
+                items.append(sorted(mine) or None)
         words = pa.array(np.concatenate(n_words) if n_words else np.zeros(0, np.int64), pa.int64())
-        lists = [pa.array(x, pa.list_(pa.int64())) for x in (spans, items)]
+        lists = [pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))]
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], words, *lists], [*batch.schema.names[:-1], "n_words", "spans", "items"])
 
 
@@ -151,10 +153,11 @@ def contamination(
     Words are runs of ASCII letters and digits and of all other characters beyond
     ASCII, A-Z lower-cased. A window is `window_words` consecutive words of one
     test item; an item of fewer words is one window. spans: start << 8 | length,
-    in words, of every occurrence, sorted; items: ids of the test items that have
-    an occurring window, distinct, sorted. Both are empty if there is none. Null
-    texts have no words and items that are null or have no word are skipped; an
-    empty benchmark hits nothing. Each row of a repeated id is searched for itself.
+    in words, of every occurrence, sorted; items: ids, as strings, of the test items that
+    have an occurring window, distinct, sorted. Both are empty if there is none. Null
+    texts have no words; items whose text is null or has no word are skipped, and items
+    without an id hit, but are named nowhere; an empty benchmark hits nothing. Each row
+    of a repeated id is searched for itself.
     """
     if not 1 <= window_words <= 255:
         raise ValueError("window_words must be 1 to 255")
@@ -163,7 +166,7 @@ def contamination(
     if clash:
         raise ValueError(f"carried columns clash with output columns: {sorted(clash)}")
     held = documents.select(*carry, F.col(text_col).cast("string").alias("__text"))
-    out = T.StructType([*documents.select(*carry).schema.fields, T.StructField("n_words", T.LongType()), *[T.StructField(c, T.ArrayType(T.LongType())) for c in ("spans", "items")]])
+    out = T.StructType([*documents.select(*carry).schema.fields, T.StructField("n_words", T.LongType()), T.StructField("spans", T.ArrayType(T.LongType())), T.StructField("items", T.ArrayType(T.StringType()))])
     blocks = _blocks(benchmark, item_col, item_text_col, window_words, block_words)
     head, second = next(blocks, None), next(blocks, None)
 
@@ -171,7 +174,7 @@ def contamination(
         sent = shipped(documents.sparkSession, windows)
         return rows.mapInArrow(lambda it: _search(it, sent()), schema)
 
-    filled = [F.coalesce(F.col(c), F.array().cast("array<bigint>")).alias(c) for c in ("spans", "items")]
+    filled = [F.coalesce(F.col(c), F.array().cast(f"array<{t}>")).alias(c) for c, t in (("spans", "bigint"), ("items", "string"))]
     if second is None:
         return passed(held, head, out).select(*carry, "n_words", *filled)
     # More than one block: rows get a number, each block adds its hits, and hits are gathered by number.
