@@ -5,12 +5,15 @@ method adds labels by regular expressions over the words of a text joined by one
 space: a rule is tried only where its keyword occurs, detections are intervals,
 and one that lies inside another goes; of equal intervals the rule of higher
 priority stays. Texts without any license word are counted and otherwise left
-alone. Everything is a row expression: no shuffle, no Python.
+alone. Rules read a text in segments that overlap by more than any match, each behind
+the gate again, so what a text costs grows with its length. Everything is a row
+expression: no shuffle, no Python.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,6 +84,8 @@ TEXTS = [
     ("proprietary", "proprietary and confidential", "proprietary and confidential"),
 ]
 SPDX_EXTRA = {"mit": "mit", "isc": "isc", "zlib": "zlib", "apache-2.0": "apache 2 0", "mpl-2.0": "mpl 2 0", "cc0": "cc0 1 0", "bsl": "bsl 1 0", "unlicense": "unlicense", "gpl-2.0": "gpl 2 0", "gpl-3.0": "gpl 3 0"}
+# Characters of a segment that are its own, and of its neighbours on either side; no rule matches as much as a margin.
+CORE, MARGIN = 512, 256
 # A text without a match of this holds neither a base phrase nor a keyword.
 _OTHER = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
@@ -123,29 +128,64 @@ def _phrase(words: Column, phrase: str) -> tuple[Column, Column, Column]:
     return n, first, F.when(n > 0, count(F.substring(words, F.lit(1), back)))
 
 
-def _detections(line: Column, table: Column) -> Column:
-    """Intervals of all matches of the rules whose keyword occurs, contained ones suppressed."""
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), where value is computed once: an expression that a lambda names is computed for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _segments(line: Column) -> Column:
+    """A line in cores of ``CORE`` characters, each with up to ``MARGIN`` before and after it: (before, text, offset).
+
+    Cut by one pass of a regular expression, so the cost grows with the line. Every match is
+    shorter than the margin: one that starts in a core lies whole in its segment, and so
+    does every match that could contain it.
+    """
+
+    def of(cores: Column) -> Column:
+        def segment(core: Column, i: Column) -> Column:
+            before = F.coalesce(F.right(F.get(cores, i - 1), F.lit(MARGIN)), F.lit(""))
+            after = F.coalesce(F.left(F.get(cores, i + 1), F.lit(MARGIN)), F.lit(""))
+            return F.struct(F.length(before).alias("before"), F.concat(before, core, after).alias("text"), (i * CORE - F.length(before)).alias("offset"))
+
+        return F.transform(cores, segment)
+
+    return _bound(F.regexp_extract_all(line, F.lit(f"(?s).{{1,{CORE}}}"), F.lit(0)), of)
+
+
+def _detections(segment: Column, table: Column) -> Column:
+    """Intervals, in the whole line, of the matches in a segment of the rules whose keyword occurs there."""
+    line = segment["text"]
 
     def places(r: Column) -> Column:
-        found = F.regexp_extract_all(line, r["pattern"], F.lit(0))
-        between = F.split(line, r["pattern"], -1)
+        matched = F.struct(F.regexp_extract_all(line, r["pattern"], F.lit(0)).alias("found"), F.split(line, r["pattern"], -1).alias("between"))
         reach = lambda parts, n: F.aggregate(F.slice(parts, F.lit(1), n), F.lit(0), lambda acc, s: acc + F.length(s))
 
-        def place(text: Column, i: Column) -> Column:
-            start = reach(between, i + 1) + reach(found, i)
-            return F.struct(
-                start.alias("start"),
-                (start + F.length(text)).alias("end"),
-                r["label"].alias("label"),
-                r["confidence"].alias("confidence"),
-                r["priority"].alias("priority"),
-            )
+        def all_of(m: Column) -> Column:
+            def place(text: Column, i: Column) -> Column:
+                def interval(start: Column) -> Column:
+                    return F.struct(
+                        start.alias("start"),
+                        (start + F.length(text)).alias("end"),
+                        r["label"].alias("label"),
+                        r["confidence"].alias("confidence"),
+                        r["priority"].alias("priority"),
+                    )
+
+                return _bound(segment["offset"] + reach(m["between"], i + 1) + reach(m["found"], i), interval)
 
-        return F.transform(found, place)
+            return F.transform(m["found"], place)
+
+        return _bound(matched, all_of)
 
     return F.flatten(F.transform(F.filter(table, lambda r: F.contains(line, r["keyword"])), places))
 
 
+def _of_core(found: Column, segment: Column) -> Column:
+    """The kept detections of a segment that start in its core."""
+    first = segment["offset"] + segment["before"]
+    return F.filter(_kept(found), lambda d: (d["start"] >= first) & (d["start"] < first + CORE))
+
+
 def _kept(found: Column) -> Column:
     """Without detections inside another one; of equal intervals the rule of higher priority stays."""
 
@@ -175,8 +215,11 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", signatur
     for label, (n, first, last) in found.items():
         rows = rows.withColumn(f"__n_{label}", F.coalesce(n, F.lit(0).cast("long"))).withColumn(f"__first_{label}", first).withColumn(f"__last_{label}", last)
     table = F.from_json(F.lit(json.dumps(signatures)), kind)
-    rows = rows.withColumn("__found", F.when(F.col("__line").isNotNull(), _detections(F.col("__line"), table)))
-    rows = rows.withColumn("detections", _kept(F.col("__found")))
+    rows = rows.withColumn("__segments", F.filter(_segments(F.col("__line")), lambda s: s["text"].rlike(GATE)))
+    # Found once a segment, then compared: both read the same array.
+    rows = rows.withColumn("__found", F.transform("__segments", lambda s: _detections(s, table)))
+    kept = F.transform(F.arrays_zip("__segments", "__found"), lambda z: _of_core(z["__found"], z["__segments"]))
+    rows = rows.withColumn("detections", F.when(F.col("__line").isNotNull(), F.flatten(kept)))
     base = F.array_compact(F.array(*[F.when(F.col(f"__n_{label}") > 0, F.lit(label)) for label in sorted(BASE.values())]))
     rows = rows.withColumn("__base", base)
     all_labels = F.array_sort(F.array_distinct(F.concat("__base", F.coalesce(F.transform("detections", lambda d: d["label"]), F.array().cast("array<string>")))))
