@@ -34,8 +34,10 @@ def default(c: ColumnOrName, *fallbacks) -> Column:
     return F.coalesce(*parts)
 
 
-# Values below this size have an exact whole part and fraction; the rest are added as doubles.
-EXACT_BELOW = float(2 ** 53)
+# Values below this size are summed exactly to ten places; the rest are added as doubles.
+EXACT_BELOW = 1e18
+# Below this size ten places of a value fit a 64-bit integer.
+LONG_BELOW = 9e8
 
 
 def _countable(col: Column) -> Column:
@@ -50,7 +52,7 @@ def exact(c: ColumnOrName) -> Column:
 
 
 def beyond_exact(c: ColumnOrName) -> Column:
-    """The values ``exact`` leaves out, as doubles: NaN, infinities and those of 2**53 and more in size."""
+    """The values ``exact`` leaves out, as doubles: NaN, infinities and those of 1e18 and more in size."""
     col = _c(c).cast("double")
     return F.when(~_countable(col) | F.isnan(col), col)
 
@@ -58,20 +60,20 @@ def beyond_exact(c: ColumnOrName) -> Column:
 def exact_total(c: ColumnOrName) -> tuple[Column, Column]:
     """Aggregates: the exact sum to ten places of the countable values of ``c``, and the double sum of the others (NULL: none).
 
-    A sum of decimals adds 38-digit numbers row by row. Here whole parts and fractions are
-    summed as 64-bit integers in two limbs each, which 2**36 rows of any size cannot
-    overflow, and are put together once a group.
+    A sum of decimals adds 38-digit numbers row by row. Here values below ``LONG_BELOW`` are
+    integers of 1e-10, summed in three limbs of 22 bits, which 2**41 rows cannot overflow, and
+    put together once a group; only larger ones are decimals.
     """
     col = _c(c).cast("double")
-    held = F.when(_countable(col), col)
-    whole = F.floor(held)
-    part = F.round((held - whole) * 1e10).cast("long")
-    limbs = [F.sum(F.shiftright(whole, 27)), F.sum(whole.bitwiseAND(F.lit((1 << 27) - 1))), F.sum(F.floor(part / 100_000)), F.sum(part % 100_000)]
-    high, low, fine, finest = [F.coalesce(x, F.lit(0).cast("long")).cast("decimal(19,0)") for x in limbs]
-    wholes = (high * F.lit(1 << 27).cast("decimal(9,0)") + low).cast("decimal(27,0)")
-    parts = (fine * F.lit(100_000).cast("decimal(6,0)") + finest).cast("decimal(26,0)")
-    total = wholes.cast("decimal(38,10)") + (parts * F.lit("0.0000000001").cast("decimal(10,10)")).cast("decimal(38,10)")
-    return total.cast("decimal(38,10)"), F.sum(beyond_exact(c))
+    short = F.abs(col) < LONG_BELOW
+    units = F.when(short, F.round(col * 1e10).cast("long"))
+    mask = F.lit((1 << 22) - 1)
+    limbs = [F.sum(F.shiftright(units, 44)), F.sum(F.shiftright(units, 22).bitwiseAND(mask)), F.sum(units.bitwiseAND(mask))]
+    high, middle, low = [F.coalesce(x, F.lit(0).cast("long")).cast("decimal(19,0)") for x in limbs]
+    step = F.lit(1 << 22).cast("decimal(7,0)")
+    total = (((high * step + middle).cast("decimal(29,0)") * step + low).cast("decimal(37,0)") * F.lit("0.0000000001").cast("decimal(10,10)")).cast("decimal(38,10)")
+    long = F.coalesce(F.sum(F.when(~short & _countable(col), col.cast("decimal(28,10)"))), F.lit(0).cast("decimal(38,10)"))
+    return (total + long).cast("decimal(38,10)"), F.sum(beyond_exact(c))
 
 
 def exact_avg(c: ColumnOrName) -> Column:
@@ -89,7 +91,7 @@ def rounded_avg(c: ColumnOrName, digits: int, fractional: bool = False) -> Colum
     tasks. Here whole numbers are summed as 64-bit integers and ``fractional``
     values exactly to ten places; the quotient is rounded HALF_UP, so it has
     the same bits on one task or a thousand. NULLs are ignored as in ``avg``. Values of
-    2**53 and more in size, infinities and NaN are added as doubles, as ``avg`` does: NaN
+    1e18 and more in size, infinities and NaN are added as doubles, as ``avg`` does: NaN
     and infinities give what ``avg`` gives, and only for such large values does the last
     bit depend on the order.
     """

@@ -12,6 +12,7 @@ from tierflow.operators import gold, reports
 from tierflow.plans import adapters as A
 from tierflow.plans.oracle_base import ravg
 from tierflow.plans.registry import register
+from tierflow.plans.report_queries import best_episode_sql, trajectory_sql
 
 V_CTES = """
 WITH vshows AS (
@@ -71,30 +72,10 @@ def q_volume_runtime(spark, sf):
     return out.drop("status")
 
 
-@register(
-    "volume_best_episode",
-    V_CTES
-    + """
-SELECT * FROM (
-    SELECT s.show_name, e.season, e.episode_number, e.episode_name, e.episode_rating, e.episode_runtime, e.airdate,
-           rank() OVER w_rating AS rating_rank,
-           dense_rank() OVER w_rating AS rating_dense_rank,
-           row_number() OVER (PARTITION BY e.show_id, e.season ORDER BY e.episode_rating DESC,
-                e.episode_number, e.episode_id, e.l_partkey) AS rating_row_num,
-           CAST(sum(CAST(e.episode_rating AS DECIMAL(28,10))) OVER w_run AS DOUBLE) / count(e.episode_rating) OVER w_run AS running_avg_rating,
-           lag(e.episode_rating, 1) OVER w_num AS prev_episode_rating,
-           lead(e.episode_rating, 1) OVER w_num AS next_episode_rating,
-           e.episode_rating - lag(e.episode_rating, 1) OVER w_num AS rating_change,
-           percent_rank() OVER (PARTITION BY e.show_id, e.season ORDER BY e.episode_rating ASC) AS rating_percentile
-    FROM veps e JOIN vshows s ON e.show_id = s.show_id
-    WHERE e.episode_rating > 0
-    WINDOW w_rating AS (PARTITION BY e.show_id, e.season ORDER BY e.episode_rating DESC),
-           w_num AS (PARTITION BY e.show_id, e.season ORDER BY e.episode_number, e.episode_id, e.l_partkey),
-           w_run AS (PARTITION BY e.show_id, e.season ORDER BY e.episode_number, e.episode_id, e.l_partkey
-                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-) WHERE rating_rank = 1
-""",
-)
+VOLUME_SQL = {"episodes": "veps", "shows": "vshows", "order": "e.episode_number, e.episode_id, e.l_partkey"}
+
+
+@register("volume_best_episode", V_CTES + best_episode_sql(**VOLUME_SQL))
 def q_volume_best(spark, sf):
     """R-4 over line items (season = ship year)."""
     return reports.best_episode_per_season(
@@ -102,23 +83,7 @@ def q_volume_best(spark, sf):
     )
 
 
-@register(
-    "volume_trajectory",
-    V_CTES
-    + """
-SELECT show_name, season, season_premiere_rating, season_finale_rating,
-       CASE WHEN season_finale_rating > season_premiere_rating THEN 'Improved' ELSE 'Declined' END AS season_trajectory
-FROM (
-    SELECT DISTINCT e.show_id, s.show_name, e.season,
-           first_value(e.episode_rating) OVER w AS season_premiere_rating,
-           last_value(e.episode_rating) OVER w AS season_finale_rating
-    FROM veps e JOIN vshows s ON e.show_id = s.show_id
-    WHERE e.episode_rating > 0
-    WINDOW w AS (PARTITION BY e.show_id, e.season ORDER BY e.episode_number, e.episode_id, e.l_partkey
-                 ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
-)
-""",
-)
+@register("volume_trajectory", V_CTES + trajectory_sql(**VOLUME_SQL))
 def q_volume_trajectory(spark, sf):
     """R-5 over line items."""
     return reports.season_trajectory(A.volume_episodes(spark, sf), A.volume_shows(spark, sf), order_cols=A.VOLUME_ORDER)
