@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tierflow.operators import windows
+from tierflow.operators import scans, windows
 from tierflow.sources import ingest
 
 ROWS = st.lists(
@@ -33,7 +33,7 @@ def test_keyed_rank_property(spark, rows, descending, per_bucket):
     df = _frame(spark, rows)
     fast = windows.keyed_rank(
         df, "v", ["k"], descending=descending, dense_rank_col="d", rank_col="r", percent_rank_col="p",
-        rows_per_bucket=per_bucket,
+        rows_per_chunk=per_bucket,
     )
     o = F.col("v").desc_nulls_last() if descending else F.col("v").asc_nulls_first()
     w = Window.partitionBy("k").orderBy(o)
@@ -45,10 +45,10 @@ def test_keyed_rank_property(spark, rows, descending, per_bucket):
 
 @SETTINGS
 @given(rows=ROWS, width=st.sampled_from([1, 2, 5, 100]))
-def test_chunked_running_property(spark, rows, width):
+def test_segmented_scan_property(spark, rows, width):
     df = _frame(spark, rows).withColumn("num", F.when(F.col("id") % 4 == 0, F.lit(None)).otherwise(F.col("id")))
-    fast = windows.chunked_running(
-        df, ["k"], ["num", "id"], F.floor(F.col("num") / width),
+    fast = scans.segmented_scan(
+        df, ["k"], ["num", "id"], rows_per_chunk=width,
         sums={"s": F.col("v")}, counts={"c": F.col("v")}, neighbours={"v": ("pv", "nv")},
     )
     w = Window.partitionBy("k").orderBy(F.col("num").asc_nulls_first(), "id")
