@@ -44,3 +44,12 @@ def test_fact_is_written_without_a_shuffle_or_sort_of_its_product(spark):
     written = tables.write_table(fact, path, partition_by=["language"], unsorted=True)
     assert written == _product(*sides).count() and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
     assert rows(spark.read.parquet(path).select(*silver.FACT_COLUMNS)) == rows(_product(*sides))
+
+
+def test_clustered_fact_is_unpacked_after_its_layout(spark):
+    sides = _large_show(spark)
+    path = shared_path(spark, "t", "clustered")
+    packs = silver.fact_packs(*sides, pack=4)
+    written = tables.cluster_table(packs, ["show_id", "genre"], path, partition_by=["language"], unpack=silver.unpack_fact)
+    assert written == _product(*sides).count()
+    assert rows(spark.read.parquet(path).select(*silver.FACT_COLUMNS)) == rows(_product(*sides))
