@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tierflow.operators import silver
 from tierflow.session import shared_path
-from tierflow.sinks import tables
+from tierflow.sinks import tables, versions
+from tierflow.sinks.versions import VersionedTable
+from tierflow.streaming import incremental
 
 
 def _large_show(spark):
@@ -53,3 +55,24 @@ def test_clustered_fact_is_unpacked_after_its_layout(spark):
     written = tables.cluster_table(packs, ["show_id", "genre"], path, partition_by=["language"], unpack=silver.unpack_fact)
     assert written == _product(*sides).count()
     assert rows(spark.read.parquet(path).select(*silver.FACT_COLUMNS)) == rows(_product(*sides))
+
+
+def test_refresh_moves_only_keys_and_packs(spark, monkeypatch):
+    """The plan of what a refresh writes: the table's rows meet a broadcast of keys, and are neither shuffled nor sorted."""
+    eps, shows, genres, cast = _large_show(spark)
+    late = F.when(F.col("show_id") == 1, F.lit("2024-02-01")).otherwise(F.lit("2024-01-01")).cast("date")
+    eps = eps.withColumn("airdate", F.when(F.col("season") == 4, late).otherwise(F.lit("2024-01-01").cast("date")))
+    table = VersionedTable(spark, shared_path(spark, "t", "refresh"))
+    plans = []
+
+    def kept(df, *args, write=tables.write_table, **kw):
+        plans.append(df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1])
+        return write(df, *args, **kw)
+
+    monkeypatch.setattr(versions, "write_table", kept)
+    for now in (eps.filter("airdate < '2024-02-01'"), eps, eps):
+        incremental.refresh_fact(table, now, shows, genres, cast, {"episodes": "airdate"})
+        assert rows(table.read().select(*silver.FACT_COLUMNS)) == rows(_product(now, shows, genres, cast))
+    assert len(plans) == 2 and "BroadcastHashJoin" in plans[1]
+    for plan in plans:
+        assert not any(x in plan[: plan.index("Generate explode(_cast")] for x in (" Exchange", "Sort "))

@@ -30,6 +30,8 @@ from tierflow.sources.ingest import METADATA_COLUMNS, SNAPSHOT_COLUMN, evolve_un
 
 BUCKET = "_key_bucket"
 MAX_PARTS = 16
+# Changed keys, 8 bytes each, up to which the fact is filtered by a broadcast of them.
+BROADCAST_KEYS = 2_000_000
 
 
 def _raw_stream(spark: SparkSession, source_dir: str, schema: StructType, source: str, max_files: int) -> DataFrame:
@@ -189,18 +191,20 @@ def refresh_fact(
     before = table.current()
     since = int(before.marks[mark]) if before is not None and mark in before.marks else None
     if before is None:
-        fact = build_fact(episodes, shows, genres, cast, timestamps=False)
-        return table.publish(fact, partition_by=[partition_col], rebalance=True, marks={} if until is None else {mark: str(until)})
+        fact = build_fact(episodes, shows, genres, cast, timestamps=False, dealt=True)
+        return table.publish(fact, partition_by=[partition_col], unsorted=True, marks={} if until is None else {mark: str(until)})
     if until is None or (since is not None and until <= since):
         return None
     ensure_checkpoint_dir(table.spark)
     found = [changed_keys(inputs[name], key, c, since, until) for name, c in stamps.items()]
     keys = reduce(DataFrame.union, found).distinct().checkpoint(eager=True)
+    # Rows of the fact are many times the keys': as long as the keys fit, only they are sent around.
+    listed = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
 
     def only(df: DataFrame) -> DataFrame:
-        return df.join(keys, key, "left_semi")
+        return df.join(listed, key, "left_semi")
 
-    fresh = build_fact(only(episodes), only(shows), only(genres), only(cast), timestamps=False)
+    fresh = build_fact(only(episodes), only(shows), only(genres), only(cast), timestamps=False, dealt=True)
     current = table.read()
     value = F.col(partition_col).cast("string").alias("value")
     # Values of the partition column, few by choice of the column.
@@ -209,5 +213,5 @@ def refresh_fact(
     if None in touched:
         here = here | F.col(partition_col).isNull()
     old = current.filter(here)
-    staged = old.join(keys, key, "left_anti").select(*current.columns).unionByName(fresh.select(*current.columns))
-    return table.replace_partitions(staged, touched, rows_gone=old.count(), marks={mark: str(until)})
+    staged = old.join(listed, key, "left_anti").select(*current.columns).unionByName(fresh.select(*current.columns))
+    return table.replace_partitions(staged, touched, rows_gone=old.count(), unsorted=True, marks={mark: str(until)})
