@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tierflow.operators import silver
+from tierflow.plans import layer_queries
 from tierflow.session import shared_path
 from tierflow.sinks import tables, versions
 from tierflow.sinks.versions import VersionedTable
@@ -76,3 +77,18 @@ def test_refresh_moves_only_keys_and_packs(spark, monkeypatch):
     assert len(plans) == 2 and "BroadcastHashJoin" in plans[1]
     for plan in plans:
         assert not any(x in plan[: plan.index("Generate explode(_cast")] for x in (" Exchange", "Sort "))
+
+
+def test_children_of_many_parents_land_in_few_files(spark, tmp_path, monkeypatch):
+    sf = str(tmp_path / "sf")
+    events = spark.range(3000).select(
+        F.col("id").alias("event_id"), F.col("id").alias("user_id"), F.lit("a").alias("event_type"),
+        F.timestamp_seconds(F.col("id") * 1000).alias("ts"), F.lit(1.5).alias("value"), F.lit("{}").alias("props"),
+    )
+    events.write.parquet(f"{sf}/events.parquet")
+    root = str(tmp_path / "raw")
+    monkeypatch.setattr(layer_queries, "shared_path", lambda *_: root)
+    out = layer_queries.q_with_parent_key(spark, sf)
+    assert rows(out, "episode_id", "show_id") == rows(events, "event_id", "user_id")
+    tasks = spark.read.parquet(f"{sf}/events.parquet").rdd.getNumPartitions()
+    assert spark.read.text(root).select("_metadata.file_path").distinct().count() <= layer_queries.PARENT_FOLDERS * tasks
