@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tierflow.operators import silver
+from tierflow.operators import scans, silver
 from tierflow.plans import layer_queries
 from tierflow.session import shared_path
 from tierflow.sinks import tables, versions
@@ -92,3 +93,14 @@ def test_children_of_many_parents_land_in_few_files(spark, tmp_path, monkeypatch
     assert rows(out, "episode_id", "show_id") == rows(events, "event_id", "user_id")
     tasks = spark.read.parquet(f"{sf}/events.parquet").rdd.getNumPartitions()
     assert spark.read.text(root).select("_metadata.file_path").distinct().count() <= layer_queries.PARENT_FOLDERS * tasks
+
+
+def test_small_chunks_share_partitions(spark):
+    df = spark.range(4000).select((F.col("id") % 400).alias("k"), F.col("id").alias("o"))
+    chunks = scans.chunked(df, ["k"], [scans.ordered("o")], 2000, 4000)
+    assert chunks.rdd.getNumPartitions() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sizes = [r[1] for r in chunks.groupBy("_tf_chunk").count().collect()]
+    assert max(sizes) == 2 and sum(sizes) == 4000
+    scanned = scans.segmented_scan(df, ["k"], ["o"], sums={"s": F.col("o")}, neighbours={"o": ("p", "n")}, rows_per_chunk=3)
+    w = Window.partitionBy("k").orderBy("o")
+    assert rows(scanned) == rows(df.withColumns({"s": F.sum("o").over(w), "p": F.lag("o").over(w), "n": F.lead("o").over(w)}))
