@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -104,3 +106,28 @@ def test_small_chunks_share_partitions(spark):
     scanned = scans.segmented_scan(df, ["k"], ["o"], sums={"s": F.col("o")}, neighbours={"o": ("p", "n")}, rows_per_chunk=3)
     w = Window.partitionBy("k").orderBy("o")
     assert rows(scanned) == rows(df.withColumns({"s": F.sum("o").over(w), "p": F.lag("o").over(w), "n": F.lead("o").over(w)}))
+
+
+def test_upsert_merges_a_fixed_number_of_rows_a_task(spark, monkeypatch):
+    monkeypatch.setattr(incremental, "MERGE_ROWS", 50, raising=False)
+    write, plans = versions.write_table, []
+
+    def seen(df, *a, **k):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, *a, **k)
+
+    monkeypatch.setattr(versions, "write_table", seen)
+    names = ("spark.sql.shuffle.partitions", "spark.sql.files.minPartitionNum", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(n, None) for n in names]
+    t = VersionedTable(spark, shared_path(spark, "t", "merge"))
+    large = {"spark.sql.autoBroadcastJoinThreshold": "-1"}  # as for keys too many to send around
+    for snapshot, first in (("a", 0), ("b", 600)):
+        batch = spark.range(first, 1000).select("id", F.lit(snapshot).alias("snapshot"), F.lit(snapshot).alias("_source_file"))
+        with tables.session_settings(spark, large):
+            assert incremental.upsert_batch(t, batch, {"id": "id"}, {"m": snapshot}, 2) == 1000 - first
+        files = t.read().select("id", F.regexp_extract(F.input_file_name(), r"/data/(\w+)/.*/part-(\d+)", 2).alias("task"))
+        assert files.groupBy("task").count().agg(F.max("count")).first()[0] <= 100
+        assert [spark.conf.get(n, None) for n in names] == before
+    assert rows(t.read(), "id", "snapshot") == rows(spark.range(1000).select("id", F.when(F.col("id") < 600, "a").otherwise("b").alias("snapshot")))
+    by_file = r"SortMergeJoin \[_source_file#\d+\], \[_source_file#\d+\], LeftAnti"
+    assert len(plans) == 2 and "LeftAnti" in plans[1] and not re.search(by_file, plans[1])

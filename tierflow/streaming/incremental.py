@@ -14,6 +14,7 @@ are written again; what a reader holds is never overwritten.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 from functools import reduce
 
@@ -24,12 +25,14 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tierflow.operators.silver import build_fact
 from tierflow.schemas import CORRUPT_COLUMN, with_corrupt_column
 from tierflow.session import ensure_checkpoint_dir
-from tierflow.sinks.tables import observed_rows
+from tierflow.sinks.tables import observed_rows, session_settings
 from tierflow.sinks.versions import Version, VersionedTable
 from tierflow.sources.ingest import METADATA_COLUMNS, SNAPSHOT_COLUMN, evolve_union, latest_per_key, with_ingest_metadata
 
 BUCKET = "_key_bucket"
 MAX_PARTS = 16
+# Rows a task of a merge reads or sorts: their number, not a fixed number of tasks, sets how many tasks it has.
+MERGE_ROWS = 500_000
 # Changed keys, 8 bytes each, up to which the fact is filtered by a broadcast of them.
 BROADCAST_KEYS = 2_000_000
 
@@ -85,11 +88,23 @@ def key_bucket(df: DataFrame, keys: Mapping[str, str], buckets: int) -> Column:
     return F.pmod(F.when(keyed, F.xxhash64(*parts)).otherwise(F.xxhash64(*content)), F.lit(buckets)).cast("int")
 
 
+def merge_tasks(spark: SparkSession, rows: int) -> dict[str, int | str]:
+    """Settings under which ``rows`` rows are scanned and shuffled by a task for each ``MERGE_ROWS`` of them, at least one a core."""
+    tasks = max(math.ceil(rows / MERGE_ROWS), spark.sparkContext.defaultParallelism)
+    return {
+        "spark.sql.files.minPartitionNum": tasks,
+        "spark.sql.shuffle.partitions": tasks,
+        # The number fits the rows already; joined up to AQE's size, tasks would sort several times as many.
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+
+
 def upsert_batch(table: VersionedTable, batch: DataFrame, keys: Mapping[str, str], marks: Mapping[str, str], buckets: int) -> int:
     """Publish the table with a batch merged in: of each key the rows of its newest snapshot; return the batch's rows.
 
     Rows the table has from a file that the batch holds again go first, so a file read
-    twice counts once. Only the buckets of the batch's keys are written again.
+    twice counts once. Only the buckets of the batch's keys are written again, by tasks
+    of about ``MERGE_ROWS`` rows however large the table gets.
     """
     ensure_checkpoint_dir(batch.sparkSession)
     seen = Observation()
@@ -106,17 +121,20 @@ def upsert_batch(table: VersionedTable, batch: DataFrame, keys: Mapping[str, str
     if before is not None:
         old = table.read().filter(F.col(BUCKET).isin(touched))
         rows_gone = old.count()
-        old = old.join(rows.select("_source_file").distinct(), "_source_file", "left_anti")
+        # As many names as the batch has files: sent around, so that the table's rows are not shuffled by them.
+        old = old.join(F.broadcast(rows.select("_source_file").distinct()), "_source_file", "left_anti")
         merged = evolve_union([old, rows])
     named = merged.withColumns({k: F.col(path) for k, path in keys.items() if k != path})
     latest = latest_per_key(named, list(keys), [SNAPSHOT_COLUMN], (*METADATA_COLUMNS, BUCKET)).select(*merged.columns)
-    if before is None:
-        table.publish(latest, partition_by=[BUCKET], marks=marks)
-    else:
-        done = table.replace_partitions(latest, [str(b) for b in touched], rows_gone=rows_gone, marks=marks)
-        if len(done.parts) > MAX_PARTS:
-            table.compact()
-    return observed_rows(seen)
+    read = observed_rows(seen)
+    with session_settings(latest.sparkSession, merge_tasks(latest.sparkSession, read + rows_gone)):
+        if before is None:
+            done = table.publish(latest, partition_by=[BUCKET], unsorted=True, marks=marks)
+        else:
+            done = table.replace_partitions(latest, [str(b) for b in touched], rows_gone=rows_gone, unsorted=True, marks=marks)
+    if len(done.parts) > MAX_PARTS:
+        table.compact()
+    return read
 
 
 def ingest_upsert(
