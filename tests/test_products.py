@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,9 +11,12 @@ from pyspark.sql import functions as F
 from conftest import rows
 from test_growth import _large_show, _product
 from tierflow.operators import silver
-from tierflow.plans import layer_queries
+from tierflow.plans import adapters as A
+from tierflow.plans import layer_queries, medallion
+from tierflow.schemas import BRONZE_CAST
 from tierflow.session import shared_path
 from tierflow.sinks import products, tables
+from tierflow.sources import ingest
 
 STAMP = "_fact_created_at"
 
@@ -81,3 +85,34 @@ def test_packed_fact_is_the_fact(spark):
     path = shared_path(spark, "t", "fact")
     assert tables.write_table(fact.rows(), path, partition_by=["language"], unsorted=True, product=fact) == _product(*sides).count()
     assert rows(spark.read.parquet(path).select(*silver.FACT_COLUMNS)) == rows(_product(*sides))
+
+
+def test_a_run_holds_less_than_its_raw_text(spark, tmp_path):
+    """medallion_dashboard: raw lines land compressed, one snapshot is not shuffled to be compared, shuffles go with their jobs."""
+    sf = "/root/testdata/sf0.01"
+    lines, packed = str(tmp_path / "lines"), str(tmp_path / "packed")
+    for root, codec in ((lines, None), (packed, "gzip")):
+        ingest.land_snapshot(A.bronze_cast(spark, sf), root, "cast", snapshot="s1", compression=codec)
+    size = lambda root: sum(f.stat().st_size for f in Path(root).rglob("part-*"))
+    assert size(packed) < size(lines) / 5
+    scans = [ingest.scan_json_permissive(spark, f"{root}/cast", BRONZE_CAST) for root in (lines, packed)]
+    assert rows(scans[0]) == rows(scans[1])
+    assert "Exchange" not in medallion._latest(scans[1], "cast")._jdf.queryExecution().executedPlan().toString()
+    ingest.land_snapshot(A.bronze_cast(spark, sf).limit(10), packed, "cast", snapshot="s2", compression="gzip")
+    again = ingest.scan_json_permissive(spark, f"{packed}/cast", BRONZE_CAST)
+    assert ingest.snapshots(again) == {"s1", "s2"}
+    assert "Exchange" in medallion._latest(again, "cast")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_compressed_snapshots_are_divided(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "PACKED_LINES", 10)
+    path = ingest.land_snapshot(spark.range(95).coalesce(1), str(tmp_path), "n", snapshot="a", compression="gzip")
+    assert len(list(Path(path).glob("part-*.json.gz"))) == 10 and spark.read.json(path).count() == 95
+
+
+def test_brief_shuffles_leave_the_setting_as_it_was(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    with tables.brief_shuffles(spark):
+        assert spark.conf.get(name) == "true" and spark.range(100).repartition(3).groupBy().count().first()[0] == 100
+    assert spark.conf.get(name, None) == before
