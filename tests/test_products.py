@@ -16,7 +16,9 @@ from tierflow.plans import layer_queries, medallion
 from tierflow.schemas import BRONZE_CAST
 from tierflow.session import shared_path
 from tierflow.sinks import products, tables
+from tierflow.sinks.versions import VersionedTable
 from tierflow.sources import ingest
+from tierflow.streaming import incremental
 
 STAMP = "_fact_created_at"
 
@@ -116,3 +118,23 @@ def test_brief_shuffles_leave_the_setting_as_it_was(spark):
     with tables.brief_shuffles(spark):
         assert spark.conf.get(name) == "true" and spark.range(100).repartition(3).groupBy().count().first()[0] == 100
     assert spark.conf.get(name, None) == before
+
+
+def test_refreshed_rows_come_from_packs_and_kept_rows_from_the_table(spark, monkeypatch):
+    eps, shows, genres, cast = _large_show(spark)
+    made, write = [], tables.write_product
+    monkeypatch.setattr(tables, "write_product", lambda *a: made.append(write(*a)) or made[-1])
+    day = lambda d, hit: F.when(hit, F.lit(d)).otherwise(F.lit("2024-01-01")).cast("date")
+    first = eps.withColumn("airdate", day("2024-01-02", F.lit(False)))
+    some = eps.withColumn("airdate", day("2024-01-02", (F.col("show_id") == 1) & (F.col("season") == 4)))
+    every = eps.withColumn("airdate", day("2024-01-03", F.lit(True)))
+    table = VersionedTable(spark, shared_path(spark, "t", "refreshed"))
+    for now, changed in ((first, None), (some, 1), (every, None)):
+        done = incremental.refresh_fact(table, now, shows, genres, cast, {"episodes": "airdate"})
+        want = _product(now, shows, genres, cast)
+        assert rows(table.read().select(*silver.FACT_COLUMNS)) == rows(want) and done.rows == want.count()
+        assert made[-1] == (want if changed is None else want.filter(F.col("show_id") == changed)).count()
+    keys = spark.createDataFrame([(1,), (9,)], "show_id long")
+    held = incremental.held_rows(table.read().withColumn("value", F.col("language")), keys, "show_id")
+    counted = {r[0]: (r[1], r[2]) for r in table.read().groupBy("language").agg(F.count(F.lit(1)), F.count_if(F.col("show_id") == 1)).collect()}
+    assert held == counted and None in held

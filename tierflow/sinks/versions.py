@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierflow.sinks.products import Product
 from tierflow.sinks.tables import write_table
 from tierflow.sources.ingest import evolve_union
 
@@ -149,9 +150,15 @@ class VersionedTable:
             df = df.filter(~gone)
         return conform(df, now.schema)
 
-    def _write(self, df: DataFrame, partition_by: Sequence[str], rebalance: bool, unsorted: bool = False) -> tuple[dict, int]:
+    def _write(
+        self, df: DataFrame, partition_by: Sequence[str], rebalance: bool, unsorted: bool = False,
+        product: Product | None = None, rest: DataFrame | None = None,
+    ) -> tuple[dict, int]:
         path = f"{self.root}/data/{uuid.uuid4().hex}"
-        rows = write_table(df, path, partition_by=partition_by, rebalance=rebalance, unsorted=unsorted)
+        if product is not None and _plain(product.rows().schema) != _plain(df.schema):
+            product = None  # the table's columns are wider
+        rest = None if rest is None else conform(rest, df.schema)
+        rows = write_table(df, path, partition_by=partition_by, rebalance=rebalance, unsorted=unsorted, product=product, rest=rest)
         return {"path": path, "schema": json.dumps(df.schema.jsonValue()), "hidden": [], "held": None}, rows
 
     def _commit(self, now: Version) -> Version:
@@ -169,13 +176,14 @@ class VersionedTable:
         rebalance: bool = False,
         unsorted: bool = False,
         marks: Mapping[str, str] | None = None,
+        product: Product | None = None,
     ) -> Version:
         """SNK-1/SNK-2: write df as the next version, all of it (``overwrite``) or its new rows (``append``).
 
         ``schema`` says what may happen to the table's columns: ``same`` nothing (their
         order apart), ``merge`` columns may come, stay away (NULL from then on) and widen,
         ``replace`` df's columns are the table's (overwrite only). Marks are added to
-        those the table has. ``rebalance`` and ``unsorted``: see ``write_table``.
+        those the table has. ``rebalance``, ``unsorted`` and ``product``: see ``write_table``.
         """
         if mode not in ("overwrite", "append") or schema not in ("same", "merge", "replace"):
             raise ValueError(f"unknown mode {mode} or schema {schema}")
@@ -189,24 +197,28 @@ class VersionedTable:
             raise ValueError("rows can only be appended to the same or a merged schema")
         if before is not None and mode == "append" and list(partition_by) != before.partition_by:
             raise ValueError(f"the table is partitioned by {before.partition_by}")
-        part, rows = self._write(conform(df, target), partition_by, rebalance, unsorted)
+        part, rows = self._write(conform(df, target), partition_by, rebalance, unsorted, product)
         kept = before.parts if before is not None and mode == "append" else []
         total = rows + (before.rows if kept else 0)
         version = before.version + 1 if before is not None else 1
         return self._commit(Version(version, target, list(partition_by), total, {**(before.marks if before else {}), **(marks or {})}, [*kept, part]))
 
-    def replace_partitions(self, df: DataFrame, values: Sequence[str | None], *, rows_gone: int, unsorted: bool = False, marks: Mapping[str, str] | None = None) -> Version:
+    def replace_partitions(
+        self, df: DataFrame, values: Sequence[str | None], *, rows_gone: int, unsorted: bool = False, marks: Mapping[str, str] | None = None,
+        product: Product | None = None, rest: DataFrame | None = None,
+    ) -> Version:
         """The next version: rows of these values of the (first) partition column go, df's come.
 
         ``values`` are as strings, None for NULL, and df has rows of these values only;
-        ``rows_gone`` is how many rows they had. The schemas are merged. Nothing that a
+        ``rows_gone`` is how many rows they had, ``product`` and ``rest`` say what df is
+        made of (see ``write_table``). The schemas are merged. Nothing that a
         reader may hold is touched; parts of which nothing is left are named no more.
         """
         before = self.current()
         if before is None or not before.partition_by:
             raise ValueError(f"{self.root} has no partitions to replace")
         target = merged_type(before.schema, df.schema)
-        part, rows = self._write(conform(df, target), before.partition_by, False, unsorted)
+        part, rows = self._write(conform(df, target), before.partition_by, False, unsorted, product, rest)
         part["held"] = list(values)
         parts = [{**p, "hidden": sorted({*p["hidden"], *values}, key=lambda v: (v is None, v or ""))} for p in before.parts]
         parts = [p for p in parts if p["held"] is None or not set(p["held"]) <= set(p["hidden"])]

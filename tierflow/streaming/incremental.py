@@ -183,6 +183,18 @@ def changed_keys(df: DataFrame, key: str, ts_col: str, since: int | None, until:
     return df.filter(late if since is None else late & (_micros(ts_col) > since)).select(key).distinct()
 
 
+def held_rows(current: DataFrame, keys: DataFrame, key: str) -> dict[str | None, tuple[int, int]]:
+    """Of each ``value`` (partition) of a table: its rows, and those with one of the keys.
+
+    The table is read once, its rows are counted by key where they are read, and only
+    those counts meet the keys, however many these are.
+    """
+    counts = current.groupBy(key, "value").agg(F.count(F.lit(1)).alias("rows"))
+    marked = counts.join(keys.select(key, F.lit(True).alias("_changed")), key, "left")
+    sums = marked.groupBy("value").agg(F.sum("rows"), F.sum(F.when(F.col("_changed"), F.col("rows")).otherwise(0)))
+    return {value: (rows, changed) for value, rows, changed in sums.collect()}
+
+
 def refresh_fact(
     table: VersionedTable,
     episodes: DataFrame,
@@ -209,8 +221,9 @@ def refresh_fact(
     before = table.current()
     since = int(before.marks[mark]) if before is not None and mark in before.marks else None
     if before is None:
-        fact = build_fact(episodes, shows, genres, cast, timestamps=False, dealt=True)
-        return table.publish(fact, partition_by=[partition_col], unsorted=True, marks={} if until is None else {mark: str(until)})
+        fact = build_fact(episodes, shows, genres, cast, timestamps=False, dealt=True, packed=True)
+        marks = {} if until is None else {mark: str(until)}
+        return table.publish(fact.rows(), partition_by=[partition_col], unsorted=True, marks=marks, product=fact)
     if until is None or (since is not None and until <= since):
         return None
     ensure_checkpoint_dir(table.spark)
@@ -222,14 +235,19 @@ def refresh_fact(
     def only(df: DataFrame) -> DataFrame:
         return df.join(listed, key, "left_semi")
 
-    fresh = build_fact(only(episodes), only(shows), only(genres), only(cast), timestamps=False, dealt=True)
+    fresh = build_fact(only(episodes), only(shows), only(genres), only(cast), timestamps=False, dealt=True, packed=True)
     current = table.read()
     value = F.col(partition_col).cast("string").alias("value")
+    held = held_rows(current.select(key, value), keys, key)
     # Values of the partition column, few by choice of the column.
-    touched = [r[0] for r in only(current).select(value).union(only(shows).select(value)).distinct().collect()]
+    touched = sorted({v for v, (_, changed) in held.items() if changed} | {r[0] for r in only(shows).select(value).distinct().collect()}, key=lambda v: (v is None, v or ""))
+    gone = [held[v] for v in touched if v in held]
     here = F.coalesce(F.col(partition_col).cast("string").isin([v for v in touched if v is not None]), F.lit(False))
     if None in touched:
         here = here | F.col(partition_col).isNull()
-    old = current.filter(here)
-    staged = old.join(listed, key, "left_anti").select(*current.columns).unionByName(fresh.select(*current.columns))
-    return table.replace_partitions(staged, touched, rows_gone=old.count(), unsorted=True, marks={mark: str(until)})
+    staged, old = fresh.rows().select(*current.columns), None
+    if any(rows > changed for rows, changed in gone):  # else no row of a touched partition stays, and none is read
+        old = current.filter(here).join(listed, key, "left_anti").select(*current.columns)
+        staged = old.unionByName(staged)
+    rows_gone = sum(rows for rows, _ in gone)
+    return table.replace_partitions(staged, touched, rows_gone=rows_gone, unsorted=True, marks={mark: str(until)}, product=fresh, rest=old)
